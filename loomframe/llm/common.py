@@ -129,3 +129,26 @@ def texts(batch: pa.RecordBatch, name: str = "text"):
     data = memoryview(col.buffers()[2] or b"")
     for a, b in zip(off[:-1].tolist(), off[1:].tolist()):
         yield data[a:b]
+
+
+def sorted_groups(batches, keys: list[str]):
+    """Groups of rows with equal keys from batches sorted by them: dicts of arrays. A group may span batches."""
+    held = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b])
+        t = pa.concat_tables([held, t]) if held is not None else t
+        new = np.zeros(t.num_rows, bool)
+        for k in keys:
+            v = t.column(k).to_numpy()
+            new[1:] |= v[1:] != v[:-1]
+        at = [0, *np.flatnonzero(new).tolist()]
+        cols = {n: t.column(n) for n in t.column_names}
+        if len(at) > 1:
+            arrays = {n: c.slice(0, at[-1]).to_numpy() for n, c in cols.items()}
+            for a, z in zip(at[:-1], at[1:]):
+                yield {n: v[a:z] for n, v in arrays.items()}
+        held = t.slice(at[-1])
+    if held is not None:
+        yield {n: held.column(n).to_numpy() for n in held.column_names}

@@ -2,21 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe
+from . import byte_bpe, language_id, near_vectors, quality, simhash, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(n: int, col: str = "doc_id") -> Column:
+    return F.crc32(F.col(col).cast("string")) % n
+
+
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.classes(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    weights = quality.train(docs, labels.where(fold(5) != 0))
+    out = quality.score(docs, weights)
+    return out.select("doc_id", (fold(5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.classes(table(spark, sf_dir, "documents"), bits=3, words=3)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
 
 
-QUERIES = {"op8_byte_bpe": op8_byte_bpe}
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    langs, matrix = language_id.train(docs.where(fold(3) != 1))
+    out = language_id.predict(docs.drop("lang"), langs, matrix)
+    return out.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_quality, op5_topk, op6_simhash, op8_byte_bpe, op9_language_id)}
 SQL: dict[str, str] = {}
