@@ -1,8 +1,9 @@
 """License scans: normalised text against license templates by the Dice coefficient of their word bigrams.
 
-A text's units are its lines and the text as a whole. Dice 2|A n B| / (|A| + |B|) cannot reach a bound t unless the
-smaller set has at least t / (2 - t) of the larger one's bigrams, so a template is compared only with units whose size lies
-within these bounds. All is made of built-in functions; nothing is shuffled.
+A text's units are its lines and the text as a whole. Sizes count bigrams with repeats, what is shared counts once. Dice
+2|A n B| / (|A| + |B|) cannot reach a bound t unless the smaller side has at least t / (2 - t) of the larger one's bigrams,
+so a template is compared only with units whose size lies within these bounds; a count of words shows that before any
+bigram is made. All is built-in functions; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -37,16 +38,16 @@ LEAST = 0.85
 
 
 def bigrams_of(text: str) -> list[str]:
-    words = re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
-    return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
+    words = re.sub(r"[^A-Za-z0-9]+", " ", text).lower().split()
+    return [f"{a} {b}" for a, b in zip(words, words[1:])]
 
 
-def templates(texts: dict[str, list[str]] = TEMPLATES) -> list[tuple[str, int, list[str]]]:
-    """(license, number of the template, bigrams)."""
-    return [(name, i, bigrams_of(t)) for name, many in texts.items() for i, t in enumerate(many)]
+def templates(texts: dict[str, list[str]] = TEMPLATES) -> list[tuple[str, int, int, list[str]]]:
+    """(license, number of the template, its size, its bigrams)."""
+    return [(name, i, len(g), sorted(set(g))) for name, many in texts.items() for i, t in enumerate(many) if (g := bigrams_of(t))]
 
 
-def scan(docs: DataFrame, known: list[tuple[str, int, list[str]]] | None = None, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, known: list[tuple[str, int, int, list[str]]] | None = None, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, line, license, template, dice): every unit and template with a coefficient of at least `least`.
 
     line is the line's number from 0, or -1 for the whole text of several lines. Normalised text is lower-case a-z and 0-9,
@@ -55,22 +56,19 @@ def scan(docs: DataFrame, known: list[tuple[str, int, list[str]]] | None = None,
     """
     known = templates() if known is None else known
     bound = least / (2 - least)
-    sizes = sorted({len(k[2]) for k in known})
-    may = lambda n: F.lit(False) if not sizes else _any([(n >= bound * s) & (n * bound <= s) for s in sizes])
-    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
-    rows = docs.select(F.col(id_col), lines.alias("lines"))
-    # a unit's words bound its bigrams from above: most units end here
-    most = max(sizes, default=0) / bound + 1 if sizes else 0
-    whole = rows.where((F.size("lines") > 1) & (F.aggregate("lines", F.lit(0), lambda n, x: n + F.length(x)) <= most * 1000)).select(id_col, F.lit(-1).alias("line"), F.array_join("lines", " ").alias("unit"))
-    units = rows.select(id_col, F.posexplode("lines").alias("line", "unit")).union(whole)
-    words = F.filter(F.split(F.regexp_replace(F.lower("unit"), "[^a-z0-9]+", " "), " "), lambda w: w != "")
-    units = units.select(id_col, "line", words.alias("w")).where(F.size("w") > 1)
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.element_at("w", i), F.element_at("w", i + 1))))
-    units = units.select(id_col, "line", grams.alias("grams")).where(may(F.size("grams")))
-    ranked = [F.when((F.size("grams") >= bound * len(g)) & (F.size("grams") * bound <= len(g)), F.struct(F.lit(name).alias("license"), F.lit(i).alias("template"), (2.0 * F.size(F.array_intersect("grams", F.array(*map(F.lit, g)))) / (F.size("grams") + len(g))).alias("dice"))) for name, i, g in known]
-    if not ranked:
-        return units.select(id_col, "line", F.lit("").alias("license"), F.lit(0).alias("template"), F.lit(0.0).alias("dice")).where("false")
-    found = units.select(id_col, "line", F.explode(F.filter(F.array(*ranked), lambda x: x.isNotNull() & (x["dice"] >= least))).alias("m"))
+    fits = lambda n, size: (n >= bound * size) & (n * bound <= size)
+    rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("unit"))
+    lines = rows.select(id_col, F.posexplode(F.split("unit", "\n")).alias("line", "unit"))
+    units = lines.union(rows.where(F.col("unit").contains("\n")).select(id_col, F.lit(-1), "unit"))
+    units = units.withColumn("n", F.regexp_count("unit", F.lit("[A-Za-z0-9]+")) - 1)
+    units = units.where(_any([F.lit(False), *[fits(F.col("n"), size) for size in sorted({k[2] for k in known})]]))
+    words = F.filter(F.split(F.lower(F.regexp_replace("unit", "[^A-Za-z0-9]+", " ")), " "), lambda w: w != "")
+    grams = F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.concat_ws(" ", F.element_at("w", i), F.element_at("w", i + 1)))
+    units = units.select(id_col, "line", "n", words.alias("w")).select(id_col, "line", "n", grams.alias("grams"))
+    dice = lambda size, g: 2.0 * F.size(F.array_intersect("grams", F.array(*map(F.lit, g)))) / (F.col("n") + size)
+    each = [F.when(fits(F.col("n"), size), F.struct(F.lit(name).alias("license"), F.lit(i).alias("template"), dice(size, g).alias("dice"))) for name, i, size, g in known]
+    none = F.lit(None).cast("struct<license:string,template:int,dice:double>")
+    found = units.select(id_col, "line", F.explode(F.filter(F.array(none, *each), lambda x: x.isNotNull() & (x["dice"] >= least))).alias("m"))
     return found.select(id_col, "line", "m.license", "m.template", "m.dice")
 
 
@@ -81,18 +79,20 @@ def _any(conditions: list[Column]) -> Column:
     return out
 
 
-def sql(known: list[tuple[str, int, list[str]]] | None = None, least: float = LEAST) -> str:
+def sql(known: list[tuple[str, int, int, list[str]]] | None = None, least: float = LEAST) -> str:
     """The same matches as DuckDB SQL over documents."""
     known = templates() if known is None else known
     quoted = lambda s: "'" + s.replace("'", "''") + "'"
-    rows = ", ".join(f"({quoted(n)}, {i}, [{', '.join(map(quoted, g))}])" for n, i, g in known)
+    rows = ", ".join(f"({quoted(n)}, {i}, {size}, [{', '.join(map(quoted, g))}])" for n, i, size, g in known)
+    bound = f"{least / (2 - least)!r}e0"
     return f"""
-        WITH known(license, template, tg) AS (VALUES {rows}),
+        WITH known(license, template, size, tg) AS (VALUES {rows}),
         lines AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
         units AS (SELECT doc_id, unnest(range(len(l))) AS line, unnest(l) AS unit FROM lines
                   UNION ALL SELECT doc_id, -1, array_to_string(l, ' ') FROM lines WHERE len(l) > 1),
-        words AS (SELECT doc_id, line, list_filter(string_split(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g'), ' '), x -> x <> '') AS w FROM units),
-        grams AS (SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) AS g FROM words WHERE len(w) > 1),
-        scored AS (SELECT doc_id, line, license, template, 2.0 * len(list_intersect(g, tg)) / (len(g) + len(tg)) AS dice
-                   FROM grams JOIN known ON len(g) >= {least / (2 - least)!r} * len(tg) AND len(g) * {least / (2 - least)!r} <= len(tg))
-        SELECT doc_id, CAST(line AS INTEGER) AS line, license, CAST(template AS INTEGER) AS template, CAST(dice AS DOUBLE) AS dice FROM scored WHERE dice >= {least!r}"""
+        words AS (SELECT doc_id, line, list_filter(string_split(lower(regexp_replace(unit, '[^A-Za-z0-9]+', ' ', 'g')), ' '), lambda x: x <> '') AS w FROM units),
+        grams AS (SELECT doc_id, line, len(w) - 1 AS n, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS g FROM words
+                  WHERE len(w) > 1 AND len(w) <= 1 + (SELECT max(size) FROM known) / {bound}),
+        scored AS (SELECT doc_id, line, license, template, 2e0 * len(list_intersect(g, tg)) / (n + size) AS dice
+                   FROM grams JOIN known ON n >= {bound} * size AND n * {bound} <= size)
+        SELECT doc_id, CAST(line AS INTEGER) AS line, license, CAST(template AS INTEGER) AS template, CAST(dice AS DOUBLE) AS dice FROM scored WHERE dice >= {least!r}e0"""

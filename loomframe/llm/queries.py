@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, near_vectors, quality, simhash, topk
+from . import byte_bpe, language_id, license_scan, near_vectors, packing, quality, simhash, suffix_dedup, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold(5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.search(vectors, vectors.where("vec_id % 100 = 0"))
@@ -37,6 +41,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.bins(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 
@@ -50,5 +58,11 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_quality, op5_topk, op6_simhash, op8_byte_bpe, op9_language_id)}
-SQL: dict[str, str] = {}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove(table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
+    n = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
+    return out.select("doc_id", "n_bytes", n.alias("n_removed"), F.size("removed_spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_quality, op4_license_scan, op5_topk, op6_simhash, op7_packing, op8_byte_bpe, op9_language_id, op10_suffix_dedup)}
+SQL: dict[str, str] = {"op4_license_scan": license_scan.sql()}
