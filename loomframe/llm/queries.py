@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language_id, license_scan, near_vectors, packing, quality, simhash, suffix_dedup, topk
+from . import byte_bpe, html_text, language_id, license_scan, near_vectors, packing, quality, simhash, suffix_dedup, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold(5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -64,5 +68,5 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", n.alias("n_removed"), F.size("removed_spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_quality, op4_license_scan, op5_topk, op6_simhash, op7_packing, op8_byte_bpe, op9_language_id, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_quality, op3_html_text, op4_license_scan, op5_topk, op6_simhash, op7_packing, op8_byte_bpe, op9_language_id, op10_suffix_dedup)}
 SQL: dict[str, str] = {"op4_license_scan": license_scan.sql()}
