@@ -17,12 +17,14 @@ from . import common
 
 #: Rows of one block where fingerprints that share a variant are compared with each other.
 BLOCK = 256
+#: Texts of one block whose shingle sets are compared with each other.
+COMPARE = 64
 #: Shingles whose bits are counted at once.
 CHUNK = 1 << 16
 
 
-def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
-    """Bit i is 1 if it is set in over half of the hashes of the word shingles, repeats included; 0 without words."""
+def fingerprint(text: bytes, words: int = 3, seed: int = 42, distinct: bool = False) -> int:
+    """Bit i is 1 if it is set in over half of the hashes of the word shingles, repeats included unless distinct; 0 without words."""
     w = text.lower().split()  # A-Z only, and ASCII white space
     if not w:
         return 0
@@ -32,6 +34,10 @@ def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
     starts = np.concatenate([[0], ends[:-1]])[:n].tolist()
     ends = (ends[min(words, len(w)) - 1 :] - 1).tolist()
     ones = np.zeros(64, np.int64)
+    if distinct:
+        h = np.array([xxh64_intdigest(x, seed) for x in {line[a:b] for a, b in zip(starts, ends)}], ">u8")
+        ones = sum(np.unpackbits(h[at : at + CHUNK].view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64) for at in range(0, len(h), CHUNK))
+        return int.from_bytes(np.packbits(2 * ones > len(h)).tobytes(), "big", signed=True)
     for at in range(0, n, CHUNK):
         h = np.array([xxh64_intdigest(line[a:b], seed) for a, b in zip(starts[at : at + CHUNK], ends[at : at + CHUNK])], ">u8")
         ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
@@ -105,3 +111,79 @@ def classes(df: DataFrame, bits: int = 3, words: int = 3, id_col: str = "doc_id"
     least = part.groupBy("component").agg(F.min("least").alias("component_id"))
     part = tables.write(part.join(least, "component").select("fp", "component_id"))
     return rows.join(part, "fp").select(id_col, "fp", "component_id")
+
+
+def shingles(text: bytes, words: int) -> np.ndarray:
+    """Sorted distinct hashes of the word shingles; of all words where there are fewer."""
+    w = text.lower().split()
+    line, n = b" ".join(w), max(1, len(w) - words + 1)
+    ends = np.cumsum(np.fromiter(map(len, w), np.int64, len(w)) + 1) if w else np.ones(1, np.int64)
+    starts = np.concatenate([[0], ends[:-1]])[:n].tolist()
+    ends = (ends[min(words, len(ends)) - 1 :] - 1).tolist()
+    return np.unique(np.fromiter((xxh64_intdigest(line[a:b]) for a, b in zip(starts, ends)), np.uint64, n))
+
+
+def near_duplicates(df: DataFrame, words: int = 5, least: float = 0.8, bits: int = 5, seeds: tuple[int, ...] = (42, 43), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (id, component_id) of the non-null ids in groups of copies and near copies; component_id is the smallest id.
+
+    Near copies have a Jaccard similarity of at least `least` over their sets of `words`-word shingles. Candidates are texts
+    whose SimHash over distinct single words differs in at most `bits` bits for one of the seeds: a word that changes
+    touches `words` shingles but one word, so texts that similar differ in few of these bits. What candidates connect is
+    compared exactly, in blocks, one text of each set of equal word sequences standing for all. Texts without words are
+    copies of each other. An empty table gives no rows.
+    """
+    spark = df.sparkSession
+    common.small_batches(spark)
+    tables = common.Tables(spark)
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null")
+
+    def sketch(batches):
+        for b in batches:
+            got = []
+            for t in common.texts(b, "text"):
+                t = bytes(t)
+                got.append((xxh64_intdigest(b" ".join(t.lower().split()), 3) - (1 << 63), *(fingerprint(t, 1, s, True) for s in seeds)))
+            yield pa.record_batch([common.column(b, "id"), *[pa.array([g[i] for g in got], pa.int64()) for i in range(len(seeds) + 1)]], ["id", "same", *[f"fp{i}" for i in range(len(seeds))]])
+
+    sketched = tables.write(rows.mapInArrow(sketch, f"id bigint, same bigint, {', '.join(f'fp{i} bigint' for i in range(len(seeds)))}"))
+    one = tables.write(sketched.groupBy("same", *[f"fp{i}" for i in range(len(seeds))]).agg(F.min("id").alias("rep")).drop("same"))
+    edges = None
+    for i in range(len(seeds)):
+        least_of = one.groupBy(f"fp{i}").agg(F.min("rep").alias("a"))
+        equal = one.join(least_of, f"fp{i}").select("a", F.col("rep").alias("b")).where("a <> b")
+        near = links(least_of.select(F.col(f"fp{i}").alias("fp")), bits, tables)
+        a, b = (least_of.select(F.col(f"fp{i}").alias(k), F.col("a").alias(f"rep_{k}")) for k in "ab")
+        near = near.join(a, "a").join(b, "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+        edges = equal.union(near) if edges is None else edges.union(equal).union(near)
+    part = tables.write(common.components(spark, edges, tables))
+    sizes = part.groupBy("component").agg(F.count("*").alias("n"))
+    members = part.join(sizes, "component").withColumnRenamed("node", "id").join(rows, "id").dropDuplicates(["id"])
+
+    def shingled(batches):
+        for b in batches:
+            sets = [shingles(bytes(t), words).view(np.int64) for t in common.texts(b, "text")]
+            yield pa.record_batch([common.column(b, "component"), common.column(b, "n"), common.column(b, "id"), pa.array(sets, pa.list_(pa.int64()))], ["component", "n", "id", "set"])
+
+    sets = tables.write(members.select("component", "n", "id", "text").mapInArrow(shingled, "component bigint, n bigint, id bigint, set array<bigint>"))
+    dealt = common.block_pairs(sets, "n", COMPARE, F.xxhash64("id")).select("component", "bi", "bj", "mine", "id", "set")
+
+    def verify(batches):
+        for g in common.sorted_groups(batches, ["component", "bi", "bj"]):
+            forest, same = common.Forest(), g["bi"][0] == g["bj"][0]
+            at = sorted(range(len(g["id"])), key=lambda i: len(g["set"][i]))
+            for k, i in enumerate(at):
+                x = g["set"][i]
+                for j in at[k + 1 :]:
+                    y = g["set"][j]
+                    if least * len(y) > len(x):
+                        break  # the rest are too long for x
+                    if (same or g["mine"][i] != g["mine"][j]) and forest.root(g["id"][i]) != forest.root(g["id"][j]):
+                        both = len(np.intersect1d(x, y, assume_unique=True))
+                        if both >= least * (len(x) + len(y) - both):
+                            forest.link(g["id"][i], g["id"][j])
+            if forest.kept:
+                yield pa.record_batch([pa.array([int(k[i]) for k in forest.kept], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    found = dealt.repartition("component", "bi", "bj").sortWithinPartitions("component", "bi", "bj").mapInArrow(verify, "a bigint, b bigint")
+    copies = sketched.join(sketched.groupBy("same").agg(F.min("id").alias("a"), F.count("*").alias("c")).where("c > 1"), "same").select("a", F.col("id").alias("b"))
+    return common.components(spark, found.union(copies), tables).select(F.col("node").alias(id_col), F.col("component").alias("component_id"))
