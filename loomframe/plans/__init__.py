@@ -1,6 +1,6 @@
 """Registered queries over the given tables."""
 
-from . import alignment
+from . import alignment, episodes
 from .standins import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "alignment"]
+__all__ = ["QUERIES", "SQL", "alignment", "episodes"]
