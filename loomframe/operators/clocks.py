@@ -65,7 +65,7 @@ def coverage(messages: DataFrame, topic: str, master: str) -> DataFrame:
 def nonmonotonic(messages: DataFrame, clock: str = "header_us") -> DataFrame:
     """Messages whose stamp isn't later than that of the arrival before."""
     step = F.col(clock) - F.lag(clock).over(Window.partitionBy(E, "topic").orderBy("seq"))
-    return messages.withColumn("step", step).groupBy(E, "topic").agg(F.count_if("step <= 0").alias("nonmonotonic"))
+    return messages.withColumn("step", step).groupBy(E, "topic").agg(F.count_if(F.col("step") <= 0).alias("nonmonotonic"))
 
 
 def backlog(messages: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Registered queries over the given tables."""
 
-from . import alignment, episodes
+from . import alignment, audits, episodes, learning
 from .standins import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "alignment", "episodes"]
+__all__ = ["QUERIES", "SQL", "alignment", "audits", "episodes", "learning"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,13 +15,27 @@ SQL: dict[str, str] = {}
 MASTER, STATE, ACTION, HAND, COMMAND = "view", "click", "purchase", "error", "signup"
 
 
+def with_tables(sql: str) -> str:
+    """SQL with the tables that it names put before it, and those that these name; it may begin with --with and its own."""
+    used, text = set(), sql
+    while new := {n for n in TABLES if n not in used and re.search(rf"\b{n}\b", text)}:
+        used |= new
+        text += " ".join(TABLES[n] for n in new)
+    own = sql.split("--with", 1)[1].strip() if sql.startswith("--with") else ""
+    recursive = own.startswith("recursive ")
+    tables = ", ".join(t for n, t in TABLES.items() if n in used)
+    if not own:
+        return f"WITH {tables} {sql}" if tables else sql
+    return f"WITH {'RECURSIVE ' * recursive}{tables + ', ' if tables else ''}{own.removeprefix('recursive ')}"
+
+
 def query(sql: str | None = None):
     """Register a query under its function's name, with the SQL it must agree with."""
 
     def add(f):
         QUERIES[f.__name__] = f
         if sql:
-            SQL[f.__name__] = ("WITH " + ", ".join(t for n, t in TABLES.items() if n in sql) + (", " if sql.lstrip().startswith("--with") else " ") + sql.replace("--with", "")) if any(n in sql for n in TABLES) else sql.replace("--with", "WITH ")
+            SQL[f.__name__] = with_tables(sql)
         return f
 
     return add
