@@ -76,15 +76,19 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     langs = sorted({r.lang for r in got})
     if not langs:
         return [], np.zeros((SIZE, 0))
-    x = np.stack([np.unpackbits(np.frombuffer(r.row, np.uint8)) for r in got]).astype(np.float32)
-    x /= np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+    packed = np.stack([np.frombuffer(r.row, np.uint8) for r in got])
     lang = np.array([r.lang for r in got])
-    chosen = np.concatenate([np.flatnonzero(lang == k)[: max(1, landmarks // len(langs))] for k in langs])
-    marks = x[chosen]
-    k_nm, k_mm = (x @ marks.T).astype(float), (marks @ marks.T).astype(float)
+
+    def rows_of(at) -> np.ndarray:
+        x = np.unpackbits(packed[at], axis=1).astype(np.float32)
+        return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+
+    marks = rows_of(np.concatenate([np.flatnonzero(lang == k)[: max(1, landmarks // len(langs))] for k in langs]))
+    k_nm = np.concatenate([rows_of(slice(at, at + ROWS)) @ marks.T for at in range(0, len(packed), ROWS)]).astype(float)
+    k_mm = (marks @ marks.T).astype(float)
     y = np.where(lang[:, None] == np.array(langs)[None], 1.0, -1.0)
-    coef = np.linalg.lstsq(k_nm.T @ k_nm + RIDGE * len(x) * k_mm, k_nm.T @ y, rcond=None)[0]
-    return langs, (marks.T.astype(float) @ coef).astype(np.float32)
+    coef = np.linalg.lstsq(k_nm.T @ k_nm + RIDGE * len(packed) * k_mm, k_nm.T @ y, rcond=None)[0]
+    return langs, marks.T @ coef.astype(np.float32)
 
 
 def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray, text_col: str = "text") -> DataFrame:
