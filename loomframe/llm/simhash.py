@@ -77,7 +77,8 @@ def links(fps: DataFrame, bits: int, tables: common.Tables) -> DataFrame:
     every = fps.select("fp", F.explode(variants(F.col("fp"), bits)).alias("key"))
     shared = tables.write(every.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
     two = shared.where("n = 2").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits).select("a", "b")
-    more = every.join(shared.where("n > 2").select("key", "n"), "key")
+    # never broadcast: keys of many grow with the table, and the same plan should hold at every size
+    more = every.hint("merge").join(shared.where("n > 2").select("key", "n"), "key")
     dealt = common.block_pairs(more, "n", BLOCK, F.xxhash64("fp")).select("key", "bi", "bj", "mine", "fp")
 
     def run(batches):
