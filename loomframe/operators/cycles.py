@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 E, FR = "episode_index", "frame_index"
-W = Window.partitionBy(E).orderBy(FR)
+
+
+def frame_order():
+    return Window.partitionBy(E).orderBy(FR)
 
 
 def debounce(frames: DataFrame, value: str, low: float = 0.3, high: float = 0.7, n: int = 2) -> DataFrame:
@@ -16,16 +19,16 @@ def debounce(frames: DataFrame, value: str, low: float = 0.3, high: float = 0.7,
     """
     obs = F.when(F.col(value) >= high, 1).when(F.col(value) <= low, 0)
     rows = frames.select(E, FR, obs.alias("obs"))
-    cut = F.sum(F.when(F.lag("obs").over(W).eqNullSafe(F.col("obs")), 0).otherwise(1)).over(W)
+    cut = F.sum(F.when(F.lag("obs").over(frame_order()).eqNullSafe(F.col("obs")), 0).otherwise(1)).over(frame_order())
     found = rows.withColumn("run", cut).where("obs is not null").groupBy(E, "run", "obs").agg(F.min(FR).alias(FR), F.count("*").alias("n")).where(f"n >= {n}")
-    before = F.lag("obs").over(W)
+    before = F.lag("obs").over(frame_order())
     return found.withColumn("before", before).where("before is not null and obs <> before").select(E, FR, F.when(F.col("obs") == 1, "close").otherwise("open").alias("kind"))
 
 
 def pair_cycles(events: DataFrame) -> DataFrame:
     """A close and the next open: cycle; an open without close: orphan; a last close: unclosed. A later close takes an earlier one's place."""
-    prev, nxt = F.lag("kind").over(W), F.lead("kind").over(W)
-    rows = events.withColumns({"prev": prev, "nxt": nxt, "prev_frame": F.lag(FR).over(W)})
+    prev, nxt = F.lag("kind").over(frame_order()), F.lead("kind").over(frame_order())
+    rows = events.withColumns({"prev": prev, "nxt": nxt, "prev_frame": F.lag(FR).over(frame_order())})
     status = F.when((F.col("kind") == "open") & (F.col("prev") == "close"), "cycle").when(F.col("kind") == "open", "orphan_open").when(F.col("nxt").isNull(), "unclosed").otherwise(None)
     return rows.withColumn("pair", status).where("pair is not null").select(E, F.when(F.col("pair") == "cycle", F.col("prev_frame")).otherwise(F.when(F.col("pair") == "unclosed", F.col(FR))).alias("close_frame"), F.when(F.col("kind") == "open", F.col(FR)).alias("open_frame"), "pair")
 

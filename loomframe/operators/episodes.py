@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 E, FR = "episode_index", "frame_index"
-W = Window.partitionBy(E).orderBy(FR)
+
+
+def frame_order():
+    return Window.partitionBy(E).orderBy(FR)
 
 
 def relative_start(frames: DataFrame) -> DataFrame:
     """State and action less those of the episode's first frame."""
-    first = {v: F.zip_with(F.col(v), F.first(v).over(W), lambda x, y: x - y) for v in ("state", "action")}
+    first = {v: F.zip_with(F.col(v), F.first(v).over(frame_order()), lambda x, y: x - y) for v in ("state", "action")}
     return frames.withColumns(first)
 
 
@@ -28,13 +31,13 @@ def reindex(frames: DataFrame, fps: float) -> DataFrame:
     # one row an episode: a few bytes for thousands of frames
     w = Window.orderBy(E)
     offsets = sizes.select(E, (F.row_number().over(w) - 1).cast("long").alias("new_episode"), (F.sum("length").over(w) - F.col("length")).alias("dataset_from_index"), "length")
-    out = frames.withColumn("new_frame", (F.row_number().over(W) - 1).cast("long")).join(offsets, E)
+    out = frames.withColumn("new_frame", (F.row_number().over(frame_order()) - 1).cast("long")).join(offsets, E)
     return out.withColumns({"timestamp": (F.col("new_frame") / fps).cast("float"), "index": F.col("dataset_from_index") + F.col("new_frame"), "dataset_to_index": F.col("dataset_from_index") + F.col("length")})
 
 
 def action_metrics(frames: DataFrame) -> DataFrame:
     """Length and mean size of the action, and length of its change (0 in the first frame and where the width changes)."""
-    before = F.lag("action").over(W)
+    before = F.lag("action").over(frame_order())
     delta = F.when(F.size(before) == F.size("action"), F.sqrt(F.aggregate(F.zip_with("action", before, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))).otherwise(0.0)
     norm = F.sqrt(F.aggregate("action", F.lit(0.0), lambda s, x: s + x * x))
     return frames.withColumns({"l2": norm, "mean_abs": F.aggregate("action", F.lit(0.0), lambda s, x: s + F.abs(x)) / F.size("action"), "delta_l2": F.coalesce(delta, F.lit(0.0))})
@@ -49,7 +52,7 @@ def suggest_trim(metrics: DataFrame, column: str, threshold: float, margin: int)
 
 def command_trim(frames: DataFrame, joints: list[int], hands: list[int], joint_step: float = 0.001, hand_step: float = 0.1, pre: int = 2, post: int = 2) -> DataFrame:
     """Trim by commands: a step is active if a joint or hand moves enough, or both its neighbours do. Fewer than 2 frames left is a reject."""
-    before = F.lag("action").over(W)
+    before = F.lag("action").over(frame_order())
     moved = lambda dims, step: F.greatest(*[F.abs(F.col("action")[d] - before[d]) for d in dims]) > step if len(dims) > 1 else F.abs(F.col("action")[dims[0]] - before[dims[0]]) > step
     raw = F.coalesce(moved(joints, joint_step) | moved(hands, hand_step), F.lit(False))
     steps = frames.withColumn("raw", raw).withColumn("step", F.col(FR) - 1)

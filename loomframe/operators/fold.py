@@ -33,37 +33,39 @@ def limit_step(state: dict, row: list[float], dims: list[int], most: list[float]
 
 
 def blend_step(state: dict, row: list[float], at: int, steps: int, dims: list[int]) -> tuple[dict, list[float]]:
-    """Ramp the first `steps` rows of a chunk from the last output: at is the row's place in its chunk."""
+    """Ramp the first `steps` rows of a chunk from the last output (the first chunk's from its own first row): at is the row's place in its chunk."""
     if at == 0:
-        state = {**state, "anchor": state.get("last")}
+        state = {**state, "anchor": state.get("last") or list(row)}
     out, anchor = list(row), state.get("anchor")
-    if anchor is not None and at < steps:
-        share = at / steps
+    if at < steps:
+        share = (at + 1) / steps
         for d in dims:
-            out[d] = anchor[d] + (row[d] - anchor[d]) * share
+            out[d] = (1 - share) * anchor[d] + share * row[d]
     return {**state, "last": out}, out
 
 
-def latch_step(state: dict, row: list[float], dims: list[int], intents: int, hold: int = 0, threshold: float = 0.5) -> tuple[dict, list[float]]:
-    """Hold 0 or 1 until `intents` opposite rows in a row have come and the state has held for `hold` rows."""
+def latch_step(state: dict, row: list[float], dims: list[int], intents: int, close: float = 0.7, open_: float = 0.3, min_close: int = 0, min_open: int = 0) -> tuple[dict, list[float]]:
+    """Hold 0 or 1 until `intents` rows in a row call for the other (at least `close`, at most `open_`) and the state has lasted long enough. state["initial"]: values to start from."""
     out, held = list(row), {}
     for d in dims:
-        value, count, age = state.get(d, (None, 0, 0))
-        want = 1.0 if row[d] > threshold else 0.0
-        if value is None:
-            value = state.get("initial", {}).get(d, 0.0)
-        count = count + 1 if want != value else 0
-        if count >= intents and age >= hold:
-            value, count, age = want, 0, 0
-        held[d] = (value, count, age + 1)
-        out[d] = value
+        if d not in state:
+            closed = state.get("initial", {}).get(d, 0.0) >= 0.5
+            state = {**state, d: (closed, 0, min_close if closed else min_open)}
+        closed, count, age = state[d]
+        count = count + 1 if (row[d] <= open_ if closed else row[d] >= close) else 0
+        if count >= intents and age >= (min_close if closed else min_open):
+            closed, count, age = not closed, 0, 0
+        held[d] = (closed, count, age + 1)
+        out[d] = float(closed)
     return {**state, **held}, out
 
 
-def compose(frames_in_chunk: Callable[[int], int], dims: list[int], most: list[float], steps: int, latch_dims: list[int], intents: int) -> Callable:
-    """Blend, then limit, then latch; the blend starts from the final output."""
+def compose(frames_in_chunk: Callable[[int], int], dims: list[int], most: list[float], steps: int, latch_dims: list[int], intents: int, initial: list[float] | None = None) -> Callable:
+    """Blend, then limit, then latch; the blend starts from the final output. initial: the action before the first."""
 
     def step(state: dict, row: list[float], frame: int) -> tuple[dict, list[float]]:
+        if not state and initial is not None:
+            state = {"final": initial, "limit": {"last": initial}, "latch": {"initial": {d: initial[d] for d in latch_dims}}}
         b, out = blend_step({"last": state.get("final"), "anchor": state.get("anchor")}, row, frames_in_chunk(frame), steps, dims)
         limited, out = limit_step(state.get("limit", {}), out, dims, most)
         latched, out = latch_step(state.get("latch", {}), out, latch_dims, intents)
@@ -102,14 +104,13 @@ def limit_native(frames: DataFrame, x: Column, most: float) -> DataFrame:
     return ordered(frames, x).select(E, F.inline(F.aggregate("s", zero, merge)))
 
 
-def latch_native(frames: DataFrame, x: Column, intents: int, threshold: float = 0.5) -> DataFrame:
-    """The latch of one dimension as aggregate(). Rows (episode, frame, x)."""
+def latch_native(frames: DataFrame, x: Column, intents: int, close: float = 0.7, open_: float = 0.3) -> DataFrame:
+    """The latch of one dimension without a least hold, as aggregate(). Rows (episode, frame, x)."""
     zero = F.struct(F.lit(0.0).alias("v"), F.lit(0).alias("n"), F.array().cast(f"array<struct<{FR}:bigint,x:double>>").alias("out"))
 
     def merge(acc, s):
-        want = F.when(s["x"] > threshold, 1.0).otherwise(0.0)
-        n = F.when(want != acc["v"], acc["n"] + 1).otherwise(0)
-        v = F.when(n >= intents, want).otherwise(acc["v"])
+        n = F.when(F.when(acc["v"] == 1.0, s["x"] <= open_).otherwise(s["x"] >= close), acc["n"] + 1).otherwise(0)
+        v = F.when(n >= intents, 1.0 - acc["v"]).otherwise(acc["v"])
         return F.struct(v.alias("v"), F.when(n >= intents, 0).otherwise(n).alias("n"), F.concat(acc["out"], F.array(F.struct(s[FR].alias(FR), v.alias("x")))).alias("out"))
 
     return ordered(frames, x).select(E, F.inline(F.aggregate("s", zero, merge)["out"]))

@@ -237,20 +237,20 @@ def rate_limit(spark, sf):
     return fold.limit_native(frames(spark, sf), F.col("action")[0], 0.05).withColumn("x", F.round("x", 6))
 
 
-@query("""--with recursive rw AS (SELECT episode_index, frame_index, CASE WHEN action[1] > 0.0 THEN 1.0 ELSE 0.0 END AS want FROM frms), lt AS (
+@query("""--with recursive rw AS (SELECT episode_index, frame_index, action[1] AS a FROM frms), lt AS (
 SELECT episode_index, CAST(-1 AS BIGINT) AS frame_index, 0.0 AS v, 0 AS n FROM frms WHERE frame_index = 0 UNION ALL
-SELECT r.episode_index, r.frame_index, CASE WHEN r.want <> l.v AND l.n + 1 >= 2 THEN r.want ELSE l.v END, CASE WHEN r.want <> l.v AND l.n + 1 < 2 THEN l.n + 1 ELSE 0 END FROM lt l JOIN rw r ON r.episode_index = l.episode_index AND r.frame_index = l.frame_index + 1)
+SELECT r.episode_index, r.frame_index, CASE WHEN (CASE WHEN v = 1 THEN a <= -0.02 ELSE a >= 0.02 END) AND n + 1 >= 2 THEN 1 - v ELSE v END, CASE WHEN (CASE WHEN v = 1 THEN a <= -0.02 ELSE a >= 0.02 END) AND n + 1 < 2 THEN n + 1 ELSE 0 END FROM lt l JOIN rw r ON r.episode_index = l.episode_index AND r.frame_index = l.frame_index + 1)
 SELECT episode_index, frame_index, CAST(v AS DOUBLE) AS x FROM lt WHERE frame_index >= 0 -- frms""")
 def latch(spark, sf):
-    return fold.latch_native(frames(spark, sf), F.col("action")[0], 2, 0.0)
+    return fold.latch_native(frames(spark, sf), F.col("action")[0], 2, 0.02, -0.02)
 
 
-@query("""--with recursive rw AS (SELECT episode_index, frame_index, frame_index % 4 AS i, action[1] AS a FROM frms), bl AS (
-SELECT episode_index, frame_index, a AS x, CAST(NULL AS DOUBLE) AS anchor FROM rw WHERE frame_index = 0 UNION ALL
-SELECT r.episode_index, r.frame_index, CASE WHEN (CASE WHEN i = 0 THEN b.x ELSE b.anchor END) IS NOT NULL AND i < 2 THEN (CASE WHEN i = 0 THEN b.x ELSE b.anchor END) + (a - (CASE WHEN i = 0 THEN b.x ELSE b.anchor END)) * i / 2.0 ELSE a END, CASE WHEN i = 0 THEN b.x ELSE b.anchor END FROM bl b JOIN rw r ON r.episode_index = b.episode_index AND r.frame_index = b.frame_index + 1)
+@query("""--with recursive rw AS (SELECT episode_index, frame_index, frame_index % 5 AS i, action[1] AS a FROM frms), bl AS (
+SELECT episode_index, frame_index, a AS x, a AS anchor FROM rw WHERE frame_index = 0 UNION ALL
+SELECT r.episode_index, r.frame_index, CASE WHEN i < 3 THEN (1 - (i + 1) / 3.0) * (CASE WHEN i = 0 THEN b.x ELSE b.anchor END) + (i + 1) / 3.0 * a ELSE a END, CASE WHEN i = 0 THEN b.x ELSE b.anchor END FROM bl b JOIN rw r ON r.episode_index = b.episode_index AND r.frame_index = b.frame_index + 1)
 SELECT episode_index, frame_index, round(x, 6) AS x FROM bl -- frms""")
 def blend(spark, sf):
-    out = fold.run_batch(frames(spark, sf), "action", lambda s, row, f: fold.blend_step(s, row, f % 4, 2, [0]))
+    out = fold.run_batch(frames(spark, sf), "action", lambda s, row, f: fold.blend_step(s, row, f % 5, 3, [0]))
     return out.select("episode_index", "frame_index", F.round(F.col("x")[0], 6).alias("x"))
 
 
@@ -289,8 +289,8 @@ def distinct_ids(spark, sf):
 
 @query("SELECT episode_index, frame_index, round(d1, 6) AS d1, round(d1 - lag(d1) OVER (PARTITION BY episode_index ORDER BY frame_index), 6) AS d2 FROM (SELECT episode_index, frame_index, action[1] - lag(action[1]) OVER (PARTITION BY episode_index ORDER BY frame_index) AS d1 FROM frms)")
 def diffs(spark, sf):
-    d = frames(spark, sf).withColumn("d1", F.col("action")[0] - F.lag(F.col("action")[0]).over(ep.W))
-    return d.select("episode_index", "frame_index", F.round("d1", 6).alias("d1"), F.round(F.col("d1") - F.lag("d1").over(ep.W), 6).alias("d2"))
+    d = frames(spark, sf).withColumn("d1", F.col("action")[0] - F.lag(F.col("action")[0]).over(ep.frame_order()))
+    return d.select("episode_index", "frame_index", F.round("d1", 6).alias("d1"), F.round(F.col("d1") - F.lag("d1").over(ep.frame_order()), 6).alias("d2"))
 
 
 @query("SELECT 'documents' AS src, doc_id AS id, lang AS tag FROM documents UNION ALL SELECT 'pages', page_id, NULL FROM pages")

@@ -180,13 +180,13 @@ def rate_limit_stream(spark, sf):
 
 @_same_as("latch")
 def latch_stream(spark, sf):
-    s = online.fold_stream(frame_stream(spark, sf), "action", lambda st, row, f: fold.latch_step(st, row, [0], 2, 0, 0.0))
+    s = online.fold_stream(frame_stream(spark, sf), "action", lambda st, row, f: fold.latch_step(st, row, [0], 2, 0.02, -0.02))
     return online.run_once(s, spark).select("episode_index", "frame_index", F.col("x")[0].alias("x"))
 
 
 @_same_as("blend")
 def blend_stream(spark, sf):
-    s = online.fold_stream(frame_stream(spark, sf), "action", lambda st, row, f: fold.blend_step(st, row, f % 4, 2, [0]))
+    s = online.fold_stream(frame_stream(spark, sf), "action", lambda st, row, f: fold.blend_step(st, row, f % 5, 3, [0]))
     return online.run_once(s, spark).select("episode_index", "frame_index", F.round(F.col("x")[0], 6).alias("x"))
 
 
