@@ -3,14 +3,17 @@
 A text's units are its lines and the text as a whole. Sizes count bigrams with repeats, what is shared counts once. Dice
 2|A n B| / (|A| + |B|) cannot reach a bound t unless the smaller side has at least t / (2 - t) of the larger one's bigrams,
 so a template is compared only with units whose size lies within these bounds; a count of words shows that before any
-bigram is made. All is built-in functions; nothing is shuffled.
+bigram is made. By the same bound a unit must hold one of a few words of a template, and texts without any end at once. All
+is built-in functions; nothing is shuffled.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Public license texts and customary notices.
@@ -35,6 +38,8 @@ TEMPLATES = {
     ],
 }
 LEAST = 0.85
+#: Words that many texts hold; others tell a license sooner.
+COMMON = frozenset("a all an and any as at be by can for from in is it not of on or public that the this to under use version with without work you".split())
 
 
 def bigrams_of(text: str) -> list[str]:
@@ -47,6 +52,23 @@ def templates(texts: dict[str, list[str]] = TEMPLATES) -> list[tuple[str, int, i
     return [(name, i, len(g), sorted(set(g))) for name, many in texts.items() for i, t in enumerate(many) if (g := bigrams_of(t))]
 
 
+def needed_words(known: list[tuple[str, int, int, list[str]]], least: float) -> list[str]:
+    """Words of which a unit must contain one to reach `least` with any template.
+
+    Even the smallest unit in bounds must share bound * size of a template's bigrams; once a set of words touches more of
+    them than may be missing, a unit without any of these words cannot.
+    """
+    words: set[str] = set()
+    for _, _, size, grams in known:
+        left, may_miss = list(grams), len(grams) - least / (2 - least) * size
+        for w in sorted({w for g in grams for w in g.split()}, key=lambda w: (w in COMMON or w.isdigit(), -len(w), w)):  # rare ones first
+            if len(grams) - len(left) > may_miss:
+                break
+            words.add(w)
+            left = [g for g in left if w not in g.split()]
+    return sorted(words)
+
+
 def scan(docs: DataFrame, known: list[tuple[str, int, int, list[str]]] | None = None, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, line, license, template, dice): every unit and template with a coefficient of at least `least`.
 
@@ -57,11 +79,13 @@ def scan(docs: DataFrame, known: list[tuple[str, int, int, list[str]]] | None =
     known = templates() if known is None else known
     bound = least / (2 - least)
     fits = lambda n, size: (n >= bound * size) & (n * bound <= size)
-    rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("unit"))
-    lines = rows.select(id_col, F.posexplode(F.split("unit", "\n")).alias("line", "unit"))
+    any_word = reduce(lambda a, w: a | F.lower("unit").contains(w), needed_words(known, least), F.lit(False))
+    rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("unit")).where(any_word)
+    lines = rows.select(id_col, F.posexplode(F.split("unit", "\n")).alias("line", "unit")).where(any_word)
     units = lines.union(rows.where(F.col("unit").contains("\n")).select(id_col, F.lit(-1), "unit"))
-    units = units.withColumn("n", F.regexp_count("unit", F.lit("[A-Za-z0-9]+")) - 1)
-    units = units.where(_any([F.lit(False), *[fits(F.col("n"), size) for size in sorted({k[2] for k in known})]]))
+    # one list of sizes, so that a unit's words are counted once, not once for each template
+    sizes = sorted({n for k in known for n in range(math.ceil(bound * k[2]), math.floor(k[2] / bound) + 1)})
+    units = units.withColumn("n", F.regexp_count("unit", F.lit("[A-Za-z0-9]+")) - 1).where(F.col("n").isin(sizes))
     words = F.filter(F.split(F.lower(F.regexp_replace("unit", "[^A-Za-z0-9]+", " ")), " "), lambda w: w != "")
     grams = F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.concat_ws(" ", F.element_at("w", i), F.element_at("w", i + 1)))
     units = units.select(id_col, "line", "n", words.alias("w")).select(id_col, "line", "n", grams.alias("grams"))
@@ -72,13 +96,6 @@ def scan(docs: DataFrame, known: list[tuple[str, int, int, list[str]]] | None =
     return found.select(id_col, "line", "m.license", "m.template", "m.dice")
 
 
-def _any(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out | c
-    return out
-
-
 def sql(known: list[tuple[str, int, int, list[str]]] | None = None, least: float = LEAST) -> str:
     """The same matches as DuckDB SQL over documents."""
     known = templates() if known is None else known

@@ -141,12 +141,13 @@ def repeats(docs: DataFrame, text_col: str, key: str, tables: common.Tables, siz
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
     every = tables.write(rows.mapInArrow(lambda it: joined(find(it)), "gram bigint, ctx bigint, key bigint, lo bigint, n int, rel int"))
-    again = every.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
+    # counts are written before they are joined, so that a gram of very many anchors can be split
+    again = tables.write(every.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram"))
     kept = tables.write(every.join(again, "gram", "left_semi"))
     tables.drop(every)
     contexts = kept.groupBy("gram", "ctx").agg(F.count("*").alias("c"), F.min(F.struct("key", "lo", "n", "rel")).alias("one"))
     contexts = tables.write(contexts.select("gram", "ctx", "c", "one.*"))
-    differ = contexts.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram")
+    differ = tables.write(contexts.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram"))
     wanted = contexts.join(differ, "gram", "left_semi").groupBy("key").agg(F.collect_list(F.struct("gram", "ctx", "c", "lo", "n", "rel")).alias("list"))
 
     def cut(batches):
@@ -240,13 +241,13 @@ def remove(docs: DataFrame, text_col: str = "text", size: int = SIZE, gram: int
     names = docs.columns
     ids = [c for c in ("doc_id",) if c in names]
     keyed = docs.withColumn("__key", F.xxhash64(*ids, text_col))
-    found = repeats(keyed, text_col, "__key", tables, size, gram, starts, many).withColumnRenamed("key", "__key")
+    found = repeats(keyed, text_col, "__key", tables, size, gram, starts, many).select(F.col("key").alias("__key"), F.col("found").alias("__found"))
 
     def run(batches):
         for b in batches:
             spans, kept, n, sha = [], [], [], []
             null = common.column(b, text_col).is_null().to_pylist()
-            for t, f, none in zip(common.texts(b, text_col), common.column(b, "found"), null):
+            for t, f, none in zip(common.texts(b, text_col), common.column(b, "__found"), null):
                 s = covered(len(t), f.as_py(), size, starts) if f.is_valid else []
                 rest = b"".join(t[a:z] for a, z in zip([0, *[z for _, z in s]], [*[a for a, _ in s], len(t)]))
                 spans.append([{"first": a, "end": z} for a, z in s])
