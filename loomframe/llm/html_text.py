@@ -31,6 +31,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 NEVER = frozenset("aside audio button canvas dialog footer form head iframe menu nav noscript object script select style svg template textarea title video".split())
 ARTICLE = frozenset("article main".split())
 PARTS = frozenset("ad ads adsense advert advertisement advertising adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promoted promotion related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget".split())
+WITHOUT = frozenset("has no with without".split())  # as in "with-sidebar": says what stands elsewhere
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 CLOSED_BY = {"p": frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "option": frozenset(["option"])}
 
@@ -57,7 +58,8 @@ def marked(name: str, attributes: str, in_article: bool) -> tuple[bool, str]:
         if key in ("class", "id"):
             label += f".{value}"
             if name not in ARTICLE and name not in ("body", "html"):
-                skip = skip or any(w.lower() in PARTS for w in NAME_PARTS.findall(value))
+                words = [w.lower() for w in NAME_PARTS.findall(value)]
+                skip = skip or any(w in PARTS and before not in WITHOUT and not (in_article and w == "header") for before, w in zip(["", *words], words))
         elif key == "role":
             skip = skip or value.lower() in ROLES
         elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
