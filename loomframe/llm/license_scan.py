@@ -61,7 +61,7 @@ def needed_words(known: list[tuple[str, int, int, list[str]]], least: float) ->
     words: set[str] = set()
     for _, _, size, grams in known:
         left, may_miss = list(grams), len(grams) - least / (2 - least) * size
-        for w in sorted({w for g in grams for w in g.split()}, key=lambda w: (w in COMMON or w.isdigit(), -len(w), w)):  # rare ones first
+        for w in sorted({w for g in grams for w in g.split()}, key=lambda w: (w in COMMON or w.isdigit(), w not in words, -len(w), w)):  # rare ones first
             if len(grams) - len(left) > may_miss:
                 break
             words.add(w)
@@ -79,7 +79,8 @@ def scan(docs: DataFrame, known: list[tuple[str, int, int, list[str]]] | None =
     known = templates() if known is None else known
     bound = least / (2 - least)
     fits = lambda n, size: (n >= bound * size) & (n * bound <= size)
-    any_word = reduce(lambda a, w: a | F.lower("unit").contains(w), needed_words(known, least), F.lit(False))
+    # one lower-case copy for all words
+    any_word = F.exists(F.array(F.lower("unit")), lambda x: reduce(lambda a, w: a | x.contains(w), needed_words(known, least), F.lit(False)))
     rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("unit")).where(any_word)
     lines = rows.select(id_col, F.posexplode(F.split("unit", "\n")).alias("line", "unit")).where(any_word)
     units = lines.union(rows.where(F.col("unit").contains("\n")).select(id_col, F.lit(-1), "unit"))
