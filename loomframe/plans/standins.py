@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..ship import ship
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -33,7 +36,12 @@ def query(sql: str | None = None):
     """Register a query under its function's name, with the SQL it must agree with."""
 
     def add(f):
-        QUERIES[f.__name__] = f
+        @wraps(f)
+        def run(spark, sf):
+            ship(spark)
+            return f(spark, sf)
+
+        QUERIES[f.__name__] = run
         if sql:
             SQL[f.__name__] = with_tables(sql)
         return f
