@@ -10,12 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..ship import ship
+
 #: Rows of a batch handed to Python at once; texts are long, so fewer than Spark's default.
 BATCH_ROWS = 1000
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lower the rows per Arrow batch, unless the session already has fewer."""
+    """Before a table goes to Python: send the package, and lower the rows per Arrow batch unless the session already has fewer."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
@@ -34,6 +37,7 @@ class Tables:
     """Intermediate results written to the shared folder, so that lineage ends there."""
 
     def __init__(self, spark: SparkSession):
+        ship(spark)
         self.spark, self.root = spark, f"{shared_dir(spark)}/loomframe-{uuid.uuid4().hex}"
         self.count = 0
 

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..ship import ship
 from .near_vectors import usable
 
 #: Queries of one broadcast; dimension blocks; rows scored at once.
@@ -50,6 +51,7 @@ def search(df: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, pa
     without vec_id, take no part. Repeated rows are rows of their own; sums beyond 64 bits wrap. Empty tables give no rows.
     """
     spark = df.sparkSession
+    ship(spark)
     rows, queries = (usable(x.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vec")).where("vec_id is not null"), "vec") for x in (df, queries))
     chunks = -(-queries.count() // chunk)
     out = None
