@@ -11,20 +11,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
+from xxhash import xxh3_128_digest, xxh64_intdigest
 
 from . import common
 
 #: Rows of one block where fingerprints that share a variant are compared with each other.
 BLOCK = 256
-#: Texts of one block whose shingle sets are compared with each other.
+#: Texts of one block whose shingle sets are compared.
 COMPARE = 64
 #: Shingles whose bits are counted at once.
 CHUNK = 1 << 16
 
 
-def fingerprint(text: bytes, words: int = 3, seed: int = 42, distinct: bool = False) -> int:
-    """Bit i is 1 if it is set in over half of the hashes of the word shingles, repeats included unless distinct; 0 without words."""
+def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
+    """Bit i is 1 if it is set in over half of the hashes of the word shingles, repeats included; 0 without words."""
     w = text.lower().split()  # A-Z only, and ASCII white space
     if not w:
         return 0
@@ -34,10 +34,6 @@ def fingerprint(text: bytes, words: int = 3, seed: int = 42, distinct: bool = Fa
     starts = np.concatenate([[0], ends[:-1]])[:n].tolist()
     ends = (ends[min(words, len(w)) - 1 :] - 1).tolist()
     ones = np.zeros(64, np.int64)
-    if distinct:
-        h = np.array([xxh64_intdigest(x, seed) for x in {line[a:b] for a, b in zip(starts, ends)}], ">u8")
-        ones = sum(np.unpackbits(h[at : at + CHUNK].view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64) for at in range(0, len(h), CHUNK))
-        return int.from_bytes(np.packbits(2 * ones > len(h)).tobytes(), "big", signed=True)
     for at in range(0, n, CHUNK):
         h = np.array([xxh64_intdigest(line[a:b], seed) for a, b in zip(starts[at : at + CHUNK], ends[at : at + CHUNK])], ">u8")
         ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
@@ -124,14 +120,32 @@ def shingles(text: bytes, words: int) -> np.ndarray:
     return np.unique(np.fromiter((xxh64_intdigest(line[a:b]) for a, b in zip(starts, ends)), np.uint64, n))
 
 
-def near_duplicates(df: DataFrame, words: int = 5, least: float = 0.8, bits: int = 5, seeds: tuple[int, ...] = (42, 43), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def word_sketch(text: bytes) -> tuple[int, int]:
+    """Two SimHashes over a text's distinct lower-case words, from the halves of one hash of each; zeros without words."""
+    words, ones = list(set(text.lower().split())), np.zeros(128, np.int64)
+    for at in range(0, len(words), CHUNK):
+        h = b"".join(map(xxh3_128_digest, words[at : at + CHUNK]))
+        ones += np.unpackbits(np.frombuffer(h, np.uint8).reshape(-1, 16), axis=1).sum(0, dtype=np.int64)
+    return tuple(np.packbits(2 * ones > len(words)).view(">i8").tolist())
+
+
+def similar(x: np.ndarray, y: np.ndarray, least: float) -> bool:
+    """Jaccard similarity of two sorted distinct arrays; sizes alone often tell."""
+    if min(len(x), len(y)) < least * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= least * (len(x) + len(y) - both)
+
+
+def near_duplicates(df: DataFrame, words: int = 5, least: float = 0.8, bits: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, component_id) of the non-null ids in groups of copies and near copies; component_id is the smallest id.
 
     Near copies have a Jaccard similarity of at least `least` over their sets of `words`-word shingles. Candidates are texts
-    whose SimHash over distinct single words differs in at most `bits` bits for one of the seeds: a word that changes
+    whose SimHash over distinct single words differs in at most `bits` bits in one of two sketches: a word that changes
     touches `words` shingles but one word, so texts that similar differ in few of these bits. What candidates connect is
-    compared exactly, in blocks, one text of each set of equal word sequences standing for all. Texts without words are
-    copies of each other. An empty table gives no rows.
+    compared exactly: each text with the smallest id of its candidates first, and those that aren't similar to that one with
+    all others, in blocks. One text stands for all of equal word sequences. Texts without words are copies of each other.
+    An empty table gives no rows.
     """
     spark = df.sparkSession
     common.small_batches(spark)
@@ -143,48 +157,61 @@ def near_duplicates(df: DataFrame, words: int = 5, least: float = 0.8, bits: int
             got = []
             for t in common.texts(b, "text"):
                 t = bytes(t)
-                got.append((xxh64_intdigest(b" ".join(t.lower().split()), 3) - (1 << 63), *(fingerprint(t, 1, s, True) for s in seeds)))
-            yield pa.record_batch([common.column(b, "id"), *[pa.array([g[i] for g in got], pa.int64()) for i in range(len(seeds) + 1)]], ["id", "same", *[f"fp{i}" for i in range(len(seeds))]])
+                got.append((xxh64_intdigest(b" ".join(t.lower().split()), 3) - (1 << 63), *word_sketch(t)))
+            yield pa.record_batch([common.column(b, "id"), *[pa.array([g[i] for g in got], pa.int64()) for i in range(3)]], ["id", "same", "fp0", "fp1"])
 
-    sketched = tables.write(rows.mapInArrow(sketch, f"id bigint, same bigint, {', '.join(f'fp{i} bigint' for i in range(len(seeds)))}"))
-    one = tables.write(sketched.groupBy("same", *[f"fp{i}" for i in range(len(seeds))]).agg(F.min("id").alias("rep")).drop("same"))
+    sketched = tables.write(rows.mapInArrow(sketch, "id bigint, same bigint, fp0 bigint, fp1 bigint"))
+    one = tables.write(sketched.groupBy("same", "fp0", "fp1").agg(F.min("id").alias("rep")).drop("same"))
     edges = None
-    for i in range(len(seeds)):
-        least_of = one.groupBy(f"fp{i}").agg(F.min("rep").alias("a"))
-        equal = one.join(least_of, f"fp{i}").select("a", F.col("rep").alias("b")).where("a <> b")
-        near = links(least_of.select(F.col(f"fp{i}").alias("fp")), bits, tables)
-        a, b = (least_of.select(F.col(f"fp{i}").alias(k), F.col("a").alias(f"rep_{k}")) for k in "ab")
+    for fp in ("fp0", "fp1"):
+        first = one.groupBy(fp).agg(F.min("rep").alias("a"))
+        equal = one.join(first, fp).select("a", F.col("rep").alias("b")).where("a <> b")
+        near = links(first.select(F.col(fp).alias("fp")), bits, tables)
+        a, b = (first.select(F.col(fp).alias(k), F.col("a").alias(f"rep_{k}")) for k in "ab")
         near = near.join(a, "a").join(b, "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
         edges = equal.union(near) if edges is None else edges.union(equal).union(near)
     part = tables.write(common.components(spark, edges, tables))
-    sizes = part.groupBy("component").agg(F.count("*").alias("n"))
-    members = part.join(sizes, "component").withColumnRenamed("node", "id").join(rows, "id").dropDuplicates(["id"])
+    members = part.withColumnRenamed("node", "id").join(rows, "id").dropDuplicates(["id"])
 
     def shingled(batches):
         for b in batches:
             sets = [shingles(bytes(t), words).view(np.int64) for t in common.texts(b, "text")]
-            yield pa.record_batch([common.column(b, "component"), common.column(b, "n"), common.column(b, "id"), pa.array(sets, pa.list_(pa.int64()))], ["component", "n", "id", "set"])
+            yield pa.record_batch([common.column(b, "component"), common.column(b, "id"), pa.array(sets, pa.list_(pa.int64()))], ["component", "id", "set"])
 
-    sets = tables.write(members.select("component", "n", "id", "text").mapInArrow(shingled, "component bigint, n bigint, id bigint, set array<bigint>"))
-    dealt = common.block_pairs(sets, "n", COMPARE, F.xxhash64("id")).select("component", "bi", "bj", "mine", "id", "set")
+    sets = tables.write(members.select("component", "id", "text").mapInArrow(shingled, "component bigint, id bigint, set array<bigint>"))
+
+    def by_leader(batches):
+        for b in batches:
+            ok = [similar(x.values.to_numpy(), y.values.to_numpy(), least) for x, y in zip(common.column(b, "set"), common.column(b, "leader"))]
+            yield pa.record_batch([common.column(b, "component"), common.column(b, "id"), common.column(b, "set"), pa.array(ok)], ["component", "id", "set", "led"])
+
+    leaders = sets.where("id = component").select("component", F.col("set").alias("leader"))
+    led = tables.write(sets.join(leaders, "component").mapInArrow(by_leader, "component bigint, id bigint, set array<bigint>, led boolean"))
+    sizes = tables.write(led.groupBy("component").agg(F.count("*").alias("n"), F.count_if(~F.col("led")).alias("rest")).where("rest > 0"))
+    blocks = lambda n: F.ceil(F.col(n) / COMPARE).cast("int")
+    every = led.join(sizes, "component").withColumns({"bi": F.pmod(F.xxhash64("id"), blocks("n")).cast("int"), "bj": F.pmod(F.xxhash64("id"), blocks("rest")).cast("int")})
+    # the rest against all: a block of all and a block of the rest meet
+    all_side = every.select("component", "bi", F.explode(F.sequence(F.lit(0), blocks("rest") - 1)).alias("bj"), F.lit(False).alias("is_rest"), "led", "id", "set")
+    rest_side = every.where("not led").select("component", F.explode(F.sequence(F.lit(0), blocks("n") - 1)).alias("bi"), "bj", F.lit(True).alias("is_rest"), "led", "id", "set")
 
     def verify(batches):
         for g in common.sorted_groups(batches, ["component", "bi", "bj"]):
-            forest, same = common.Forest(), g["bi"][0] == g["bj"][0]
-            at = sorted(range(len(g["id"])), key=lambda i: len(g["set"][i]))
-            for k, i in enumerate(at):
-                x = g["set"][i]
-                for j in at[k + 1 :]:
-                    y = g["set"][j]
-                    if least * len(y) > len(x):
-                        break  # the rest are too long for x
-                    if (same or g["mine"][i] != g["mine"][j]) and forest.root(g["id"][i]) != forest.root(g["id"][j]):
-                        both = len(np.intersect1d(x, y, assume_unique=True))
-                        if both >= least * (len(x) + len(y) - both):
-                            forest.link(g["id"][i], g["id"][j])
-            if forest.kept:
-                yield pa.record_batch([pa.array([int(k[i]) for k in forest.kept], pa.int64()) for i in (0, 1)], ["a", "b"])
-
-    found = dealt.repartition("component", "bi", "bj").sortWithinPartitions("component", "bi", "bj").mapInArrow(verify, "a bigint, b bigint")
+            forest, leader = common.Forest(), int(g["component"][0])
+            rest, others = np.flatnonzero(g["is_rest"]).tolist(), np.flatnonzero(~g["is_rest"]).tolist()
+            for j in others:
+                if g["led"][j]:
+                    forest.link(leader, int(g["id"][j]))
+            known = len(forest.kept)
+            for i in rest:
+                for j in others:
+                    x, y = int(g["id"][i]), int(g["id"][j])
+                    if x != y and forest.root(x) != forest.root(y) and similar(g["set"][i], g["set"][j], least):
+                        forest.link(x, y)
+            if len(forest.kept) > known:
+                yield pa.record_batch([pa.array([k[i] for k in forest.kept[known:]], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    keys = ["component", "bi", "bj"]
+    found = all_side.union(rest_side).repartition(*keys).sortWithinPartitions(*keys).mapInArrow(verify, "a bigint, b bigint")
+    found = found.union(led.where("led").select(F.col("component").alias("a"), F.col("id").alias("b")))
     copies = sketched.join(sketched.groupBy("same").agg(F.min("id").alias("a"), F.count("*").alias("c")).where("c > 1"), "same").select("a", F.col("id").alias("b"))
     return common.components(spark, found.union(copies), tables).select(F.col("node").alias(id_col), F.col("component").alias("component_id"))
