@@ -11,10 +11,10 @@ from ..streaming import online
 from .standins import ACTION, COMMAND, HAND, MASTER, STATE, frames, messages, query, table
 
 
-@query("SELECT DISTINCT id FROM (SELECT unnest(CASE WHEN p_partkey % 3 = 0 THEN [p_partkey] ELSE [p_partkey - 2, p_partkey - 1, p_partkey] END) AS id FROM part WHERE p_size < 20)")
+@query("SELECT DISTINCT id FROM (SELECT unnest(CASE WHEN p_partkey % 3 = 0 THEN [p_partkey] ELSE [p_partkey, p_partkey + 1, p_partkey + 2] END) AS id FROM part WHERE p_size < 20)")
 def id_list(spark, sf):
     k = F.col("p_partkey")
-    text = F.when(k % 3 == 0, k.cast("string")).when(k % 3 == 1, F.concat(k, F.lit("-"), k - 2, F.lit(" # kept"))).otherwise(F.concat(k - 2, F.lit("，"), k - 1, F.lit(", "), k, F.lit(", x")))
+    text = F.when(k % 3 == 0, k.cast("string")).when(k % 3 == 1, F.concat(k + 2, F.lit("-"), k, F.lit(" # kept"))).otherwise(F.concat(k, F.lit("，"), k + 1, F.lit(", "), k + 2, F.lit(", x")))
     return io.parse_id_list(table(spark, sf, "part").where("p_size < 20").select(text.alias("value")))
 
 
