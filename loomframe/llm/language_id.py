@@ -3,7 +3,7 @@
 The kernel of two texts is the number of byte n-grams of 1 to 4 bytes that both hold (a blended spectrum of presences),
 normalised. Kernel ridge regression, one language against the rest, is solved on Nystroem landmarks. A text's kernel row
 times the coefficients is one product of its presences with (landmark presences x coefficients), made for a batch of texts
-at once; n-grams are hashed to a table of fixed size.
+at once over the presences that aren't zero; n-grams are hashed to a table of fixed size.
 """
 
 from __future__ import annotations
@@ -41,6 +41,16 @@ def presences(text: bytes, out: np.ndarray) -> None:
             out[(h ^ (h >> np.uint32(13))) * ODD[(n + 1) % 4] >> np.uint32(32 - SIZE_BITS)] = 1
 
 
+def product(flags: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """flags @ m for rows of mostly zeros: one sum of m's rows for each row of flags, no BLAS threads in a task."""
+    at = [np.flatnonzero(row) for row in flags.view(bool)]
+    n = np.array([len(x) for x in at])
+    out = np.zeros((len(flags), m.shape[1]), np.float32)
+    if n.any():
+        out[n > 0] = np.add.reduceat(m[np.concatenate(at)], np.concatenate([[0], np.cumsum(n)[:-1]])[n > 0])
+    return out
+
+
 def lowered(text: bytes) -> bytes:
     return bytes(text).decode().lower().encode()
 
@@ -79,16 +89,14 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     packed = np.stack([np.frombuffer(r.row, np.uint8) for r in got])
     lang = np.array([r.lang for r in got])
 
-    def rows_of(at) -> np.ndarray:
-        x = np.unpackbits(packed[at], axis=1).astype(np.float32)
-        return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
-
-    marks = rows_of(np.concatenate([np.flatnonzero(lang == k)[: max(1, landmarks // len(langs))] for k in langs]))
-    k_nm = np.concatenate([rows_of(slice(at, at + ROWS)) @ marks.T for at in range(0, len(packed), ROWS)]).astype(float)
-    k_mm = (marks @ marks.T).astype(float)
+    size = np.sqrt(np.maximum(np.bitwise_count(packed).sum(axis=1, dtype=np.int64), 1)).astype(np.float32)
+    chosen = np.concatenate([np.flatnonzero(lang == k)[: max(1, landmarks // len(langs))] for k in langs])
+    marks = np.unpackbits(packed[chosen], axis=1).T.astype(np.float32) / size[chosen]  # SIZE x landmarks
+    k_nm = np.concatenate([product(np.unpackbits(packed[at : at + 4], axis=1), marks) for at in range(0, len(packed), 4)]).astype(float) / size[:, None]
+    k_mm = k_nm[chosen]
     y = np.where(lang[:, None] == np.array(langs)[None], 1.0, -1.0)
     coef = np.linalg.lstsq(k_nm.T @ k_nm + RIDGE * len(packed) * k_mm, k_nm.T @ y, rcond=None)[0]
-    return langs, marks.T @ coef.astype(np.float32)
+    return langs, marks @ coef.astype(np.float32)
 
 
 def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray, text_col: str = "text") -> DataFrame:
@@ -108,7 +116,7 @@ def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray, text_col: str
                 flags = np.zeros((len(part), SIZE), np.uint8)
                 for row, i in zip(flags, part):
                     presences(lowered(raw[i]), row)
-                f = flags.astype(np.float32) @ m
+                f = product(flags, m)
                 f = f[:, :-1] / np.sqrt(np.maximum(f[:, -1:], 1))
                 e = np.exp(SHARPNESS * (f - f.max(axis=1, keepdims=True)))
                 e /= e.sum(axis=1, keepdims=True)
