@@ -17,17 +17,20 @@ are one row after the first grouped count.
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
+from xxhash import xxh64_digest, xxh64_intdigest
 
 from . import common
 from .suffix_array import suffix_array
 
 SIZE, GRAM, STARTS = 400, 128, 20
+#: Bytes of a word's hash where passages are counted in words.
+WORD = 8
 #: Passage starts of a text that are hashed at once.
 CHUNK = 1 << 20
 #: Symbols of one suffix array; blocks of one core from which single passages are counted instead.
@@ -226,9 +229,40 @@ def covered(length: int, found: list[dict], size: int, starts: int) -> list[tupl
     return list(zip(np.flatnonzero(inside == 1).tolist(), np.flatnonzero(inside == -1).tolist()))
 
 
-def remove(docs: DataFrame, text_col: str = "text", size: int = SIZE, gram: int = GRAM, starts: int = STARTS, many: int = MANY, digest: bool = False) -> DataFrame:
+def hashed_words(rows: DataFrame, text_col: str, key: str) -> DataFrame:
+    """Rows (key, text): a text's white-space words, each as a hash of WORD bytes."""
+
+    def run(batches):
+        for b in batches:
+            yield pa.record_batch([common.column(b, "key"), pa.array([b"".join(map(xxh64_digest, bytes(t).split())) for t in common.texts(b, "text")], pa.binary())], ["key", "text"])
+
+    return rows.select(F.col(key).alias("key"), F.col(text_col).alias("text")).mapInArrow(run, "key bigint, text binary")
+
+
+def word_spans(text: bytes, found: list[dict], size: int, starts: int) -> list[tuple[int, int]]:
+    """Byte spans of the words that passages found among the hashes of a text's words cover whole."""
+    at = [m.span() for m in re.finditer(rb"\S+", text)]
+    cut = [(-(-a // WORD), z // WORD) for a, z in covered(WORD * len(at), found, size, starts)]
+    return [(at[a][0], at[z - 1][1]) for a, z in cut]
+
+
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Disjoint spans, in order, that cover the same bytes."""
+    out: list[tuple[int, int]] = []
+    for a, z in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(z, out[-1][1]))
+        else:
+            out.append((a, z))
+    return out
+
+
+def remove(docs: DataFrame, text_col: str = "text", size: int = SIZE, gram: int = GRAM, starts: int = STARTS, many: int = MANY, digest: bool = False, words: int | None = None) -> DataFrame:
     """All columns, text_col without the bytes that a repeated passage of `size` bytes covers, and removed_spans.
 
+    words: passages of so many white-space words that stand elsewhere go too, however few bytes they have and whatever
+    white space parts their words.
+
     Texts count as UTF-8 bytes; matches never cross rows, and are judged on the input. removed_spans: array of (first
     byte, end). Null texts stay null; a character that loses some of its bytes goes whole. With digest=True the text stays
     as it is, and n_bytes and kept_sha256 (of the exact remaining bytes; a null text has none) come too. Rows that are
@@ -242,13 +276,19 @@ def remove(docs: DataFrame, text_col: str = "text", size: int = SIZE, gram: int
     ids = [c for c in ("doc_id",) if c in names]
     keyed = docs.withColumn("__key", F.xxhash64(*ids, text_col))
     found = repeats(keyed, text_col, "__key", tables, size, gram, starts, many).select(F.col("key").alias("__key"), F.col("found").alias("__found"))
+    if words:
+        by_words = repeats(hashed_words(keyed, text_col, "__key"), "text", "key", tables, words * WORD, min(GRAM, words * WORD // 2), STARTS, many)
+        found = found.join(by_words.select(F.col("key").alias("__key"), F.col("found").alias("__by_words")), "__key", "full")
 
     def run(batches):
         for b in batches:
             spans, kept, n, sha = [], [], [], []
             null = common.column(b, text_col).is_null().to_pylist()
-            for t, f, none in zip(common.texts(b, text_col), common.column(b, "__found"), null):
+            word_found = common.column(b, "__by_words") if words else pa.nulls(b.num_rows)
+            for t, f, w, none in zip(common.texts(b, text_col), common.column(b, "__found"), word_found, null):
                 s = covered(len(t), f.as_py(), size, starts) if f.is_valid else []
+                if w.is_valid:
+                    s = united(s + word_spans(bytes(t), w.as_py(), words * WORD, STARTS))
                 rest = b"".join(t[a:z] for a, z in zip([0, *[z for _, z in s]], [*[a for a, _ in s], len(t)]))
                 spans.append([{"first": a, "end": z} for a, z in s])
                 n.append(len(t))

@@ -429,6 +429,20 @@ def test_repeats_edges(spark):
     assert suffix_dedup.remove(twice.where("false")).count() == 0
 
 
+def test_repeated_passages_of_fifty_words(spark):
+    import corpus_pipeline as C
+
+    rng = random.Random(3)
+    words = lambda n: [f"{rng.randrange(1000)}" for _ in range(n)]
+    short, less = words(51), words(49)  # 51 words in under 250 bytes
+    texts = [words(60) + short + words(70), words(10) + short, words(80) + less + words(5), less + words(30), words(90)]
+    runs = collections.Counter(tuple(t[i : i + 50]) for t in texts for i in range(len(t) - 49))
+    want = [" ".join(w for k, w in enumerate(t) if not any(runs[tuple(t[i : i + 50])] > 1 for i in range(max(0, k - 49), k + 1) if i + 50 <= len(t))) for t in texts]
+    rows = [(i, (" \n " if i % 2 else " ").join(t), "en", "s", 0) for i, t in enumerate(texts)]
+    got = {r.doc_id: " ".join(r.text.split()) for r in C.cut_repeats(spark, spark.createDataFrame(rows, DOCS), SF).collect()}
+    assert got == dict(enumerate(want)) and len(got[1].split()) == 10
+
+
 # ---- pipeline
 
 
