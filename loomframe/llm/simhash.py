@@ -7,11 +7,13 @@ are joined and verified. Equal fingerprints are one row before that, so copies c
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_128_digest, xxh64_intdigest
+from xxhash import xxh64_intdigest
 
 from . import common
 
@@ -19,6 +21,10 @@ from . import common
 BLOCK = 256
 #: Texts of one block whose shingle sets are compared.
 COMPARE = 64
+#: Bands of min-hashes and the min-hashes of each: at Jaccard 0.8 a pair shares no band with probability (1 - 0.8 ** 6) ** 40, 5e-6.
+BANDS, ROWS = 40, 6
+#: Shingles whose min-hashes are taken at once.
+MIN_CHUNK = 1 << 8
 #: Shingles whose bits are counted at once.
 CHUNK = 1 << 16
 
@@ -120,13 +126,18 @@ def shingles(text: bytes, words: int) -> np.ndarray:
     return np.unique(np.fromiter((xxh64_intdigest(line[a:b]) for a, b in zip(starts, ends)), np.uint64, n))
 
 
-def word_sketch(text: bytes) -> tuple[int, int]:
-    """Two SimHashes over a text's distinct lower-case words, from the halves of one hash of each; zeros without words."""
-    words, ones = list(set(text.lower().split())), np.zeros(128, np.int64)
-    for at in range(0, len(words), CHUNK):
-        h = b"".join(map(xxh3_128_digest, words[at : at + CHUNK]))
-        ones += np.unpackbits(np.frombuffer(h, np.uint8).reshape(-1, 16), axis=1).sum(0, dtype=np.int64)
-    return tuple(np.packbits(2 * ones > len(words)).view(">i8").tolist())
+@cache
+def odd_factors(n: int) -> np.ndarray:
+    return np.random.default_rng(42).integers(1 << 63, size=n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def band_keys(hashes: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """A key for each band of `rows` min-hashes of a set of hashes: two sets of Jaccard similarity s share one with probability s ** rows."""
+    least = np.full(bands * rows, np.iinfo(np.uint64).max)
+    factors = odd_factors(bands * rows)
+    for at in range(0, len(hashes), MIN_CHUNK):
+        np.minimum(least, (hashes[at : at + MIN_CHUNK, None] * factors).min(0), out=least)
+    return np.array([xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(least.reshape(bands, rows))], np.uint64).view(np.int64)
 
 
 def similar(x: np.ndarray, y: np.ndarray, least: float) -> bool:
@@ -137,12 +148,13 @@ def similar(x: np.ndarray, y: np.ndarray, least: float) -> bool:
     return both >= least * (len(x) + len(y) - both)
 
 
-def near_duplicates(df: DataFrame, words: int = 5, least: float = 0.8, bits: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(df: DataFrame, words: int = 5, least: float = 0.8, bands: int = BANDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, component_id) of the non-null ids in groups of copies and near copies; component_id is the smallest id.
 
     Near copies have a Jaccard similarity of at least `least` over their sets of `words`-word shingles. Candidates are texts
-    whose SimHash over distinct single words differs in at most `bits` bits in one of two sketches: a word that changes
-    touches `words` shingles but one word, so texts that similar differ in few of these bits. What candidates connect is
+    that share one of `bands` keys, each of ROWS min-hashes of that very set, so that neither a text's length nor its
+    vocabulary matters: a pair of similarity s is missed with probability (1 - s ** ROWS) ** bands. Of a key's texts each is
+    linked with the smallest id, so that no pairs are made. What candidates connect is
     compared exactly: each text with the smallest id of its candidates first, and those that aren't similar to that one with
     all others, in blocks. One text stands for all of equal word sequences. Texts without words are copies of each other.
     An empty table gives no rows.
@@ -154,22 +166,18 @@ def near_duplicates(df: DataFrame, words: int = 5, least: float = 0.8, bits: int
 
     def sketch(batches):
         for b in batches:
-            got = []
+            same, keys = [], []
             for t in common.texts(b, "text"):
                 t = bytes(t)
-                got.append((xxh64_intdigest(b" ".join(t.lower().split()), 3) - (1 << 63), *word_sketch(t)))
-            yield pa.record_batch([common.column(b, "id"), *[pa.array([g[i] for g in got], pa.int64()) for i in range(3)]], ["id", "same", "fp0", "fp1"])
-
-    sketched = tables.write(rows.mapInArrow(sketch, "id bigint, same bigint, fp0 bigint, fp1 bigint"))
-    one = tables.write(sketched.groupBy("same", "fp0", "fp1").agg(F.min("id").alias("rep")).drop("same"))
-    edges = None
-    for fp in ("fp0", "fp1"):
-        first = one.groupBy(fp).agg(F.min("rep").alias("a"))
-        equal = one.join(first, fp).select("a", F.col("rep").alias("b")).where("a <> b")
-        near = links(first.select(F.col(fp).alias("fp")), bits, tables)
-        a, b = (first.select(F.col(fp).alias(k), F.col("a").alias(f"rep_{k}")) for k in "ab")
-        near = near.join(a, "a").join(b, "b").select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
-        edges = equal.union(near) if edges is None else edges.union(equal).union(near)
+                same.append(xxh64_intdigest(b" ".join(t.lower().split()), 3) - (1 << 63))
+                keys.append(band_keys(shingles(t, words), bands))
+            yield pa.record_batch([common.column(b, "id"), pa.array(same, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["id", "same", "keys"])
+
+    sketched = tables.write(rows.mapInArrow(sketch, "id bigint, same bigint, keys array<bigint>"))
+    one = sketched.groupBy("same").agg(F.min_by("keys", "id").alias("keys"), F.min("id").alias("rep"))
+    keyed = tables.write(one.select("rep", F.explode("keys").alias("key")))
+    shared = tables.write(keyed.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a"))
+    edges = keyed.join(shared, "key").select("a", F.col("rep").alias("b")).where("a <> b")
     part = tables.write(common.components(spark, edges, tables))
     members = part.withColumnRenamed("node", "id").join(rows, "id").dropDuplicates(["id"])
 

@@ -286,6 +286,21 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(df.where("false")).count() == 0
 
 
+def test_near_duplicates_of_long_texts_with_few_words(spark):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    weights = [1 / (i + 1) for i in range(3000)]
+    rows = []
+    for i, n in enumerate([300, 1000, 3000, 10_000] * 10):
+        base = rng.choices(vocabulary, weights, k=n)
+        copy = [f"new{i}x{k}" if k % 50 == 25 else w for k, w in enumerate(base)]
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(pairs) == 40 and got == {i: a for a, b in pairs for i in (a, b)}
+
+
 # ---- 7: packing
 
 
