@@ -122,7 +122,7 @@ def common_starts(rows: list[tuple[int, bytes, bytes, int]], starts: int) -> lis
 
 
 def repeats(docs: DataFrame, text_col: str, key: str, tables: common.Tables, size: int = SIZE, gram: int = GRAM, starts: int = STARTS, many: int = MANY) -> DataFrame:
-    """Rows (key, spans): runs (first start, number) of passages of a row's text that start elsewhere too. Rows may repeat."""
+    """Rows (key, found): the contexts of a text's passages that start elsewhere too, once however many rows are equal to it."""
     rows = docs.select(F.col(key).alias("key"), F.col(text_col).alias("text"))
 
     def find(batches):
@@ -143,12 +143,14 @@ def repeats(docs: DataFrame, text_col: str, key: str, tables: common.Tables, siz
         if held:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
-    every = tables.write(rows.mapInArrow(lambda it: joined(find(it)), "gram bigint, ctx bigint, key bigint, lo bigint, n int, rel int"))
+    # equal rows have equal anchors: one row each, with the number of them
+    every = rows.mapInArrow(lambda it: joined(find(it)), "gram bigint, ctx bigint, key bigint, lo bigint, n int, rel int")
+    every = tables.write(every.groupBy("gram", "ctx", "key", "lo", "n", "rel").agg(F.count("*").alias("c")))
     # counts are written before they are joined, so that a gram of very many anchors can be split
-    again = tables.write(every.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram"))
+    again = tables.write(every.groupBy("gram").agg(F.sum("c").alias("c")).where("c > 1").select("gram"))
     kept = tables.write(every.join(again, "gram", "left_semi"))
     tables.drop(every)
-    contexts = kept.groupBy("gram", "ctx").agg(F.count("*").alias("c"), F.min(F.struct("key", "lo", "n", "rel")).alias("one"))
+    contexts = kept.groupBy("gram", "ctx").agg(F.sum("c").alias("c"), F.min(F.struct("key", "lo", "n", "rel")).alias("one"))
     contexts = tables.write(contexts.select("gram", "ctx", "c", "one.*"))
     differ = tables.write(contexts.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram"))
     wanted = contexts.join(differ, "gram", "left_semi").groupBy("key").agg(F.collect_list(F.struct("gram", "ctx", "c", "lo", "n", "rel")).alias("list"))

@@ -444,6 +444,16 @@ def test_repeats_edges(spark):
     assert suffix_dedup.remove(twice.where("false")).count() == 0
 
 
+def test_repeated_rows_are_one_text(spark):
+    rng = random.Random(4)
+    text = "".join(rng.choice("abcdefghij ") for _ in range(3000))
+    sizes = {}
+    for n in (2, 50):
+        rows = spark.createDataFrame([(7, text)] * n + [(8, "x" + text[1000:2000])], "key long, text string")
+        sizes[n] = {r.key: len(r.found) for r in suffix_dedup.repeats(rows, "text", "key", common.Tables(spark)).collect()}
+    assert sizes[2] == sizes[50] and set(sizes[2]) == {7, 8}
+
+
 def test_repeated_passages_of_fifty_words(spark):
     import corpus_pipeline as C
 
