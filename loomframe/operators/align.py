@@ -1,6 +1,7 @@
-"""As-of alignment. One engine: union targets and samples, one sort for each episode, and the samples on both sides.
+"""As-of alignment. One engine: union targets and samples, one shuffle by episode, and the samples on both sides.
 
-No range join and no pairs: each row is sorted once, whatever the number of samples near it. With bucket_us set, an
+No range join and no pairs: an episode's rows are sorted in either direction and passed once each, so that the work grows
+with their number. With bucket_us set, an
 episode is cut into time buckets that are sorted apart; each bucket's ends are carried to the next ones over a table of
 one row a bucket, so that no episode, however long, is one task's work.
 """
@@ -34,14 +35,16 @@ def bracket(targets: DataFrame, src: DataFrame, bucket_us: int | None = None) ->
     if bucket_us:
         both = both.withColumn("bucket", F.floor(F.col("at") / bucket_us))
         by = [E, "bucket"]
-    w = Window.partitionBy(*by).orderBy("at", "kind", "ord")
-    out = both.withColumns({"before": F.last("s", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "after": F.first("s", True).over(w.rowsBetween(1, Window.unboundedFollowing))})
-    out = out.where("kind = 1")
+    # two running values, one over each direction: a frame that shrinks from the front would be read anew for every row
+    past = Window.partitionBy(*by).orderBy("at", "kind", "ord").rowsBetween(Window.unboundedPreceding, 0)
+    future = Window.partitionBy(*by).orderBy(F.desc("at"), F.desc("kind"), F.desc("ord")).rowsBetween(Window.unboundedPreceding, -1)
+    out = both.withColumns({"before": F.last("s", True).over(past), "after": F.last("s", True).over(future)}).where("kind = 1")
     if bucket_us:
-        order = F.struct("at", "ord")
-        ends = both.groupBy(*by).agg(F.min_by("s", F.when(F.col("kind") == 0, order)).alias("first"), F.max_by("s", F.when(F.col("kind") == 0, order)).alias("last"))
-        we = Window.partitionBy(E).orderBy("bucket")
-        ends = ends.select(*by, F.last("last", True).over(we.rowsBetween(Window.unboundedPreceding, -1)).alias("carried"), F.first("first", True).over(we.rowsBetween(1, Window.unboundedFollowing)).alias("coming"))
+        order = F.when(F.col("kind") == 0, F.struct("at", "ord"))
+        ends = both.groupBy(*by).agg(F.min_by("s", order).alias("first"), F.max_by("s", order).alias("last"))
+        carried = Window.partitionBy(E).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        coming = Window.partitionBy(E).orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+        ends = ends.select(*by, F.last("last", True).over(carried).alias("carried"), F.last("first", True).over(coming).alias("coming"))
         out = out.join(ends, by).withColumns({"before": F.coalesce("before", "carried"), "after": F.coalesce("after", "coming")})
     return out.select(*[F.col(f"row.{n}").alias(n) for n in names], "before", "after")
 
@@ -95,23 +98,33 @@ def fill_gaps(b: DataFrame, hz: float, width: int, sentinel: float = 999.0) -> D
     return out.withColumn("value", F.when(F.col("in_gap"), F.array_repeat(F.lit(sentinel), width)).otherwise(F.col("hit.payload.values")))
 
 
-def direct_error(targets: DataFrame, messages: DataFrame, topic: str) -> DataFrame:
+def direct_error(targets: DataFrame, messages: DataFrame, topic: str, bucket_us: int | None = None) -> DataFrame:
     """Match on the receive clock, report the source clocks' difference. targets: t_us receive time, header_us source time."""
-    b = nearest(bracket(targets, samples(messages, topic, "bag_us")))
+    b = nearest(bracket(targets, samples(messages, topic, "bag_us"), bucket_us))
     return b.withColumn("error_us", F.abs(F.col("hit.payload.header_us") - F.col("header_us")))
 
 
-def lag_compensated(targets: DataFrame, src: DataFrame, delays: DataFrame) -> DataFrame:
+def lag_compensated(targets: DataFrame, src: DataFrame, delays: DataFrame, bucket_us: int | None = None) -> DataFrame:
     """Hold at the target's time less its episode's delay_us."""
     shifted = targets.join(delays, E).withColumn("t_us", F.col("t_us") - F.col("delay_us"))
-    return hold(bracket(shifted, src)).withColumn("t_us", F.col("t_us") + F.col("delay_us"))
+    return hold(bracket(shifted, src, bucket_us)).withColumn("t_us", F.col("t_us") + F.col("delay_us"))
 
 
-def hold_many(targets: DataFrame, messages: DataFrame, topics: list[str]) -> DataFrame:
-    """The newest values of several topics at each target, by one sort for all: a column for each topic."""
+def hold_many(targets: DataFrame, messages: DataFrame, topics: list[str], bucket_us: int | None = None) -> DataFrame:
+    """The newest values of several topics at each target, by one sort for all: a column for each topic. bucket_us as in bracket()."""
     names = targets.columns
     left = targets.select(E, F.col("t_us").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("seq"), F.lit("").alias("topic"), F.lit(None).cast("array<double>").alias("values"), F.struct(*names).alias("row"))
     right = messages.where(F.col("topic").isin(*topics)).select(E, F.col("header_us").alias("at"), F.lit(0).alias("kind"), "seq", "topic", "values", F.lit(None).cast(left.schema["row"].dataType).alias("row"))
-    w = Window.partitionBy(E).orderBy("at", "kind", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    out = left.union(right).withColumns({t: F.last(F.when(F.col("topic") == t, F.col("values")), True).over(w) for t in topics})
-    return out.where("kind = 1").select(*[F.col(f"row.{n}").alias(n) for n in names], *topics)
+    both, by = left.union(right), [E]
+    if bucket_us:
+        both, by = both.withColumn("bucket", F.floor(F.col("at") / bucket_us)), [E, "bucket"]
+    w = Window.partitionBy(*by).orderBy("at", "kind", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    of = lambda t: F.when(F.col("topic") == t, F.col("values"))
+    out = both.withColumns({t: F.last(of(t), True).over(w) for t in topics}).where("kind = 1")
+    if bucket_us:
+        order = lambda t: F.when(F.col("topic") == t, F.struct("at", "seq"))
+        ends = both.groupBy(*by).agg(*[F.max_by("values", order(t)).alias(f"last_{i}") for i, t in enumerate(topics)])
+        carried = Window.partitionBy(E).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        ends = ends.select(*by, *[F.last(f"last_{i}", True).over(carried).alias(f"carried_{i}") for i in range(len(topics))])
+        out = out.join(ends, by).withColumns({t: F.coalesce(t, f"carried_{i}") for i, t in enumerate(topics)})
+    return out.select(*[F.col(f"row.{n}").alias(n) for n in names], *topics)

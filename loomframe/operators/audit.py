@@ -36,6 +36,19 @@ def grade(metrics: DataFrame, levels: list[tuple[str, Column]], worst: str = "D"
     return metrics.withColumn("grade", g)
 
 
+def regrade(stored: DataFrame, levels: list[tuple[str, Column]], worst: str = "D") -> DataFrame:
+    """Stored metrics graded by other limits: a projection over the table, no recording is read again."""
+    return grade(stored.drop("grade"), levels, worst)
+
+
+def hand_range(frames: DataFrame, v: str, by: list[str], low: float = -0.05, high: float = 1.05) -> DataFrame:
+    """Least and greatest hand state (a vector's last number) of each group, and whether both are in range; nothing finite isn't."""
+    x = F.element_at(v, -1)
+    x = F.when(~F.isnan(x), x)
+    out = frames.groupBy(*by).agg(F.min(x).alias("least"), F.max(x).alias("most"))
+    return out.withColumn("ok", F.coalesce((F.col("least") >= low) & (F.col("most") <= high), F.lit(False)))
+
+
 def at_most(metric: str, limit: float) -> Column:
     return F.coalesce(F.col(metric), F.lit(float("inf"))) <= limit
 

@@ -76,13 +76,23 @@ def backlog(messages: DataFrame) -> DataFrame:
     return out.select(E, "topic", *[F.col("p")[i].alias(n) for i, n in enumerate(("p50_ms", "p95_ms", "p99_ms"))], "max_ms", "final_ms")
 
 
-def reliable_prefix(messages: DataFrame, limit_ms: float, bin_us: int = 250_000) -> DataFrame:
-    """End of the leading part whose median age is in bounds: the first of two neighbouring stale bins ends it."""
-    bins = messages.select(E, "topic", F.floor(F.col("header_us") / bin_us).alias("bin"), ((F.col("bag_us") - F.col("header_us")) / 1000.0).alias("age"))
-    bins = bins.groupBy(E, "topic", "bin").agg(F.median("age").alias("age"))
-    w = Window.partitionBy(E, "topic").orderBy("bin")
+def reliable_prefix(messages: DataFrame, topic: str, master: str, limit_ms: float, bin_us: int = 250_000) -> DataFrame:
+    """Seconds of the master topic's span, by receive time, before the topic's messages go stale.
+
+    Messages are binned by receive time from the master's first; the first of two neighbouring bins whose median age is
+    above the limit ends the prefix, and the whole span is reliable without one. 0 without messages or a span.
+    """
+    span = messages.where(F.col("topic") == master).groupBy(E).agg(F.min("bag_us").alias("m0"), F.max("bag_us").alias("m1"))
+    rows = messages.where(F.col("topic") == topic).select(E, "bag_us", ((F.col("bag_us") - F.col("header_us")) / 1000.0).alias("age"))
+    bins = rows.join(span, E).withColumn("bin", F.floor((F.col("bag_us") - F.col("m0")) / bin_us))
+    inside = (F.col("bin") >= 0) & (F.col("bin") <= F.ceil((F.col("m1") - F.col("m0")) / bin_us))
+    # messages outside the span still tell that the topic was there
+    bins = bins.groupBy(E, F.when(inside, F.col("bin")).alias("bin")).agg(F.median("age").alias("age"))
+    w = Window.partitionBy(E).orderBy(F.asc_nulls_first("bin"))
     stale = (F.col("age") > limit_ms) & (F.lead("age").over(w) > limit_ms) & (F.lead("bin").over(w) == F.col("bin") + 1)
-    return bins.withColumn("stale", stale).groupBy(E, "topic").agg((F.coalesce(F.min(F.when(F.col("stale"), F.col("bin"))), F.max("bin") + 1) * bin_us).alias("reliable_end_us"))
+    ends = bins.withColumn("stale", stale).groupBy(E).agg(F.min(F.when(F.col("stale"), F.col("bin"))).alias("end"), F.lit(True).alias("any"))
+    whole = F.when(F.col("any") & (F.col("m1") > F.col("m0")), F.coalesce(F.col("end") * bin_us, F.col("m1") - F.col("m0")) / 1e6)
+    return span.join(ends, E, "left").select(E, F.coalesce(whole, F.lit(0.0)).alias("reliable_s"))
 
 
 def find_gaps(messages: DataFrame, topic: str, hz: float) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import quantiles
+
 E, FR = "episode_index", "frame_index"
 
 
@@ -15,6 +17,20 @@ def frame_order():
     return Window.partitionBy(E).orderBy(FR)
 
 
+def ordered(frames: DataFrame, *order: str) -> DataFrame:
+    """Frames sorted by episode and frame (or other columns), with their place in that order from 1.
+
+    The sort deals rows by range; a place is a row's number in its part and the sizes of the parts before, one row a part.
+    """
+    order = order or (E, FR)
+    parts = frames.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    within = parts.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
+    sizes = parts.groupBy("__part").agg(F.count("*").alias("__size"))
+    before = F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out = within.join(F.broadcast(sizes.select("__part", before.alias("__before"))), "__part")
+    return out.withColumn("place", F.col("__before") + F.col("__n")).drop("__part", "__n", "__size", "__before").orderBy(*order)
+
+
 def relative_start(frames: DataFrame) -> DataFrame:
     """State and action less those of the episode's first frame."""
     first = {v: F.zip_with(F.col(v), F.first(v).over(frame_order()), lambda x, y: x - y) for v in ("state", "action")}
@@ -136,8 +152,7 @@ def length_table(trimmed: DataFrame, fps: float) -> DataFrame:
 def iqr_outliers(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
     """Marks values outside the quartiles by k ranges, given 4 finite values and a range above 0."""
     finite = df.where(F.col(column).isNotNull() & ~F.isnan(column))
-    q = finite.agg(F.percentile(column, F.array(F.lit(0.25), F.lit(0.75))).alias("q"), F.count("*").alias("c"))
-    q = q.select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"), "c")  # one row
+    q = finite.agg(F.count("*").alias("c")).join(F.broadcast(quantiles(finite, [], column, {"q1": 0.25, "q3": 0.75})), how="left")  # one row each
     r = F.col("q3") - F.col("q1")
     flag = (F.col("c") >= 4) & (r > 0) & ((F.col(column) < F.col("q1") - k * r) | (F.col(column) > F.col("q3") + k * r))
     return df.join(F.broadcast(q)).withColumn("outlier", F.coalesce(flag, F.lit(False))).drop("q1", "q3", "c")
@@ -150,8 +165,8 @@ def group_lengths(grouped: DataFrame, k: int, fps: float) -> DataFrame:
 
 def duration_summary(df: DataFrame, column: str) -> DataFrame:
     shares = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
-    out = df.agg(F.percentile(column, F.array(*map(F.lit, shares))).alias("q"))
-    return out.select(F.posexplode("q").alias("i", "seconds")).select(F.element_at(F.array(*map(F.lit, shares)), F.col("i") + 1).alias("quantile"), "seconds")
+    out = quantiles(df, [], column, {f"q{i}": x for i, x in enumerate(shares)})
+    return out.select(F.inline(F.array(*[F.struct(F.lit(x).alias("quantile"), F.col(f"q{i}").alias("seconds")) for i, x in enumerate(shares)])))
 
 
 def limit_per_group(df: DataFrame, key: str, order: list, n: int) -> DataFrame:

@@ -1,116 +1,91 @@
 """Causal post-processing of action streams, as folds: latch, rate limiter, boundary blend, and the three in one.
 
-Each rule is a step function (state, row) -> (state, output) over plain lists. Batch runs it as one JVM-side aggregate()
-over an episode's ordered frames (rate limit, latch, debounce), or by applyInPandas (any rule); streams run it on keyed
-state.
+Each rule is a step function (state, row, ...) -> (state, output) over NumPy vectors: all dimensions of a frame at once,
+frames in order. State is a dict of vectors, so that it fits typed columns of a state store. Batch runs a rule by
+applyInPandas over each episode, in time that grows with its frames; streams run it on keyed state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 E, FR = "episode_index", "frame_index"
 
+State = dict[str, np.ndarray]
+Rule = Callable[[State, np.ndarray, int], tuple[State, np.ndarray]]
+#: All that a rule may keep between two frames of an episode.
+FIELDS = ("last", "delta", "anchor", "closed", "count", "age", "limited", "initial")
 
-def limit_step(state: dict, row: list[float], dims: list[int], most: list[float], most2: list[float] | None = None) -> tuple[dict, list[float]]:
+
+def limit_step(state: State, row: np.ndarray, dims: list[int], most: list[float], most2: list[float] | None = None) -> tuple[State, np.ndarray]:
     """Clamp the change (and the change of the change) of some dimensions to the last output."""
-    out = list(row)
-    last, delta = state.get("last"), state.get("delta")
-    new = dict(delta or {})
-    if last is not None:
-        for i, d in enumerate(dims):
-            step = max(-most[i], min(most[i], row[d] - last[d]))
-            if most2:
-                was = new.get(d, 0.0)
-                step = was + max(-most2[i], min(most2[i], step - was))
-            out[d] = last[d] + step
-            new[d] = step
-    return {"last": out, "delta": new}, out
-
-
-def blend_step(state: dict, row: list[float], at: int, steps: int, dims: list[int]) -> tuple[dict, list[float]]:
+    out, delta = row.copy(), state.get("delta", np.zeros(len(dims)))
+    if "last" in state:
+        step = np.clip(row[dims] - state["last"][dims], -np.asarray(most), most)
+        if most2:
+            step = delta + np.clip(step - delta, -np.asarray(most2), most2)
+        out[dims], delta = state["last"][dims] + step, step
+    return {**state, "last": out, "delta": delta}, out
+
+
+def blend_step(state: State, row: np.ndarray, at: int, steps: int, dims: list[int]) -> tuple[State, np.ndarray]:
     """Ramp the first `steps` rows of a chunk from the last output (the first chunk's from its own first row): at is the row's place in its chunk."""
     if at == 0:
-        state = {**state, "anchor": state.get("last") or list(row)}
-    out, anchor = list(row), state.get("anchor")
+        state = {**state, "anchor": state.get("last", row)}
+    out = row.copy()
     if at < steps:
         share = (at + 1) / steps
-        for d in dims:
-            out[d] = (1 - share) * anchor[d] + share * row[d]
+        out[dims] = (1 - share) * state["anchor"][dims] + share * row[dims]
     return {**state, "last": out}, out
 
 
-def latch_step(state: dict, row: list[float], dims: list[int], intents: int, close: float = 0.7, open_: float = 0.3, min_close: int = 0, min_open: int = 0) -> tuple[dict, list[float]]:
-    """Hold 0 or 1 until `intents` rows in a row call for the other (at least `close`, at most `open_`) and the state has lasted long enough. state["initial"]: values to start from."""
-    out, held = list(row), {}
-    for d in dims:
-        if d not in state:
-            closed = state.get("initial", {}).get(d, 0.0) >= 0.5
-            state = {**state, d: (closed, 0, min_close if closed else min_open)}
-        closed, count, age = state[d]
-        count = count + 1 if (row[d] <= open_ if closed else row[d] >= close) else 0
-        if count >= intents and age >= (min_close if closed else min_open):
-            closed, count, age = not closed, 0, 0
-        held[d] = (closed, count, age + 1)
-        out[d] = float(closed)
-    return {**state, **held}, out
+def latch_step(state: State, row: np.ndarray, dims: list[int], intents: int, close: float = 0.7, open_: float = 0.3, min_close: int = 0, min_open: int = 0) -> tuple[State, np.ndarray]:
+    """Hold 0 or 1 until `intents` rows in a row call for the other (at least `close`, at most `open_`) and the state has lasted long enough. state["initial"]: the row to start from."""
+    closed = state["closed"] > 0 if "closed" in state else state["initial"][dims] >= 0.5 if "initial" in state else np.zeros(len(dims), bool)
+    least = np.where(closed, min_close, min_open)
+    count, age = state.get("count", np.zeros(len(dims))), state.get("age", least)
+    count = np.where(np.where(closed, row[dims] <= open_, row[dims] >= close), count + 1, 0)
+    turn = (count >= intents) & (age >= least)
+    closed, count, age = closed ^ turn, np.where(turn, 0, count), np.where(turn, 0, age) + 1
+    out = row.copy()
+    out[dims] = closed
+    return {**state, "closed": closed.astype(float), "count": count.astype(float), "age": age.astype(float)}, out
 
 
-def compose(frames_in_chunk: Callable[[int], int], dims: list[int], most: list[float], steps: int, latch_dims: list[int], intents: int, initial: list[float] | None = None) -> Callable:
+def compose(place_in_chunk: Callable[[int], int], dims: list[int], most: list[float], steps: int, latch_dims: list[int], intents: int, initial: list[float] | None = None, close: float = 0.7, open_: float = 0.3) -> Rule:
     """Blend, then limit, then latch; the blend starts from the final output. initial: the action before the first."""
 
-    def step(state: dict, row: list[float], frame: int) -> tuple[dict, list[float]]:
+    def step(state: State, row: np.ndarray, frame: int) -> tuple[State, np.ndarray]:
         if not state and initial is not None:
-            state = {"final": initial, "limit": {"last": initial}, "latch": {"initial": {d: initial[d] for d in latch_dims}}}
-        b, out = blend_step({"last": state.get("final"), "anchor": state.get("anchor")}, row, frames_in_chunk(frame), steps, dims)
-        limited, out = limit_step(state.get("limit", {}), out, dims, most)
-        latched, out = latch_step(state.get("latch", {}), out, latch_dims, intents)
-        return {"anchor": b.get("anchor"), "limit": limited, "latch": latched, "final": out}, out
+            first = np.array(initial, float)
+            state = {"last": first, "limited": first, "initial": first}
+        state, out = blend_step(state, row, place_in_chunk(frame), steps, dims)
+        inner = {k: state[k] for k in ("delta",) if k in state} | ({"last": state["limited"]} if "limited" in state else {})
+        inner, limited = limit_step(inner, out, dims, most)
+        state, out = latch_step(state, limited, latch_dims, intents, close, open_)
+        return {**state, "last": out, "limited": limited, "delta": inner["delta"]}, out
 
     return step
 
 
-def run_batch(frames: DataFrame, v: str, step: Callable[[dict, list[float], int], tuple[dict, list[float]]]) -> DataFrame:
-    """A rule over each episode's frames in order: rows (episode, frame, x). An episode is one task's group; it is a recording's length."""
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, state, out = pdf.sort_values(FR), {}, []
-        for row, frame in zip(pdf[v], pdf[FR]):
-            state, x = step(state, list(map(float, row)), int(frame))
-            out.append(x)
-        return pd.DataFrame({E: pdf[E], FR: pdf[FR], "x": out})
-
-    return frames.select(E, FR, v).groupBy(E).applyInPandas(fold, f"{E} bigint, {FR} bigint, x array<double>")
-
+def run(rule: Rule, state: State, rows: Iterable[np.ndarray], frames: Iterable[int]) -> tuple[State, list[np.ndarray]]:
+    """A rule over rows in order."""
+    out = []
+    for row, frame in zip(rows, frames):
+        state, x = rule(state, np.asarray(row, float), int(frame))
+        out.append(x)
+    return state, out
 
-def ordered(frames: DataFrame, x: Column) -> DataFrame:
-    """An episode's scalars in frame order, as one array of (frame, x)."""
-    return frames.select(E, F.struct(FR, x.alias("x")).alias("s")).groupBy(E).agg(F.sort_array(F.collect_list("s")).alias("s"))
 
+def run_batch(frames: DataFrame, v: str, rule: Rule) -> DataFrame:
+    """A rule over each episode's frames in order: rows (episode, frame, x). An episode, which is a recording's length, is one group."""
 
-def limit_native(frames: DataFrame, x: Column, most: float) -> DataFrame:
-    """The rate limiter of one dimension as aggregate(): no Python. Rows (episode, frame, x)."""
-    zero = F.array().cast(f"array<struct<{FR}:bigint,x:double>>")
-
-    def merge(acc, s):
-        last = F.element_at(acc, -1)["x"]
-        y = F.when(F.size(acc) == 0, s["x"]).otherwise(last + F.greatest(F.lit(-most), F.least(F.lit(most), s["x"] - last)))
-        return F.concat(acc, F.array(F.struct(s[FR].alias(FR), y.alias("x"))))
-
-    return ordered(frames, x).select(E, F.inline(F.aggregate("s", zero, merge)))
-
-
-def latch_native(frames: DataFrame, x: Column, intents: int, close: float = 0.7, open_: float = 0.3) -> DataFrame:
-    """The latch of one dimension without a least hold, as aggregate(). Rows (episode, frame, x)."""
-    zero = F.struct(F.lit(0.0).alias("v"), F.lit(0).alias("n"), F.array().cast(f"array<struct<{FR}:bigint,x:double>>").alias("out"))
-
-    def merge(acc, s):
-        n = F.when(F.when(acc["v"] == 1.0, s["x"] <= open_).otherwise(s["x"] >= close), acc["n"] + 1).otherwise(0)
-        v = F.when(n >= intents, 1.0 - acc["v"]).otherwise(acc["v"])
-        return F.struct(v.alias("v"), F.when(n >= intents, 0).otherwise(n).alias("n"), F.concat(acc["out"], F.array(F.struct(s[FR].alias(FR), v.alias("x")))).alias("out"))
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(FR)
+        return pd.DataFrame({E: pdf[E], FR: pdf[FR], "x": run(rule, {}, pdf[v], pdf[FR])[1]})
 
-    return ordered(frames, x).select(E, F.inline(F.aggregate("s", zero, merge)["out"]))
+    return frames.select(E, FR, v).groupBy(E).applyInPandas(fold, f"{E} bigint, {FR} bigint, x array<double>")

@@ -72,9 +72,11 @@ def compare_frames(old: DataFrame, new: DataFrame, v: str = "action") -> DataFra
 def schema_diff(features: DataFrame, reference: str) -> DataFrame:
     """Features whose description differs from the reference dataset's, or that one side lacks. features: dataset, name, description."""
     ref = features.where(F.col("dataset") == reference).select("name", F.col("description").alias("expected"))
-    every = features.select("dataset").distinct().where(F.col("dataset") != reference)
-    wanted = every.join(F.broadcast(ref))  # one row a feature of one dataset's schema
-    return wanted.join(features, ["dataset", "name"], "full").where("expected is distinct from description").where(F.col("dataset") != reference).select("dataset", "name", "expected", F.col("description").alias("found"))
+    # the reference's features travel as one row to each dataset: a schema's length, whatever the number of datasets
+    wanted = ref.agg(F.collect_list(F.struct("name", "expected")).alias("w"))
+    every = features.where(F.col("dataset") != reference).select("dataset").distinct()
+    wanted = every.join(F.broadcast(wanted)).select("dataset", F.inline("w"))
+    return wanted.join(features.where(F.col("dataset") != reference), ["dataset", "name"], "full").where("expected is distinct from description").select("dataset", "name", "expected", F.col("description").alias("found"))
 
 
 def check_counts(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
@@ -84,6 +86,14 @@ def check_counts(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return out.where("n_a <> n_b")
 
 
+def trims_outside(trims: DataFrame, master: DataFrame, key: str) -> DataFrame:
+    """Trims that aren't a non-empty part of their recording's master clock. trims: key, start, end; master: one row a frame."""
+    n = master.groupBy(key).agg(F.count("*").alias("frames"))
+    out = trims.join(n, key, "left").withColumn("frames", F.coalesce("frames", F.lit(0)))
+    inside = (F.col("start") >= 0) & (F.col("start") < F.col("end")) & (F.col("end") <= F.col("frames"))
+    return out.where(~F.coalesce(inside, F.lit(False))).select(key, "start", "end", "frames")
+
+
 def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, default: str) -> DataFrame:
     """A dimension's value, with a default where there is none."""
     return df.join(dim, key, "left").withColumn(value, F.coalesce(value, F.lit(default)))

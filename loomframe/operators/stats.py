@@ -4,21 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .quantiles import quantiles
 
 QUANTILES = {"q01": 0.01, "q10": 0.1, "q50": 0.5, "q90": 0.9, "q99": 0.99}
 
 
-def vector_stats(df: DataFrame, v: str, by: list[str] | None = None, approximate: bool = False) -> DataFrame:
+def vector_stats(df: DataFrame, v: str, by: list[str] | None = None, approximate: bool = False, small: bool = False) -> DataFrame:
     """Rows (by, dim, count, min, max, mean, population std, quantiles) of each dimension.
 
-    Quantiles are exact (linear between ranks), which keeps a map of values for each dimension; approximate=True takes
-    sketches of bounded size instead.
+    Quantiles are exact (linear between ranks) in a second pass; small=True takes them in the first, from a map of each
+    group's values, for groups of bounded length such as episodes; approximate=True takes sketches of bounded size instead.
     """
     by = by or []
-    q = (F.percentile_approx if approximate else F.percentile)("x", F.array(*map(F.lit, QUANTILES.values())))
-    rows = df.select(*by, F.posexplode(v).alias("dim", "x")).groupBy(*by, "dim")
-    out = rows.agg(F.count("x").alias("count"), F.min("x").alias("min"), F.max("x").alias("max"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), q.alias("q"))
-    return out.select(*by, "dim", "count", "min", "max", "mean", "std", *[F.col("q")[i].alias(n) for i, n in enumerate(QUANTILES)])
+    rows = df.select(*by, F.posexplode(v).alias("dim", "x"))
+    out = rows.groupBy(*by, "dim").agg(F.count("x").alias("count"), F.min("x").alias("min"), F.max("x").alias("max"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), *([(F.percentile_approx if approximate else F.percentile)("x", F.array(*map(F.lit, QUANTILES.values()))).alias("q")] if approximate or small else []))
+    if approximate or small:
+        return out.select(*by, "dim", "count", "min", "max", "mean", "std", *[F.col("q")[i].alias(n) for i, n in enumerate(QUANTILES)])
+    q = quantiles(rows, [*by, "dim"], "x", QUANTILES)
+    same = [F.col(f"o.{k}").eqNullSafe(F.col(f"q.{k}")) for k in (*by, "dim")]
+    return out.alias("o").join(q.alias("q"), same, "left").select("o.*", *[f"q.{n}" for n in QUANTILES])
+
+
+def feature_stats(df: DataFrame, columns: list[str], by: list[str] | None = None, approximate: bool = False, small: bool = False) -> DataFrame:
+    """Rows (by, feature, dim, statistics) of several columns in one pass: vectors, and scalars (index columns) as one dimension."""
+    by = by or []
+    vector = lambda c: F.col(f"`{c}`").cast("array<double>") if isinstance(df.schema[c].dataType, T.ArrayType) else F.array(F.col(f"`{c}`").cast("double"))
+    rows = df.select(*by, F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), vector(c).alias("x")) for c in columns])))
+    return vector_stats(rows, "x", [*by, "feature"], approximate, small)
 
 
 def as_arrays(stats: DataFrame, by: list[str]) -> DataFrame:
@@ -62,9 +76,13 @@ def slots(lengths: DataFrame) -> DataFrame:
 
 
 def virtual_mixture(rows: DataFrame, lengths: DataFrame) -> DataFrame:
-    """Rows (source, slot, local) of a mixture: local is slot modulo the source's length; rows: source, local and payload."""
-    s = slots(lengths).where("n > 0").select("source", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot"))
-    return s.withColumn("local", F.col("slot") % F.col("n")).drop("n").join(rows, ["source", "local"])
+    """Rows (source, slot, local) of a mixture: local is slot modulo the source's length; rows: source, local and payload.
+
+    Each row makes its own copies, every n-th slot from its place on, so that no source's slots are one list.
+    """
+    s = slots(lengths).where("n > 0").select("source", "n", "slots")
+    copies = F.explode(F.sequence(F.col("local"), F.col("slots") - 1, F.col("n"))).alias("slot")
+    return rows.join(s, "source").where("local < slots").select(*rows.columns, copies)
 
 
 def realized_weights(mixed: DataFrame) -> DataFrame:
@@ -78,7 +96,8 @@ def rate_limits(frames: DataFrame, p: float, v: str = "action") -> DataFrame:
     d1 = F.zip_with(F.col(v), F.lag(v, 1).over(w), lambda a, b: a - b)
     rows = frames.withColumn("d1", d1).withColumn("d2", F.zip_with(F.col("d1"), F.lag("d1", 1).over(w), lambda a, b: a - b))
     rows = rows.select(F.posexplode(F.arrays_zip("d1", F.coalesce("d2", F.array().cast("array<double>")).alias("d2"))).alias("dim", "d"))
-    return rows.groupBy("dim").agg(F.percentile(F.abs("d.d1"), p).alias("first"), F.percentile(F.abs("d.d2"), p).alias("second"))
+    rows = rows.select("dim", F.abs("d.d1").alias("d1"), F.abs("d.d2").alias("d2"))
+    return quantiles(rows, ["dim"], "d1", {"first": p}).join(quantiles(rows, ["dim"], "d2", {"second": p}), "dim", "left")
 
 
 def norm_stats(windows: DataFrame, state: str, chunk: str, relative: bool) -> DataFrame:
@@ -92,7 +111,9 @@ def norm_stats(windows: DataFrame, state: str, chunk: str, relative: bool) -> Da
 
 
 def describe_dims(frames: DataFrame, v: str, dims: list[int]) -> DataFrame:
-    return frames.select(F.posexplode(v).alias("dim", "x")).where(F.col("dim").isin(*dims)).groupBy("dim").agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.percentile("x", 0.5).alias("median"), F.max("x").alias("max"))
+    rows = frames.select(F.posexplode(v).alias("dim", "x")).where(F.col("dim").isin(*dims))
+    out = rows.groupBy("dim").agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"))
+    return out.join(quantiles(rows, ["dim"], "x", {"median": 0.5}), "dim").select("dim", "count", "mean", "std", "min", "median", "max")
 
 
 def loss_by_source(log: DataFrame) -> DataFrame:

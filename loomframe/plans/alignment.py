@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
-from ..operators import align, clocks
-from .standins import ACTION, COMMAND, HAND, MASTER, STATE, elements, frames, messages, query, table, targets
+from ..operators import align, clocks, topics
+from .standins import ACTION, BUCKET, COMMAND, HAND, MASTER, STATE, elements, frames, messages, query, table, targets
 
 HZ = 0.00002  # the stand-in logs are sparse: a rate at which some of their steps are gaps
 
@@ -62,31 +62,31 @@ n AS (SELECT b.*, s.s_us AS n_us, s.v0 AS n FROM b ASOF LEFT JOIN s ON b.episode
 @query(_NEAREST + """SELECT episode_id, frame_index, CASE WHEN p_us IS NULL OR n_us - t_us < t_us - p_us THEN coalesce(n, p) ELSE p END AS v,
 CASE WHEN p_us IS NULL OR n_us - t_us < t_us - p_us THEN coalesce(n_us - t_us, t_us - p_us) ELSE t_us - p_us END AS dt_us FROM n""")
 def asof_nearest(spark, sf):
-    b = align.nearest(align.bracket(targets(spark, sf), align.samples(messages(spark, sf), STATE)))
+    b = align.nearest(align.bracket(targets(spark, sf), align.samples(messages(spark, sf), STATE), BUCKET))
     return b.select("episode_id", "frame_index", F.col("hit.payload.values")[0].alias("v"), "dt_us")
 
 
 @query(_NEAREST + """SELECT episode_id, frame_index, CASE WHEN least(n_us - t_us, t_us - p_us) <= 20000000000 THEN CASE WHEN p_us IS NULL OR n_us - t_us < t_us - p_us THEN n ELSE p END END AS v FROM n""")
 def asof_tolerance(spark, sf):
-    b = align.nearest(align.bracket(targets(spark, sf), align.samples(messages(spark, sf), STATE)), 20_000_000_000)
+    b = align.nearest(align.bracket(targets(spark, sf), align.samples(messages(spark, sf), STATE), BUCKET), 20_000_000_000)
     return b.select("episode_id", "frame_index", F.col("hit.payload.values")[0].alias("v"))
 
 
 @query(_NEAREST + "SELECT episode_id, frame_index, p AS v, t_us - p_us AS age_us FROM n")
 def asof_hold(spark, sf):
-    b = align.hold(align.bracket(targets(spark, sf), align.samples(messages(spark, sf), STATE), bucket_us=86_400_000_000))
+    b = align.hold(align.bracket(targets(spark, sf), align.samples(messages(spark, sf), STATE), BUCKET))
     return b.select("episode_id", "frame_index", F.col("hit.payload.values")[0].alias("v"), "age_us")
 
 
 @query(_NEAREST + "SELECT episode_id, frame_index, round(CASE WHEN p_us IS NULL THEN NULL WHEN n_us IS NULL OR p_us = t_us THEN p ELSE p + (n - p) * ((t_us - p_us) / CAST(n_us - p_us AS DOUBLE)) END, 6) AS v FROM n")
 def asof_interp(spark, sf):
-    b = align.interpolate(align.bracket(targets(spark, sf), align.samples(messages(spark, sf), STATE)))
+    b = align.interpolate(align.bracket(targets(spark, sf), align.samples(messages(spark, sf), STATE), BUCKET))
     return b.select("episode_id", "frame_index", F.round(F.col("value")[0], 6).alias("v"))
 
 
 @query(_NEAREST + "SELECT episode_id, frame_index, (CASE WHEN p_us = t_us THEN p_us ELSE n_us END) - p_us AS width_us, least(t_us - p_us, (CASE WHEN p_us = t_us THEN p_us ELSE n_us END) - t_us) AS nearest_us FROM n")
 def asof_bracket(spark, sf):
-    b = align.bracket_stats(align.bracket(targets(spark, sf), align.samples(messages(spark, sf), STATE)))
+    b = align.bracket_stats(align.bracket(targets(spark, sf), align.samples(messages(spark, sf), STATE), BUCKET))
     return b.select("episode_id", "frame_index", "width_us", "nearest_us")
 
 
@@ -101,7 +101,7 @@ def clock_gaps(spark, sf):
 
 @query(_NEAREST + f"""SELECT episode_id, frame_index, CASE WHEN p_us < t_us AND n_us - p_us > {_GAP} THEN 999.0 WHEN p_us IS NULL OR n_us - t_us < t_us - p_us THEN coalesce(n, p) ELSE p END AS v FROM n""")
 def gap_sentinel(spark, sf):
-    b = align.fill_gaps(align.bracket(targets(spark, sf), align.samples(messages(spark, sf), STATE)), HZ, 2)
+    b = align.fill_gaps(align.bracket(targets(spark, sf), align.samples(messages(spark, sf), STATE), BUCKET), HZ, 2)
     return b.select("episode_id", "frame_index", F.col("value")[0].alias("v"))
 
 
@@ -112,7 +112,7 @@ SELECT episode_id, seq, abs((CASE WHEN p_us IS NULL OR n_us - t_us < t_us - p_us
 def direct_error(spark, sf):
     m = messages(spark, sf)
     t = m.where(F.col("topic") == MASTER).select("episode_id", "seq", F.col("bag_us").alias("t_us"), "header_us")
-    return align.direct_error(t, m, STATE).select("episode_id", "seq", "error_us")
+    return align.direct_error(t, m, STATE, BUCKET).select("episode_id", "seq", "error_us")
 
 
 @query("""--with d AS (SELECT episode_id, CAST(median(bag_us - header_us) AS BIGINT) AS delay_us FROM msgs GROUP BY 1), t AS (SELECT tgts.*, t_us - delay_us AS q_us FROM tgts JOIN d USING (episode_id)), s AS (SELECT episode_id, header_us AS s_us, v0 FROM msgs WHERE topic = 'purchase')
@@ -120,7 +120,7 @@ SELECT t.episode_id, t.frame_index, t.t_us, s.v0 AS v FROM t ASOF LEFT JOIN s ON
 def lag_compensated(spark, sf):
     m = messages(spark, sf)
     delays = m.groupBy("episode_id").agg(F.median(F.col("bag_us") - F.col("header_us")).cast("long").alias("delay_us"))
-    b = align.lag_compensated(targets(spark, sf), align.samples(m, ACTION), delays)
+    b = align.lag_compensated(targets(spark, sf), align.samples(m, ACTION), delays, BUCKET)
     return b.select("episode_id", "frame_index", "t_us", F.col("hit.payload.values")[0].alias("v"))
 
 
@@ -128,10 +128,44 @@ def lag_compensated(spark, sf):
 x AS (SELECT t.episode_id, t.frame_index, t.t_us, a.v0 AS action FROM tgts t ASOF LEFT JOIN a ON t.episode_id = a.episode_id AND t.t_us >= a.header_us)
 SELECT x.episode_id, x.frame_index, x.action, h.v0 AS hand FROM x ASOF LEFT JOIN h ON x.episode_id = h.episode_id AND x.t_us >= h.header_us""")
 def hold_many(spark, sf):
-    out = align.hold_many(targets(spark, sf), messages(spark, sf), [ACTION, HAND])
+    out = align.hold_many(targets(spark, sf), messages(spark, sf), [ACTION, HAND], BUCKET)
     return out.select("episode_id", "frame_index", F.col(ACTION)[0].alias("action"), F.col(HAND)[0].alias("hand"))
 
 
+# ---- topics to features
+
+BUILDERS: topics.Builders = {"observation.state": (STATE, lambda v: v), "observation.first": (STATE, lambda v: F.slice(v, 1, 1)), "action": (ACTION, lambda v: V.scale_hand(v, "claw"))}
+
+
+@query("SELECT episode_id, seq, 'observation.state' AS key, round(v0, 6) AS x0, v1 AS x1 FROM msgs WHERE topic = 'click' UNION ALL SELECT episode_id, seq, 'observation.first', round(v0, 6), NULL FROM msgs WHERE topic = 'click' UNION ALL SELECT episode_id, seq, 'action', round(v0 / 100.0, 6), v1 / 100.0 FROM msgs WHERE topic = 'purchase'")
+def map_topics(spark, sf):
+    b = topics.build(messages(spark, sf), BUILDERS)
+    return b.select("episode_id", "seq", "key", F.round(F.get("vector", F.lit(0)), 6).alias("x0"), F.get("vector", F.lit(1)).alias("x1"))
+
+
+@query("SELECT episode_index, frame_index FROM frms WHERE label % 3 <> 0 AND label % 5 <> 0")
+def require(spark, sf):
+    f = frames(spark, sf).withColumns({"state": F.when(F.col("label") % 3 != 0, F.col("state")), "action": F.when(F.col("label") % 5 == 0, F.array().cast("array<double>")).otherwise(F.col("action"))})
+    return topics.require(f, ["state", "action"]).select("episode_index", "frame_index")
+
+
+@query("SELECT episode_index, frame_index, CAST(generate_subscripts(v, 1) - 1 AS INTEGER) AS pos, round(unnest(v), 6) AS x FROM (SELECT episode_index, frame_index, list_concat(state[1:13], action[1:3], [CAST(label AS DOUBLE)]) AS v FROM frms)")
+def imu_vector(spark, sf):
+    xyz = lambda v, a: F.struct(*[F.col(v)[a + i].alias(n) for i, n in enumerate("xyz")])
+    quat = F.struct(*[F.col("state")[9 + i].alias(n) for i, n in enumerate("xyzw")])
+    imu = F.struct(xyz("state", 0).alias("gyro"), xyz("state", 3).alias("acc"), xyz("state", 6).alias("free_acc"), quat.alias("quat"))
+    pose = F.struct(*[F.col("action")[i].alias(n) for i, n in enumerate(("x", "y", "yaw"))])
+    f = frames(spark, sf).withColumns({"imu": imu, "pose": pose})
+    return elements(f.withColumn("v", F.concat(V.imu_vector("imu"), V.pose_vector("pose"), V.as_singleton(F.col("label").cast("double")))), ["episode_index", "frame_index"], "v")
+
+
+@query("SELECT episode_index, frame_index, row_number() OVER (ORDER BY episode_index, frame_index) AS place FROM frms")
+def order(spark, sf):
+    from ..operators import episodes
+
+    return episodes.ordered(frames(spark, sf)).select("episode_index", "frame_index", "place")
+
+
 # ---- vectors
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import vectors as V
 from ..operators import align, clocks
 from ..operators import episodes as ep
-from .standins import ACTION, COMMAND, HAND, MASTER, STATE, episodes, frames, messages, query, targets
+from .standins import ACTION, BUCKET, COMMAND, HAND, MASTER, STATE, episodes, frames, messages, query, targets
 
 FPS = 10.0
 
@@ -52,8 +52,8 @@ def align_session(spark, sf):
     """Log to frames: master clock, clipped; state interpolated, commands held; assembled, trimmed by commands, numbered."""
     m = clocks.dedup_newest(messages(spark, sf))
     t = clocks.clip_min_end(targets(spark, sf), m)
-    b = align.interpolate(align.bracket(t, align.samples(m, STATE))).select("episode_id", "t_us", F.col("value").alias("state"))
-    held = align.hold_many(b.where("state is not null"), m, [ACTION, HAND, COMMAND])
+    b = align.interpolate(align.bracket(t, align.samples(m, STATE), BUCKET)).select("episode_id", "t_us", F.col("value").alias("state"))
+    held = align.hold_many(b.where("state is not null"), m, [ACTION, HAND, COMMAND], BUCKET)
     held = held.where(" and ".join(f"{c} is not null" for c in (ACTION, HAND, COMMAND)))
     scaled = held.select(F.col("episode_id").alias("episode_index"), "t_us", F.concat(F.slice("state", 1, 1), F.slice(V.scale_hand(HAND, "claw"), 1, 1)).alias("state"), F.concat(F.slice(ACTION, 1, 1), F.slice(V.scale_hand(COMMAND, "claw"), 1, 1)).alias("action"))
     from pyspark.sql import Window
@@ -71,9 +71,11 @@ def episode_table(spark, sf):
 
 
 @query("""SELECT dense_rank() OVER (ORDER BY episode_index) - 1 AS new_episode, row_number() OVER (PARTITION BY episode_index ORDER BY frame_index) - 1 AS new_frame,
-row_number() OVER (ORDER BY episode_index, frame_index) - 1 AS "index", round((row_number() OVER (PARTITION BY episode_index ORDER BY frame_index) - 1) / 10.0, 4) AS "timestamp" FROM frms WHERE label <> 3 AND episode_index % 2 = 1""")
+row_number() OVER (ORDER BY episode_index, frame_index) - 1 AS "index", round((row_number() OVER (PARTITION BY episode_index ORDER BY frame_index) - 1) / 10.0, 4) AS "timestamp" FROM frms WHERE label <> 3 AND episode_index IN (SELECT episode_index FROM frms GROUP BY 1 HAVING avg(action[1]) > 0)""")
 def reindex(spark, sf):
-    out = ep.reindex(frames(spark, sf).where("label <> 3 and episode_index % 2 = 1"), FPS)
+    f = frames(spark, sf)
+    kept = f.groupBy("episode_index").agg(F.avg(F.col("action")[0]).alias("m")).where("m > 0")  # the others stand for deleted episodes
+    out = ep.reindex(f.where("label <> 3").join(kept, "episode_index", "left_semi"), FPS)
     return out.select("new_episode", "new_frame", "index", F.round(F.col("timestamp").cast("double"), 4).alias("timestamp"))
 
 

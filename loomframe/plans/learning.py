@@ -227,36 +227,54 @@ def delay_steps(spark, sf):
 
 # ---- folds and samples
 
-_WALK = """rw AS (SELECT episode_index, frame_index, action[1] AS a FROM frms), lm AS (
-SELECT episode_index, frame_index, a AS x FROM rw WHERE frame_index = 0 UNION ALL
-SELECT r.episode_index, r.frame_index, l.x + greatest(-0.05, least(0.05, r.a - l.x)) FROM lm l JOIN rw r ON r.episode_index = l.episode_index AND r.frame_index = l.frame_index + 1)"""
+DIMS = list(range(16))
+LIMIT = lambda s, row, f: fold.limit_step(s, row, DIMS, [0.05] * 16, [0.03] * 16)
+LATCH = lambda s, row, f: fold.latch_step(s, row, DIMS, 2, 0.02, -0.02, 3, 2)
+BLEND = lambda s, row, f: fold.blend_step(s, row, f % 5, 3, DIMS)
+COMPOSED = fold.compose(lambda f: f % 4, DIMS, [0.05] * 16, 2, [7, 15], 2, close=0.02, open_=-0.02)
 
+_ROWS = "recursive rw AS (SELECT episode_index, frame_index, CAST(i AS INTEGER) AS pos, action[i + 1] AS a FROM frms, range(16) r(i))"
+_NEXT = "JOIN rw r ON r.episode_index = l.episode_index AND r.pos = l.pos AND r.frame_index = l.frame_index + 1"
 
-@query("--with recursive " + _WALK + " SELECT episode_index, frame_index, round(x, 6) AS x FROM lm -- frms")
+
+def folded(spark, sf, rule):
+    return elements(fold.run_batch(frames(spark, sf), "action", rule), ["episode_index", "frame_index"], "x")
+
+
+@query(f"""--with {_ROWS}, lm AS (SELECT episode_index, frame_index, pos, a AS x, CAST(0 AS DOUBLE) AS d FROM rw WHERE frame_index = 0 UNION ALL
+SELECT episode_index, frame_index, pos, x + s, s FROM (SELECT r.episode_index, r.frame_index, r.pos, l.x, l.d + greatest(-0.03, least(0.03, greatest(-0.05, least(0.05, r.a - l.x)) - l.d)) AS s FROM lm l {_NEXT}))
+SELECT episode_index, frame_index, pos, round(x, 6) AS x FROM lm -- frms""")
 def rate_limit(spark, sf):
-    return fold.limit_native(frames(spark, sf), F.col("action")[0], 0.05).withColumn("x", F.round("x", 6))
+    return folded(spark, sf, LIMIT)
 
 
-@query("""--with recursive rw AS (SELECT episode_index, frame_index, action[1] AS a FROM frms), lt AS (
-SELECT episode_index, CAST(-1 AS BIGINT) AS frame_index, 0.0 AS v, 0 AS n FROM frms WHERE frame_index = 0 UNION ALL
-SELECT r.episode_index, r.frame_index, CASE WHEN (CASE WHEN v = 1 THEN a <= -0.02 ELSE a >= 0.02 END) AND n + 1 >= 2 THEN 1 - v ELSE v END, CASE WHEN (CASE WHEN v = 1 THEN a <= -0.02 ELSE a >= 0.02 END) AND n + 1 < 2 THEN n + 1 ELSE 0 END FROM lt l JOIN rw r ON r.episode_index = l.episode_index AND r.frame_index = l.frame_index + 1)
-SELECT episode_index, frame_index, CAST(v AS DOUBLE) AS x FROM lt WHERE frame_index >= 0 -- frms""")
+_TURN = "CASE WHEN v = 1 THEN {x} <= -0.02 ELSE {x} >= 0.02 END"
+
+
+@query(f"""--with {_ROWS}, lt AS (SELECT episode_index, CAST(-1 AS BIGINT) AS frame_index, pos, 0 AS v, 0 AS n, 2 AS age FROM rw WHERE frame_index = 0 UNION ALL
+SELECT episode_index, frame_index, pos, CASE WHEN turn THEN 1 - v ELSE v END, CASE WHEN turn THEN 0 ELSE n END, CASE WHEN turn THEN 1 ELSE age + 1 END FROM (
+SELECT *, n >= 2 AND age >= CASE WHEN v = 1 THEN 3 ELSE 2 END AS turn FROM (SELECT r.episode_index, r.frame_index, r.pos, v, age, CASE WHEN {_TURN.format(x="a")} THEN n + 1 ELSE 0 END AS n FROM lt l {_NEXT})))
+SELECT episode_index, frame_index, pos, CAST(v AS DOUBLE) AS x FROM lt WHERE frame_index >= 0 -- frms""")
 def latch(spark, sf):
-    return fold.latch_native(frames(spark, sf), F.col("action")[0], 2, 0.02, -0.02)
+    return folded(spark, sf, LATCH)
 
 
-@query("""--with recursive rw AS (SELECT episode_index, frame_index, frame_index % 5 AS i, action[1] AS a FROM frms), bl AS (
-SELECT episode_index, frame_index, a AS x, a AS anchor FROM rw WHERE frame_index = 0 UNION ALL
-SELECT r.episode_index, r.frame_index, CASE WHEN i < 3 THEN (1 - (i + 1) / 3.0) * (CASE WHEN i = 0 THEN b.x ELSE b.anchor END) + (i + 1) / 3.0 * a ELSE a END, CASE WHEN i = 0 THEN b.x ELSE b.anchor END FROM bl b JOIN rw r ON r.episode_index = b.episode_index AND r.frame_index = b.frame_index + 1)
-SELECT episode_index, frame_index, round(x, 6) AS x FROM bl -- frms""")
+@query(f"""--with {_ROWS}, bl AS (SELECT episode_index, frame_index, pos, a AS x, a AS anchor FROM rw WHERE frame_index = 0 UNION ALL
+SELECT episode_index, frame_index, pos, CASE WHEN i < 3 THEN (1 - (i + 1) / 3.0) * anchor + (i + 1) / 3.0 * a ELSE a END, anchor FROM (
+SELECT r.episode_index, r.frame_index, r.pos, r.a, r.frame_index % 5 AS i, CASE WHEN r.frame_index % 5 = 0 THEN l.x ELSE l.anchor END AS anchor FROM bl l {_NEXT}))
+SELECT episode_index, frame_index, pos, round(x, 6) AS x FROM bl -- frms""")
 def blend(spark, sf):
-    out = fold.run_batch(frames(spark, sf), "action", lambda s, row, f: fold.blend_step(s, row, f % 5, 3, [0]))
-    return out.select("episode_index", "frame_index", F.round(F.col("x")[0], 6).alias("x"))
+    return folded(spark, sf, BLEND)
 
 
-@query()
+@query(f"""--with {_ROWS}, pp AS (SELECT episode_index, CAST(-1 AS BIGINT) AS frame_index, pos, a AS final, a AS anchor, a AS lim, 0 AS v, 0 AS n FROM rw WHERE frame_index = 0 UNION ALL
+SELECT episode_index, frame_index, pos, CASE WHEN pos IN (7, 15) THEN CASE WHEN turn THEN 1 - v ELSE v END ELSE lim END, anchor, lim, CASE WHEN turn THEN 1 - v ELSE v END, CASE WHEN turn THEN 0 ELSE n END FROM (
+SELECT *, n >= 2 AS turn FROM (SELECT * REPLACE (CASE WHEN {_TURN.format(x="lim")} THEN n + 1 ELSE 0 END AS n) FROM (
+SELECT * REPLACE (lim + greatest(-0.05, least(0.05, CASE WHEN i < 2 THEN (1 - (i + 1) / 2.0) * anchor + (i + 1) / 2.0 * a ELSE a END - lim)) AS lim) FROM (
+SELECT r.episode_index, r.frame_index, r.pos, r.a, r.frame_index % 4 AS i, CASE WHEN r.frame_index % 4 = 0 THEN l.final ELSE l.anchor END AS anchor, l.lim, l.v, l.n FROM pp l {_NEXT})))))
+SELECT episode_index, frame_index, pos, round(final, 6) AS x FROM pp WHERE frame_index >= 0 -- frms""")
 def postprocess(spark, sf):
-    return fold.run_batch(frames(spark, sf), "action", fold.compose(lambda f: f % 4, [0, 1], [0.05, 0.05], 2, [15], 2))
+    return folded(spark, sf, COMPOSED)
 
 
 @query()

@@ -17,6 +17,9 @@ SQL: dict[str, str] = {}
 #: Events by their role in a recording.
 MASTER, STATE, ACTION, HAND, COMMAND = "view", "click", "purchase", "error", "signup"
 
+#: Time buckets of the alignments, in microseconds: the stand-in logs have few messages a day.
+BUCKET = 7 * 86_400_000_000
+
 
 def with_tables(sql: str) -> str:
     """SQL with the tables that it names put before it, and those that these name; it may begin with --with and its own."""

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import episodes as ep
-from ..operators import fold, stats
+from ..operators import stats
 from ..sources import io
 from ..streaming import online
-from .standins import ACTION, COMMAND, HAND, MASTER, STATE, frames, messages, query, table
+from . import learning
+from .standins import ACTION, COMMAND, HAND, MASTER, STATE, elements, frames, messages, query, table
 
 
 @query("SELECT DISTINCT id FROM (SELECT unnest(CASE WHEN p_partkey % 3 = 0 THEN [p_partkey] ELSE [p_partkey, p_partkey + 1, p_partkey + 2] END) AS id FROM part WHERE p_size < 20)")
@@ -70,10 +71,48 @@ def written(spark, sf):
     return root
 
 
-@query("""SELECT dense_rank() OVER (ORDER BY episode_index) - 1 AS episode_index, frame_index, row_number() OVER (ORDER BY episode_index, frame_index) - 1 AS "index", round(action[1], 4) AS a, CAST(NULL AS VARCHAR) AS "next.done" FROM frms""")
+_NUM = """nmb AS (SELECT dense_rank() OVER (ORDER BY episode_index) - 1 AS episode_index, frame_index, row_number() OVER (ORDER BY episode_index, frame_index) - 1 AS "index", state, action FROM frms)"""
+
+
+@query(f"""--with {_NUM} SELECT episode_index, frame_index, "index", CAST(generate_subscripts(v, 1) - 1 AS INTEGER) AS pos, round(unnest(v), 6) AS x, CAST(NULL AS VARCHAR) AS "next.done" FROM (SELECT *, list_concat(state, action) AS v FROM nmb) -- frms""")
 def write_dataset(spark, sf):
-    f = io.read_frames(spark, written(spark, sf), ["episode_index", "frame_index", "index", "action", "next.done"])
-    return f.select("episode_index", "frame_index", "index", F.round(F.col("action")[0].cast("double"), 4).alias("a"), "`next.done`")
+    f = io.read_frames(spark, written(spark, sf), ["episode_index", "frame_index", "index", "observation.state", "action", "next.done"])
+    v = F.concat("`observation.state`", "action").cast("array<double>")
+    return elements(f.withColumn("v", v), ["episode_index", "frame_index", "index"], "v").withColumn("next.done", F.lit(None).cast("string"))
+
+
+_FEATURES = f"""{_NUM}, ft AS (SELECT episode_index, 'observation.state' AS feature, CAST(i AS INTEGER) AS dim, state[i + 1] AS x FROM nmb, range(16) r(i) UNION ALL SELECT episode_index, 'action', CAST(i AS INTEGER), action[i + 1] FROM nmb, range(16) r(i)
+UNION ALL SELECT episode_index, unnest(['timestamp', 'frame_index', 'episode_index', 'index', 'task_index']), 0, unnest([CAST(CAST(frame_index / 10.0 AS FLOAT) AS DOUBLE), frame_index, episode_index, "index", 0]) FROM nmb)"""
+_STATS = f"count(*) AS count, round(min(x), 6) AS min, round(max(x), 6) AS max, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std, {', '.join(f'round(quantile_cont(x, {q}), 6) AS {n}' for n, q in stats.QUANTILES.items())}"
+
+
+def unzipped(df, keys):
+    """Arrays of statistics as one rounded row for each dimension."""
+    names = list(io.STATS)
+    rows = df.select(*keys, F.posexplode(F.arrays_zip(*names)).alias("dim", "s"))
+    return rows.select(*keys, "dim", *[F.col(f"s.{n}").alias(n) if n == "count" else F.round(F.col(f"s.{n}"), 6).alias(n) for n in names])
+
+
+@query(f"--with {_FEATURES} SELECT feature, dim, {_STATS} FROM ft GROUP BY 1, 2 -- frms")
+def read_stats(spark, sf):
+    return unzipped(io.read_stats(spark, f"{written(spark, sf)}/meta/stats.json"), ["feature"])
+
+
+@query(f"--with {_FEATURES} SELECT feature, episode_index, dim, {_STATS} FROM ft GROUP BY 1, 2, 3 -- frms")
+def feature_stats(spark, sf):
+    e = io.read_episodes(spark, written(spark, sf))
+    each = [F.struct(F.lit(f).alias("feature"), *[F.col(f"`stats/{f}/{n}`").alias(n) for n in io.STATS]) for f in ("observation.state", "action", *io.SCALARS)]
+    return unzipped(e.select("episode_index", F.inline(F.array(*each))), ["feature", "episode_index"])
+
+
+@query("SELECT CAST(0 AS BIGINT) AS task_index, 'task' AS task FROM (SELECT count(*) AS n FROM frms) WHERE n > 0")
+def read_tasks(spark, sf):
+    return io.read_tasks(spark, written(spark, sf))
+
+
+@query("SELECT CAST(count(DISTINCT episode_index) AS BIGINT) AS total_episodes, count(*) AS total_frames, 10.0 AS fps, 'v3.0' AS codebase_version FROM frms")
+def read_info(spark, sf):
+    return io.read_info(spark, written(spark, sf)).select("total_episodes", "total_frames", "fps", "codebase_version")
 
 
 @query("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS holes, CAST(0 AS BIGINT) AS repeats, CAST(0 AS BIGINT) AS non_finite FROM frms")
@@ -81,15 +120,15 @@ def check_dataset(spark, sf):
     return io.check_dataset(io.read_frames(spark, written(spark, sf)))
 
 
-@query("SELECT 'tasks' AS violation UNION ALL SELECT 'fps' FROM (SELECT count(*) AS n FROM frms) WHERE n > 0")
+@query("SELECT 'fps' AS violation FROM (SELECT count(*) AS n FROM frms) WHERE n > 0")
 def accept_dataset(spark, sf):
     root = written(spark, sf)
-    return io.accept_dataset(io.read_info(spark, root), io.read_frames(spark, root), table(spark, sf, "region").where("false"), {"codebase_version": "v3.0", "fps": 20.0, "width": 16})
+    return io.accept_dataset(io.read_info(spark, root), io.read_frames(spark, root), io.read_tasks(spark, root), {"codebase_version": "v3.0", "fps": 20.0, "width": 16})
 
 
 @query("SELECT dense_rank() OVER (ORDER BY episode_index) - 1 AS episode_index, n AS length, CAST(sum(n) OVER (ORDER BY episode_index) - n AS BIGINT) AS dataset_from_index, CAST(sum(n) OVER (ORDER BY episode_index) AS BIGINT) AS dataset_to_index FROM eps")
 def read_episodes(spark, sf):
-    return io.read_episodes(spark, written(spark, sf))
+    return io.read_episodes(spark, written(spark, sf)).select("episode_index", "length", "dataset_from_index", "dataset_to_index")
 
 
 @query("""SELECT o_orderkey, o_orderpriority, CASE WHEN o_custkey % 2 = 0 THEN 'a;b' ELSE 'a' END AS reasons, '{"k":' || o_custkey || '}' AS nested FROM orders""")
@@ -114,25 +153,45 @@ def write_id_lists(spark, sf):
     return spark.read.schema("value string, cls string").text(path).select("value", "cls")
 
 
-@query("SELECT l_orderkey AS output, count(*) AS segments, CAST(sum(l_quantity) AS BIGINT) AS frames FROM lineitem GROUP BY 1")
+@query('SELECT l_orderkey AS output, l_partkey AS source, CAST(0 AS BIGINT) AS start, CAST(l_quantity AS BIGINT) AS "end" FROM lineitem')
 def write_manifest(spark, sf):
-    edges = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("output"), F.col("l_partkey").alias("source"), F.lit(0).cast("long").alias("start"), F.col("l_quantity").cast("long").alias("end"))
-    m = io.manifest(edges)
-    return m.select("output", F.size("source_segments").cast("long").alias("segments"), F.aggregate("source_segments", F.lit(0).cast("long"), lambda n, s: n + s["end"]).alias("frames"))
+    path = io.scratch(spark)
+    io.write_manifest(table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("output"), F.col("l_partkey").alias("source"), F.lit(0).cast("long").alias("start"), F.col("l_quantity").cast("long").alias("end")), path)
+    return io.read_manifest(spark, path)
+
 
+def state_stats(spark, sf):
+    s = stats.vector_stats(frames(spark, sf), "state").withColumn("feature", F.lit("state"))
+    return stats.as_arrays(s.unionByName(stats.vector_stats(frames(spark, sf), "action").withColumn("feature", F.lit("action"))), ["feature"]).select("feature", *io.STATS)
 
-@query("SELECT 'state' AS feature, 'width:mean' AS violation UNION ALL SELECT 'state', 'missing:mode' FROM (SELECT count(*) AS n FROM frms) WHERE n > 0")
+
+@query("SELECT feature, violation FROM (VALUES ('state', 'width:mean'), ('state', 'missing:mode'), ('action', 'missing:mode'), ('state', 'count'), ('action', 'count')) v(feature, violation), (SELECT count(*) AS n FROM frms) WHERE n > 0")
 def norm_violations(spark, sf):
-    s = stats.as_arrays(stats.vector_stats(frames(spark, sf), "state").withColumn("feature", F.lit("state")), ["feature"])
-    return io.norm_violations(s, {"state": 8}, ["mean", "mode"])
+    s = state_stats(spark, sf).withColumn("count", F.when(F.col("feature") == "action", F.transform("count", lambda n: n + 1)).otherwise(F.col("count")))
+    return io.norm_violations(s, {"state": 8, "action": 16}, ["mean", "mode"])
 
 
-@query("SELECT round(avg(state[1]), 4) AS mean0, count(*) AS count FROM frms")
+@query(f"--with ft AS (SELECT 'state' AS feature, CAST(i AS INTEGER) AS dim, state[i + 1] AS x FROM frms, range(16) r(i) UNION ALL SELECT 'action', CAST(i AS INTEGER), action[i + 1] FROM frms, range(16) r(i)) SELECT feature, dim, {_STATS} FROM ft GROUP BY 1, 2 -- frms")
 def norm_document(spark, sf):
-    s = stats.as_arrays(stats.vector_stats(frames(spark, sf), "state").withColumn("feature", F.lit("state")), ["feature"])
-    d = io.norm_document(s.select("feature", "mean", "count"))
-    parsed = F.from_json("norm_stats", "map<string,struct<mean:array<double>,count:array<bigint>>>")["state"]
-    return d.select(F.round(parsed["mean"][0], 4).alias("mean0"), parsed["count"][0].alias("count"))
+    path = io.scratch(spark)
+    io.write_norm_stats(state_stats(spark, sf), path, {"state": 16, "action": 16}, ["mean", "std", "q01", "q99"])
+    return unzipped(io.read_stats(spark, path), ["feature"])
+
+
+@query("SELECT user_id AS episode_id, CASE WHEN count(*) > 20 THEN 'A' ELSE 'B' END AS grade, count(*) AS n FROM events GROUP BY 1")
+def read_audit(spark, sf):
+    path = io.scratch(spark)
+    n = table(spark, sf, "events").groupBy(F.col("user_id").alias("episode_id")).agg(F.count("*").alias("n"))
+    io.write_report(n.select("episode_id", F.when(F.col("n") > 20, "A").otherwise("B").alias("grade"), "n"), path)
+    return io.read_audit(spark, path, "episode_id bigint, grade string, n bigint")
+
+
+@query("SELECT episode_index AS episode, frame_index AS step, CAST(i AS INTEGER) AS pos, round(list_concat(action, state)[i + 1], 6) AS x, CAST(NULL AS DOUBLE) AS reward FROM frms, range(32) r(i)")
+def read_telemetry(spark, sf):
+    path = io.scratch(spark)
+    io.write_events(frames(spark, sf).select(F.col("episode_index").alias("episode"), F.col("frame_index").alias("step"), "action", F.col("state").alias("observation_state")), path)
+    t = io.read_telemetry(spark, path).withColumn("v", F.concat("action", "observation_state"))
+    return elements(t, ["episode", "step", "reward"], "v")
 
 
 @query("SELECT DISTINCT event_type AS name, CASE event_type WHEN 'view' THEN 'RGB' WHEN 'click' THEN 'STATE' WHEN 'purchase' THEN 'ACTION' WHEN 'error' THEN 'DEPTH' ELSE 'REWARD' END AS kind FROM events")
@@ -143,27 +202,43 @@ def feature_kinds(spark, sf):
     return out.select(F.col("t").alias("name"), "kind")
 
 
-@query("SELECT doc_id, text[1:5] AS head FROM documents")
+@query("SELECT doc_id, text FROM documents")
 def project_features(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.substring("text", 1, 5).alias("head"), F.lit(1).alias("next.reward"), "lang")
+    d = table(spark, sf, "documents").select("doc_id", "text", F.lit(1).alias("next.reward"), "lang")
     return io.project_features(d, ["lang"], keep_prefix=None)
 
 
 # ---- streams
 
 
-def stream(spark, sf, name):
-    return spark.readStream.schema(table(spark, sf, name).schema).parquet(f"{sf}/{name}.parque[t]")  # a pattern: the source takes a file or a folder
+def feed(spark, df, part, key, parts=3):
+    """A table as a stream of several micro-batches: its parts written one after the other, each key's rows of a part to one file."""
+    path = io.scratch(spark)
+    for i in range(parts):
+        df.where(part == i).repartition(key).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def thirds(df, column):
+    """0 to 2 by a number's place in its range."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    return F.least(F.lit(2), F.floor((F.col(column) - low) / ((high - low + 1) / 3.0)))
 
 
 def frame_stream(spark, sf):
-    part = lambda a, n: F.slice(F.col("embedding").cast("array<double>"), a, n)
-    return stream(spark, sf, "embeddings").select(F.expr("vec_id div 50").alias("episode_index"), (F.col("vec_id") % 50).alias("frame_index"), part(1, 16).alias("state"), part(17, 16).alias("action"))
+    at = F.timestamp_millis(1_700_000_000_000 + F.col("frame_index") * 100)  # recordings that run at the same time
+    f = frames(spark, sf).select("episode_index", "frame_index", "state", "action", at.alias("at"))
+    return feed(spark, f, thirds(f, "frame_index"), "episode_index")
 
 
-def message_stream(spark, sf):
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
-    return stream(spark, sf, "events").select(F.col("user_id").alias("episode_id"), F.col("event_type").alias("topic"), F.col("event_id").alias("seq"), us.alias("header_us"), F.col("value").alias("x"))
+def message_stream(spark, sf, order):
+    m = messages(spark, sf).select("episode_id", "topic", "seq", "header_us", F.col("values")[0].alias("x"))
+    return feed(spark, m, thirds(m, order), "episode_id")
+
+
+def event_stream(spark, sf, key):
+    e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("us", F.unix_micros("ts"))
+    return feed(spark, e, thirds(e, "us"), key)
 
 
 def _same_as(name):
@@ -172,28 +247,28 @@ def _same_as(name):
     return lambda f: (query()(f), SQL.__setitem__(f.__name__, SQL[name]))[0]
 
 
+def folded(spark, sf, rule):
+    return elements(online.run_once(online.fold_stream(frame_stream(spark, sf), "action", rule), spark), ["episode_index", "frame_index"], "x")
+
+
 @_same_as("rate_limit")
 def rate_limit_stream(spark, sf):
-    s = online.fold_stream(frame_stream(spark, sf), "action", lambda st, row, f: fold.limit_step(st, row, [0], [0.05]))
-    return online.run_once(s, spark).select("episode_index", "frame_index", F.round(F.col("x")[0], 6).alias("x"))
+    return folded(spark, sf, learning.LIMIT)
 
 
 @_same_as("latch")
 def latch_stream(spark, sf):
-    s = online.fold_stream(frame_stream(spark, sf), "action", lambda st, row, f: fold.latch_step(st, row, [0], 2, 0.02, -0.02))
-    return online.run_once(s, spark).select("episode_index", "frame_index", F.col("x")[0].alias("x"))
+    return folded(spark, sf, learning.LATCH)
 
 
 @_same_as("blend")
 def blend_stream(spark, sf):
-    s = online.fold_stream(frame_stream(spark, sf), "action", lambda st, row, f: fold.blend_step(st, row, f % 5, 3, [0]))
-    return online.run_once(s, spark).select("episode_index", "frame_index", F.round(F.col("x")[0], 6).alias("x"))
+    return folded(spark, sf, learning.BLEND)
 
 
-@query()
+@_same_as("postprocess")
 def postprocess_stream(spark, sf):
-    s = online.fold_stream(frame_stream(spark, sf), "action", fold.compose(lambda f: f % 4, [0, 1], [0.05, 0.05], 2, [15], 2))
-    return online.run_once(s, spark)
+    return folded(spark, sf, learning.COMPOSED)
 
 
 @_same_as("debounce")
@@ -202,28 +277,40 @@ def debounce_stream(spark, sf):
     return online.run_once(online.debounce_stream(s, "v", -0.04, 0.04, 2), spark)
 
 
-@query()
+_LAST3 = ", ".join(f"list_filter(list(CASE WHEN topic = '{t}' THEN {{'t': header_us, 'x': v0}} END) OVER w, lambda s: s IS NOT NULL) AS {t}_s" for t in (MASTER, STATE, ACTION))
+_NEAR = ", ".join(f"list_sort(list_transform(list_zip({t}_s[-3:], [0, 1, 2]), lambda p: {{'d': abs(p[1].t - t_us), 'i': p[2], 'x': p[1].x}}))[1] AS {t}_n" for t in (MASTER, STATE, ACTION))
+
+
+@query(f"""--with sn AS (SELECT episode_id, seq, topic, {_LAST3} FROM msgs WINDOW w AS (PARTITION BY episode_id ORDER BY seq ROWS UNBOUNDED PRECEDING)),
+rd AS (SELECT *, least({MASTER}_s[-1].t, {STATE}_s[-1].t, {ACTION}_s[-1].t) AS t_us FROM sn WHERE topic IN ('{MASTER}', '{STATE}', '{ACTION}') AND least(len({MASTER}_s), len({STATE}_s), len({ACTION}_s)) >= 3),
+ad AS (SELECT * FROM (SELECT *, max(t_us) OVER (PARTITION BY episode_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS was FROM rd) WHERE was IS NULL OR t_us > was),
+nr AS (SELECT episode_id, t_us, {_NEAR} FROM ad), al AS (SELECT *, least({MASTER}_n.d, {STATE}_n.d, {ACTION}_n.d) > 200000000000 AS relaxed FROM nr)
+SELECT episode_id, t_us, {", ".join(f"CASE WHEN relaxed OR {t}_n.d <= 200000000000 THEN {t}_n.x END AS {t}" for t in (MASTER, STATE, ACTION))} FROM al -- msgs""")
 def aligned_snapshot(spark, sf):
-    s = online.aligned_snapshots(message_stream(spark, sf), {MASTER: 3, STATE: 3, ACTION: 3}, 200_000_000_000)
-    return online.run_once(s, spark)
+    s = online.aligned_snapshots(message_stream(spark, sf, "seq"), {MASTER: 3, STATE: 3, ACTION: 3}, 200_000_000_000, idle_ms=90 * 86_400_000, late="30 days")  # a log of few messages a day
+    return online.run_once(s, spark).select("episode_id", "t_us", *[F.col("values")[t].alias(t) for t in (MASTER, STATE, ACTION)])
 
 
 @query("--with s AS (SELECT episode_id, header_us AS s_us, v0 FROM msgs WHERE topic = 'click'), t AS (SELECT episode_id, seq, header_us AS t_us FROM msgs WHERE topic = 'view') SELECT t.episode_id, t.t_us, t.seq, s.v0 AS v FROM t ASOF LEFT JOIN s ON t.episode_id = s.episode_id AND t.t_us >= s.s_us")
 def align_stream(spark, sf):
-    return online.hold_stream(message_stream(spark, sf), MASTER, STATE, spark)
+    return online.hold_stream(message_stream(spark, sf, "header_us"), MASTER, STATE, spark)
 
 
 @query("SELECT epoch_us(time_bucket(INTERVAL 1 DAY, ts)) AS start_us, event_type, count(*) AS n, round(avg(value), 6) AS mean FROM events GROUP BY 1, 2")
 def telemetry_window(spark, sf):
-    s = stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    out = online.run_once(online.telemetry_window(s, "ts", "event_type", "value", "1 day", "1 hour"), spark, "complete")
+    out = online.run_once(online.telemetry_window(event_stream(spark, sf, "event_type"), "ts", "event_type", "value", "1 day", "1 hour"), spark, "complete")
+    return out.withColumn("mean", F.round("mean", 6))
+
+
+@query("SELECT user_id, count(*) AS n, min(epoch_us(ts)) AS first_us, max(epoch_us(ts)) AS last_us, round(avg(value), 6) AS mean FROM events GROUP BY 1")
+def episode_manifest(spark, sf):
+    out = online.run_once(online.episode_manifest(event_stream(spark, sf, "user_id"), "ts", "user_id", "value"), spark, "complete")
     return out.withColumn("mean", F.round("mean", 6))
 
 
 @query("--with g AS (SELECT user_id, ts, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER w < 43200000000 THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT epoch_us(min(ts)) AS start_us, user_id, count(*) AS n FROM s GROUP BY user_id, k")
 def session_split(spark, sf):
-    s = stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return online.run_once(online.sessions(s, "ts", "user_id", "12 hours", "1 hour"), spark, "complete")
+    return online.run_once(online.sessions(event_stream(spark, sf, "user_id"), "ts", "user_id", "12 hours", "1 hour"), spark, "complete")
 
 
 online.register_computed("mean_value", STATE, lambda v: (v[0] + v[1]) / 2)
@@ -231,4 +318,6 @@ online.register_computed("mean_value", STATE, lambda v: (v[0] + v[1]) / 2)
 
 @query("SELECT episode_id, seq, round((v0 + v1) / 2, 6) AS mean_value FROM msgs WHERE topic = 'click'")
 def computed_obs(spark, sf):
-    return online.computed(messages(spark, sf), "mean_value").select("episode_id", "seq", F.round("mean_value", 6).alias("mean_value"))
+    m = messages(spark, sf)
+    s = online.computed(feed(spark, m, thirds(m, "seq"), "episode_id"), "mean_value")
+    return online.run_once(s.select("episode_id", "seq", F.round("mean_value", 6).alias("mean_value")), spark)

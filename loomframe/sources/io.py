@@ -5,6 +5,7 @@ parse_* take a table of text lines (column value) or documents, read_* a path; e
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,14 +13,34 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import stats as st
+
 FRAME_SCHEMA = T.StructType([T.StructField(n, t) for n, t in (("observation.state", T.ArrayType(T.FloatType())), ("action", T.ArrayType(T.FloatType())), ("timestamp", T.FloatType()), ("frame_index", T.LongType()), ("episode_index", T.LongType()), ("index", T.LongType()), ("task_index", T.LongType()))])
+STATS = ("count", "min", "max", "mean", "std", *st.QUANTILES)
+SCALARS = ("timestamp", "frame_index", "episode_index", "index", "task_index")
 FULL_WIDTH = {"，": ",", "－": "-", "、": ",", "；": ",", ";": ","}
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names. Unset, a temporary one where driver and executors are one process, and an error elsewhere."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        named = tempfile.mkdtemp(prefix="spark-checkpoint-")
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
 def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared one that the cluster names; a temporary one only where none is set (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-scratch-")
-    return f"{named.rstrip('/')}/{uuid.uuid4().hex}"
+    """A new folder in the shared one."""
+    return f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that no later plan reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 # ---- frames, episodes, tasks, info
@@ -57,6 +78,13 @@ def read_info(spark: SparkSession, root: str, default_fps: float = 10.0) -> Data
     return spark.read.schema(schema).json(f"{root}/meta/info.json", multiLine=True).withColumn("fps", F.coalesce("fps", F.lit(default_fps)))
 
 
+def read_stats(spark: SparkSession, path: str) -> DataFrame:
+    """(feature, an array for each statistic) from a document {feature: {statistic: [...]}}."""
+    kinds = ", ".join(f"{n}: array<{'bigint' if n == 'count' else 'double'}>" for n in STATS)
+    d = F.from_json("value", f"map<string, struct<{kinds}>>")
+    return spark.read.text(path, wholetext=True).select(F.explode(d).alias("feature", "s")).select("feature", "s.*")
+
+
 def parse_trims(docs: DataFrame, column: str = "value") -> DataFrame:
     """(episode_index, start, end, dropped) from trim documents {"trims": {episode: {start, end, drop}}}."""
     d = F.from_json(column, "trims map<string, struct<start:bigint,end:bigint,drop:boolean>>")
@@ -132,14 +160,31 @@ def read_audit(spark: SparkSession, path: str, schema: str) -> DataFrame:
 # ---- sinks
 
 
-def write_dataset(frames: DataFrame, root: str, fps: float, episodes_per_file: int = 1000) -> None:
-    """Frames by buckets of episodes, episode table, info. frames: as ep.reindex() gives them, with new_episode and new_frame."""
+def write_dataset(frames: DataFrame, root: str, fps: float, tasks: DataFrame | None = None, episodes_per_file: int = 1000) -> None:
+    """Frames by buckets of episodes, the episode table with each episode's statistics, tasks, statistics, info.
+
+    frames: as ep.reindex() gives them, with new_episode and new_frame. tasks: task_index, task; one task by default.
+    """
     data = frames.select(F.col("state").cast("array<float>").alias("observation.state"), F.col("action").cast("array<float>").alias("action"), "timestamp", F.col("new_frame").alias("frame_index"), F.col("new_episode").alias("episode_index"), "index", F.lit(0).cast("long").alias("task_index"))
     data = data.withColumn("chunk_index", F.floor(F.col("episode_index") / episodes_per_file))
-    data.repartition("chunk_index").sortWithinPartitions("episode_index", "frame_index").write.partitionBy("chunk_index").parquet(f"{root}/data")
-    e = frames.groupBy(F.col("new_episode").alias("episode_index")).agg(F.count("*").alias("length"), F.min("index").alias("dataset_from_index"), (F.max("index") + 1).alias("dataset_to_index"))
-    e.write.parquet(f"{root}/meta/episodes")
-    info = e.agg(F.lit("v3.0").alias("codebase_version"), F.lit(fps).alias("fps"), F.count("*").alias("total_episodes"), F.sum("length").alias("total_frames"))
+    # by range of episodes: a bucket of many frames is several tasks' files
+    data.repartitionByRange("chunk_index", "episode_index").sortWithinPartitions("episode_index", "frame_index").write.partitionBy("chunk_index").parquet(f"{root}/data")
+    spark = frames.sparkSession
+    data = read_frames(spark, root)
+    features = ["observation.state", "action", *SCALARS]
+
+    def statistics(by: list[str], small: bool) -> DataFrame:
+        return st.as_arrays(st.feature_stats(data, features, by, small=small), [*by, "feature"]).select(*by, "feature", *STATS)
+
+    own = statistics(["episode_index"], True)
+    wide = own.groupBy("episode_index").agg(*[F.first(F.when(F.col("feature") == f, F.col(n)), True).alias(f"stats/{f}/{n}") for f in features for n in STATS])
+    e = data.groupBy("episode_index").agg(F.count("*").alias("length"), F.min("index").alias("dataset_from_index"), (F.max("index") + 1).alias("dataset_to_index"))
+    e.join(wide, "episode_index").write.parquet(f"{root}/meta/episodes")
+    tasks = spark.range(1).select(F.col("id").alias("task_index"), F.lit("task").alias("task")) if tasks is None else tasks
+    tasks.write.parquet(f"{root}/meta/tasks.parquet")
+    norm_document(statistics([], False)).coalesce(1).write.text(f"{root}/meta/stats.json")  # one row
+    info = spark.read.parquet(f"{root}/meta/episodes").agg(F.lit("v3.0").alias("codebase_version"), F.lit(fps).alias("fps"), F.count("*").alias("total_episodes"), F.sum("length").alias("total_frames"))
+    info = info.join(F.broadcast(tasks.agg(F.count("*").alias("total_tasks")))).withColumn("splits", F.struct(F.concat(F.lit("0:"), "total_episodes").alias("train")))
     info.coalesce(1).write.json(f"{root}/meta/info.json")
 
 
@@ -158,8 +203,9 @@ def write_events(df: DataFrame, path: str) -> None:
 
 
 def write_id_lists(df: DataFrame, path: str, id_col: str, class_col: str) -> None:
-    """A sorted text list for each class."""
-    df.select(F.col(id_col).cast("string").alias("value"), class_col, F.col(id_col).alias("o")).repartition(class_col).sortWithinPartitions(class_col, "o").drop("o").write.partitionBy(class_col).text(path)
+    """A text list for each class, sorted from one file to the next; a class of many ids is several tasks' files."""
+    rows = df.select(F.col(id_col).cast("string").alias("value"), class_col, F.col(id_col).alias("o"))
+    rows.repartitionByRange(class_col, "o").sortWithinPartitions(class_col, "o").drop("o").write.partitionBy(class_col).text(path)
 
 
 def manifest(edges: DataFrame) -> DataFrame:
@@ -167,18 +213,43 @@ def manifest(edges: DataFrame) -> DataFrame:
     return edges.groupBy("output").agg(F.sort_array(F.collect_list(F.struct("start", "source", "end"))).alias("source_segments"))
 
 
+def write_manifest(edges: DataFrame, path: str) -> None:
+    """Manifests as JSON lines, one for each output: what parse_manifest() reads."""
+    segments = F.transform("source_segments", lambda s: F.struct(s["source"].alias("source_episode"), s["start"].alias("start"), s["end"].alias("end")))
+    manifest(edges).select(F.array(F.struct(F.col("output").alias("output_episode"), segments.alias("source_segments"))).alias("exported")).write.json(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return parse_manifest(spark.read.text(path))
+
+
 def norm_document(stats: DataFrame, feature: str = "feature") -> DataFrame:
     """{feature: {statistic: [...]}} as one JSON document from arrays of statistics; one row a feature goes in."""
     names = [c for c in stats.columns if c != feature]
     return stats.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(feature, F.struct(*names)))))).alias("norm_stats"))
 
 
+def write_norm_stats(stats: DataFrame, path: str, widths: dict[str, int], required: list[str]) -> None:
+    """The document, once nothing is wrong with it; read back, it must give what was written."""
+    wrong = [f"{r.feature} {r.violation}" for r in norm_violations(stats, widths, required).collect()]  # a few for each feature
+    if wrong:
+        raise ValueError("; ".join(sorted(wrong)))
+    norm_document(stats).coalesce(1).write.text(path)
+    back = read_stats(stats.sparkSession, path).select(*stats.columns)
+    if stats.exceptAll(back).count():
+        raise ValueError(f"{path} doesn't give back what was written")
+
+
 def norm_violations(stats: DataFrame, widths: dict[str, int], required: list[str], feature: str = "feature") -> DataFrame:
     """What is wrong with arrays of statistics: missing keys, widths, non-finite values, counts that differ between features."""
     expected = F.create_map(*[F.lit(x) for kv in widths.items() for x in kv])
     checks = [F.when(F.size(n) != expected[F.col(feature)], F.concat(F.lit("width:"), F.lit(n))) for n in required if n in stats.columns]
     checks += [F.when(F.exists(n, lambda x: x.isNull() | F.isnan(x)), F.concat(F.lit("non_finite:"), F.lit(n))) for n in required if n in stats.columns]
     checks += [F.lit(f"missing:{n}") for n in required if n not in stats.columns]
+    if "count" in stats.columns:
+        counts = F.array_distinct(F.flatten(F.collect_set("count").over(Window.partitionBy(F.lit(0)))))  # one row a feature
+        stats = stats.withColumn("__counts", counts)
+        checks.append(F.when(F.size("__counts") > 1, F.lit("count")))
     return stats.select(feature, F.explode(F.array_compact(F.array(*checks))).alias("violation"))
 
 

@@ -1,20 +1,24 @@
 """The same rules on streams: keyed folds, ring buffers with aligned snapshots, held values over micro-batches, telemetry.
 
-Structured Streaming with event-time watermarks; state is one row for each key, in the state store.
+State is one row of typed columns for each key, in the state store. Rows carry their event time (column at); a key's state
+ends once the watermark has passed its last row by IDLE_MS, and windows and sessions end by watermarks too.
 """
 
 from __future__ import annotations
 
-import ast
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.io import scratch
+from ..operators import fold
+from ..sources.io import remove, scratch
 
 E, FR = "episode_index", "frame_index"
+#: How far behind the newest row others may come, and milliseconds after which an idle key's state goes.
+LATE, IDLE_MS = "1 minute", 3_600_000
 
 
 def run_once(df: DataFrame, spark: SparkSession, mode: str = "append") -> DataFrame:
@@ -28,48 +32,60 @@ def run_once(df: DataFrame, spark: SparkSession, mode: str = "append") -> DataFr
     return spark.read.schema(df.schema).parquet(f"{out}/data")
 
 
-def fold_stream(stream: DataFrame, v: str, step: Callable[[dict, list[float], int], tuple[dict, list[float]]]) -> DataFrame:
+def keyed(stream: DataFrame, key: str, work: Callable, output: str, state: str, idle_ms: int = IDLE_MS, late: str = LATE) -> DataFrame:
+    """work(key, rows of a batch, state row or None) -> (output, new state row) for each key; the state ends idle_ms after a key's last row."""
+
+    def run(k, pdfs: Iterator[pd.DataFrame], held) -> Iterator[pd.DataFrame]:
+        if held.hasTimedOut:
+            held.remove()
+            return
+        pdf = pd.concat(pdfs)
+        out, new = work(k[0], pdf, held.get if held.exists else None)
+        held.update(new)
+        held.setTimeoutTimestamp(max(int(pdf["at"].max().timestamp() * 1000), held.getCurrentWatermarkMs()) + idle_ms)
+        yield out
+
+    return stream.withWatermark("at", late).groupBy(key).applyInPandasWithState(run, output, state, "append", "EventTimeTimeout")
+
+
+def fold_stream(stream: DataFrame, v: str, rule: fold.Rule) -> DataFrame:
     """A fold's rule (operators.fold) with its state kept for each episode between batches; a batch's frames go in order."""
 
-    def run(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        held = ast.literal_eval(state.get[0]) if state.exists else {}
-        pdf = pd.concat(pdfs).sort_values(FR)
-        out = []
-        for row, frame in zip(pdf[v], pdf[FR]):
-            held, x = step(held, list(map(float, row)), int(frame))
-            out.append(x)
-        state.update((repr(held),))
-        yield pd.DataFrame({E: key[0], FR: pdf[FR].to_numpy(), "x": out})
+    def work(key, pdf, held):
+        state = {} if held is None else {n: np.array(x, float) for n, x in zip(fold.FIELDS, held) if x is not None}
+        pdf = pdf.sort_values(FR)
+        state, out = fold.run(rule, state, pdf[v], pdf[FR])
+        return pd.DataFrame({E: key, FR: pdf[FR].to_numpy(), "x": out}), tuple(state[n].tolist() if n in state else None for n in fold.FIELDS)
 
-    return stream.select(E, FR, v).groupBy(E).applyInPandasWithState(run, f"{E} bigint, {FR} bigint, x array<double>", "held string", "append", "NoTimeout")
+    return keyed(stream.select(E, FR, "at", v), E, work, f"{E} bigint, {FR} bigint, x array<double>", ", ".join(f"{n} array<double>" for n in fold.FIELDS))
 
 
-def debounce_step(state: dict, row: list[float], low: float, high: float, n: int) -> tuple[dict, str | None]:
-    """Online form of operators.cycles.debounce(): the kind of event that this row confirms."""
-    obs = 1 if row[0] >= high else 0 if row[0] <= low else None
-    run, length = (obs, state.get("length", 0) + 1) if obs == state.get("run") and obs is not None else (obs, 1)
-    kind, confirmed = None, state.get("confirmed")
+def debounce_step(state: tuple, x: float, low: float, high: float, n: int) -> tuple[tuple, str | None]:
+    """Online form of operators.cycles.debounce(): the kind of event that this value confirms. state: (run, its length, confirmed)."""
+    was, length, confirmed = state
+    obs = 1 if x >= high else 0 if x <= low else None
+    length = length + 1 if obs == was and obs is not None else 1
+    kind = None
     if obs is not None and length == n:
         if confirmed is not None and obs != confirmed:
             kind = "close" if obs else "open"
         confirmed = obs
-    return {"run": run, "length": length, "confirmed": confirmed}, kind
+    return (obs, length, confirmed), kind
 
 
 def debounce_stream(stream: DataFrame, value: str, low: float, high: float, n: int) -> DataFrame:
-    """Events (episode, frame, kind) as runs are confirmed; the frame is the run's first."""
+    """Events (episode, frame, kind) as runs are confirmed; the frame is the run's first. Frames follow each other without a hole."""
 
-    def run(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        held = ast.literal_eval(state.get[0]) if state.exists else {}
-        pdf, out = pd.concat(pdfs).sort_values(FR), []
+    def work(key, pdf, held):
+        state, out = held or (None, 0, None), []
+        pdf = pdf.sort_values(FR)
         for x, frame in zip(pdf[value], pdf[FR]):
-            held, kind = debounce_step(held, [float(x)], low, high, n)
+            state, kind = debounce_step(tuple(state), float(x), low, high, n)
             if kind:
-                out.append((key[0], int(frame) - n + 1, kind))
-        state.update((repr(held),))
-        yield pd.DataFrame(out, columns=[E, FR, "kind"])
+                out.append((key, int(frame) - n + 1, kind))
+        return pd.DataFrame(out, columns=[E, FR, "kind"]), tuple(state)
 
-    return stream.select(E, FR, value).groupBy(E).applyInPandasWithState(run, f"{E} bigint, {FR} bigint, kind string", "held string", "append", "NoTimeout")
+    return keyed(stream.select(E, FR, "at", value), E, work, f"{E} bigint, {FR} bigint, kind string", "run int, length int, confirmed int")
 
 
 def snapshot(buffers: dict[str, list[tuple[int, float]]], sizes: dict[str, int], max_dt: int | None, ratio: float = 1.0) -> tuple[int, dict[str, float | None]] | None:
@@ -89,41 +105,41 @@ def snapshot(buffers: dict[str, list[tuple[int, float]]], sizes: dict[str, int],
     return t, {k: s[1] if ok[k] or relaxed else None for k, s in near.items()}
 
 
-def aligned_snapshots(stream: DataFrame, sizes: dict[str, int], max_dt: int | None, ratio: float = 1.0) -> DataFrame:
+def aligned_snapshots(stream: DataFrame, sizes: dict[str, int], max_dt: int | None, ratio: float = 1.0, idle_ms: int = IDLE_MS, late: str = LATE) -> DataFrame:
     """Ring buffers of the last `size` samples of each topic, for each episode; a row for each advance of the reference stamp.
 
     stream: episode_id, topic, seq, header_us, x. Rows: episode_id, t_us, values map.
     """
+    topics = list(sizes)
 
-    def run(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        held = ast.literal_eval(state.get[0]) if state.exists else {"buffers": {}, "t": None}
-        buffers, out = held["buffers"], []
-        pdf = pd.concat(pdfs).sort_values("seq")
+    def work(key, pdf, held):
+        last, times, values = held or (None, [[] for _ in topics], [[] for _ in topics])
+        buffers, out = {k: list(zip(t, x)) for k, t, x in zip(topics, times, values)}, []
+        pdf = pdf[pdf.topic.isin(topics)].sort_values("seq")
         for topic, t_us, x in zip(pdf.topic, pdf.header_us, pdf.x):
-            if topic not in sizes:
-                continue
-            buffers.setdefault(topic, []).append((int(t_us), float(x)))
-            del buffers[topic][: -sizes[topic]]
+            buffers[topic] = [*buffers[topic], (int(t_us), float(x))][-sizes[topic] :]
             got = snapshot(buffers, sizes, max_dt, ratio)
-            if got and (held["t"] is None or got[0] > held["t"]):
-                held["t"] = got[0]
-                out.append((key[0], got[0], {k: v for k, v in got[1].items() if v is not None}))
-        state.update((repr(held),))
-        yield pd.DataFrame(out, columns=["episode_id", "t_us", "values"])
+            if got and (last is None or got[0] > last):
+                last = got[0]
+                out.append((key, last, {k: v for k, v in got[1].items() if v is not None}))
+        new = (last, [[s[0] for s in buffers[k]] for k in topics], [[s[1] for s in buffers[k]] for k in topics])
+        return pd.DataFrame(out, columns=["episode_id", "t_us", "values"]), new
 
-    return stream.select("episode_id", "topic", "seq", "header_us", "x").groupBy("episode_id").applyInPandasWithState(run, "episode_id bigint, t_us bigint, values map<string,double>", "held string", "append", "NoTimeout")
+    rows = stream.select("episode_id", "topic", "seq", "header_us", "x", F.timestamp_micros("header_us").alias("at"))
+    return keyed(rows, "episode_id", work, "episode_id bigint, t_us bigint, values map<string,double>", "t bigint, times array<array<bigint>>, xs array<array<double>>", idle_ms, late)
 
 
 def hold_stream(stream: DataFrame, master: str, topic: str, spark: SparkSession) -> DataFrame:
     """Causal hold by micro-batches: each batch is aligned with the last sample of its episodes from the batches before.
 
-    stream: episode_id, topic, seq, header_us, x, in time order between batches. The carried rows are one for each episode,
-    in a table that each batch replaces.
+    stream: episode_id, topic, seq, header_us, x, in time order between batches. The carried rows, one for each episode, are
+    a table that each batch replaces: it writes a new one and removes the one before the last, which no retry reads.
     """
     out = scratch(spark)
 
     def align(batch: DataFrame, n: int) -> None:
-        carried = batch.sparkSession.read.parquet(f"{out}/carry{n - 1}") if n else batch.where("false").select("episode_id", "header_us", "seq", "x")
+        own = batch.sparkSession
+        carried = own.read.parquet(f"{out}/carry{n - 1}") if n else batch.where("false").select("episode_id", "header_us", "seq", "x")
         src = batch.where(F.col("topic") == topic).select("episode_id", "header_us", "seq", "x").union(carried)
         rows = src.select("episode_id", "header_us", F.lit(0).alias("kind"), "seq", F.col("x").alias("s")).union(batch.where(F.col("topic") == master).select("episode_id", "header_us", F.lit(1), "seq", F.lit(None).cast("double")))
         w = Window.partitionBy("episode_id").orderBy("header_us", "kind", "seq").rowsBetween(Window.unboundedPreceding, 0)
@@ -131,6 +147,8 @@ def hold_stream(stream: DataFrame, master: str, topic: str, spark: SparkSession)
         held.write.mode("overwrite").parquet(f"{out}/data/batch={n}")
         last = src.groupBy("episode_id").agg(F.max_by(F.struct("header_us", "seq", "x"), F.struct("header_us", "seq")).alias("l")).select("episode_id", "l.*")
         last.write.mode("overwrite").parquet(f"{out}/carry{n}")
+        if n > 1:
+            remove(own, f"{out}/carry{n - 2}")
 
     stream.writeStream.foreachBatch(align).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{out}/data").drop("batch")
@@ -142,6 +160,12 @@ def telemetry_window(stream: DataFrame, ts: str, key: str, value: str, width: st
     return w.agg(F.count("*").alias("n"), F.avg(value).alias("mean")).select(F.unix_micros("w.start").alias("start_us"), key, "n", "mean")
 
 
+def episode_manifest(stream: DataFrame, ts: str, key: str, value: str) -> DataFrame:
+    """One row for each episode of a telemetry log, as far as it has come: rows, first and last time, mean."""
+    us = F.unix_micros(ts)
+    return stream.groupBy(key).agg(F.count("*").alias("n"), F.min(us).alias("first_us"), F.max(us).alias("last_us"), F.avg(value).alias("mean"))
+
+
 def sessions(stream: DataFrame, ts: str, key: str, gap: str, late: str) -> DataFrame:
     """Runs of a key's rows without a gap."""
     s = stream.withWatermark(ts, late).groupBy(F.session_window(ts, gap).alias("w"), key)
