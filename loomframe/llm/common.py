@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
@@ -11,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..ship import ship
+from ..sources.io import remove, shared_dir
 
 #: Rows of a batch handed to Python at once; texts are long, so fewer than Spark's default.
 BATCH_ROWS = 1000
@@ -24,15 +24,6 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a temporary one only where none is set (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="spark-checkpoint-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
 class Tables:
     """Intermediate results written to the shared folder, so that lineage ends there."""
 
@@ -51,8 +42,7 @@ class Tables:
 
     def drop(self, df: DataFrame) -> None:
         """Delete a written table that no later plan reads."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(df._written_at)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, df._written_at)
 
 
 def components(spark: SparkSession, edges: DataFrame, tables: Tables | None = None) -> DataFrame:
