@@ -8,10 +8,9 @@ at once over the presences that aren't zero; n-grams are hashed to a table of fi
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,10 +20,12 @@ SIZE_BITS, LENGTHS = 16, 4
 SIZE = 1 << SIZE_BITS
 #: Most texts that training reads, and how many of them are landmarks, shared evenly by the languages.
 MAX_TRAIN, LANDMARKS = 2000, 256
+#: Most languages that are learned, the most frequent ones.
+MAX_LANGS = 128
 RIDGE, SHARPNESS = 1e-3, 6.0
 #: Texts of one matrix product; bytes whose n-grams are found at once.
 ROWS, BLOCK = 64, 1 << 20
-HAS_LETTER = re.compile(r"[^\W\d_]").search
+HAS_LETTER = regex.compile(r"\p{L}").search
 ODD = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 
@@ -55,16 +56,16 @@ def lowered(text: bytes) -> bytes:
     return bytes(text).decode().lower().encode()
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_TRAIN, landmarks: int = LANDMARKS) -> tuple[list[str], np.ndarray]:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_TRAIN, landmarks: int = LANDMARKS, max_langs: int = MAX_LANGS) -> tuple[list[str], np.ndarray]:
     """Languages, and the matrix that presences are multiplied with, from rows with a non-null language.
 
-    A language's share of max_rows is a sample by hash of the id; rows without a letter or an id take no part. Without rows
-    there are no languages.
+    A language's share of max_rows is a sample by hash of the id; rows without a letter or an id take no part. The max_langs
+    most frequent languages are learned. Without rows there are no languages.
     """
     spark = docs.sparkSession
     common.small_batches(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("id is not null and lang is not null and text is not null")
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
     if not counts:
         return [], np.zeros((SIZE, 0))
     each = max(1, max_rows // len(counts))
