@@ -215,17 +215,16 @@ def append_base(spark, sf):
     return f.select("episode_index", "frame_index", F.round(F.col("v")[16], 6).alias("x"), F.round(F.col("v")[18], 6).alias("yaw"), F.col("v")[19].alias("flag"), F.size("v").alias("width"))
 
 
-@query("SELECT episode_index, frame_index, round(state[1] - first_value(state[1]) OVER w, 6) AS s, round(action[1] - first_value(action[1]) OVER w, 6) AS a FROM frms WINDOW w AS (PARTITION BY episode_index ORDER BY frame_index)")
+@query("SELECT episode_index, frame_index, CAST(i AS INTEGER) AS pos, round(v[i + 1] - first_value(v[i + 1]) OVER (PARTITION BY episode_index, i ORDER BY frame_index), 6) AS x FROM (SELECT *, list_concat(state, action) AS v FROM frms), range(32) r(i)")
 def relative_start(spark, sf):
     from ..operators import episodes
 
-    f = episodes.relative_start(frames(spark, sf))
-    return f.select("episode_index", "frame_index", F.round(F.col("state")[0], 6).alias("s"), F.round(F.col("action")[0], 6).alias("a"))
+    return elements(episodes.relative_start(frames(spark, sf)).withColumn("v", F.concat("state", "action")), ["episode_index", "frame_index"], "v")
 
 
-@query("SELECT episode_index, frame_index, round(action[5] - state[5], 6) AS d FROM frms")
+@query("SELECT episode_index, frame_index, CAST(i AS INTEGER) AS pos, round(action[i + 1] - state[i + 1], 6) AS x FROM frms, range(16) r(i)")
 def delta_action(spark, sf):
-    return frames(spark, sf).select("episode_index", "frame_index", F.round(V.minus("action", "state")[4], 6).alias("d"))
+    return elements(frames(spark, sf).withColumn("v", V.minus("action", "state")), ["episode_index", "frame_index"], "v")
 
 
 @query("SELECT episode_index, frame_index, CAST(generate_subscripts(action, 1) - 1 AS INTEGER) AS pos, round(greatest(-0.1, least(0.1, unnest(action))), 6) AS x, len(list_filter(action, lambda x: abs(x) > 0.1)) > 0 AS outside FROM frms")
@@ -234,11 +233,10 @@ def clip_action(spark, sf):
     return elements(f, ["episode_index", "frame_index", "outside"], "v")
 
 
-@query("SELECT episode_index, frame_index, round(CASE WHEN label % 2 = 0 THEN state[1] ELSE action[8] END, 6) AS hand, round(CASE WHEN label % 2 = 0 THEN action[8] ELSE action[9] END, 6) AS next FROM frms")
+@query("SELECT episode_index, frame_index, CAST(generate_subscripts(v, 1) - 1 AS INTEGER) AS pos, round(unnest(v), 6) AS x FROM (SELECT *, CASE WHEN label % 2 = 0 THEN list_concat(action[1:7], state[1:1], action[8:14], state[2:2]) ELSE action END AS v FROM frms)")
 def coerce_action(spark, sf):
     f = frames(spark, sf).withColumn("v", F.when(F.col("label") % 2 == 0, F.slice("action", 1, 14)).otherwise(F.col("action")))
-    f = f.withColumn("v", V.coerce_action("v", "state"))
-    return f.select("episode_index", "frame_index", F.round(F.col("v")[7], 6).alias("hand"), F.round(F.col("v")[8], 6).alias("next"))
+    return elements(f.withColumn("v", V.coerce_action("v", "state")), ["episode_index", "frame_index"], "v")
 
 
 @query("SELECT episode_id, seq, CASE WHEN v0 / 100 BETWEEN 0 AND 1 AND v1 / 100 BETWEEN 0 AND 1 THEN round(v0 / 100 * 80.0, 6) END AS l, CASE WHEN v0 / 100 BETWEEN 0 AND 1 AND v1 / 100 BETWEEN 0 AND 1 THEN round(v1 / 100 * 80.0, 6) END AS r FROM msgs WHERE topic = 'signup'")
@@ -247,10 +245,10 @@ def eef_command(spark, sf):
     return m.select("episode_id", "seq", F.round(F.col("c")[0], 6).alias("l"), F.round(F.col("c")[1], 6).alias("r"))
 
 
-@query("SELECT episode_index, frame_index, round(action[1] - state[1], 6) AS arm, round(state[16], 6) AS hand FROM frms")
+@query("SELECT episode_index, frame_index, CAST(generate_subscripts(v, 1) - 1 AS INTEGER) AS pos, round(unnest(v), 6) AS x FROM (SELECT *, list_concat(list_transform(range(1, 8), lambda i: action[i] - state[i]), action[8:8], state[16:16]) AS v FROM frms)")
 def feature_map(spark, sf):
     f = V.feature_map(frames(spark, sf), {"arm": {"origins": [("action", 0, 7)], "subtract": "state"}, "hand": {"origins": [("action", 7, 8), ("state", 15, 16)]}})
-    return f.select("episode_index", "frame_index", F.round(F.col("arm")[0], 6).alias("arm"), F.round(F.col("hand")[1], 6).alias("hand"))
+    return elements(f.withColumn("v", F.concat("arm", "hand")), ["episode_index", "frame_index"], "v")
 
 
 @query("--with c AS (SELECT *, list_transform(state, lambda x: greatest(least(x, 0.2), -0.2)) AS v FROM frms) SELECT episode_index, frame_index, CAST(generate_subscripts(v, 1) - 1 AS INTEGER) AS pos, round(CASE WHEN list_max(v) > list_min(v) THEN (unnest(v) - list_min(v)) / (list_max(v) - list_min(v)) * 255.0 ELSE 0.0 END, 6) AS x FROM c")
@@ -264,10 +262,9 @@ def check_actions(spark, sf):
     return frames(spark, sf).select("episode_index", "frame_index", F.concat_ws(";", V.violations(v, 16)).alias("reasons"))
 
 
-@query("SELECT episode_index, frame_index, round(state[1], 6) AS left_half, round(action[9], 6) AS right_half FROM frms")
+@query("SELECT episode_index, frame_index, CAST(generate_subscripts(v, 1) - 1 AS INTEGER) AS pos, round(unnest(v), 6) AS x FROM (SELECT *, list_concat(state[1:8], action[1:8], state[9:16], action[9:16]) AS v FROM frms)")
 def assemble_state(spark, sf):
-    f = frames(spark, sf).withColumn("v", V.assemble_state(["state", "action"]))
-    return f.select("episode_index", "frame_index", F.round(F.col("v")[0], 6).alias("left_half"), F.round(F.col("v")[24], 6).alias("right_half"))
+    return elements(frames(spark, sf).withColumn("v", V.assemble_state(["state", "action"])), ["episode_index", "frame_index"], "v")
 
 
 @query()

@@ -160,10 +160,10 @@ def joined(spark, sf):
 
 
 @query("""--with l AS (SELECT episode_index, max(frame_index) AS last FROM frms GROUP BY 1), o AS (SELECT f.episode_index, f.frame_index, CAST(i AS INTEGER) AS "offset", greatest(0, least(last, f.frame_index + i)) AS target FROM frms f JOIN l USING (episode_index), (VALUES (-1), (0), (1), (2)) r(i))
-SELECT o.episode_index, o.frame_index, "offset", target <> o.frame_index + "offset" AS pad, round(g.action[1], 6) AS x FROM o JOIN frms g ON g.episode_index = o.episode_index AND g.frame_index = o.target""")
+SELECT o.episode_index, o.frame_index, "offset", target <> o.frame_index + "offset" AS pad, CAST(d AS INTEGER) AS pos, round(g.action[d + 1], 6) AS x FROM o JOIN frms g ON g.episode_index = o.episode_index AND g.frame_index = o.target, range(16) e(d)""")
 def delta_windows(spark, sf):
-    w = windows.delta_windows(frames(spark, sf), "action", windows.offsets_of(2, 3))
-    return w.select("episode_index", "frame_index", "offset", "pad", F.round(F.col("x")[0], 6).alias("x"))
+    w = windows.delta_windows(frames(spark, sf), "action", windows.offsets_of(2, 3)).withColumnRenamed("x", "v")
+    return elements(w, ["episode_index", "frame_index", "offset", "pad"], "v")
 
 
 @query("SELECT CAST(h AS INTEGER) AS h, CAST(d AS INTEGER) AS dim, count(*) AS n, round(avg(abs(p - a)), 6) AS mae, round(sqrt(avg((p - a) * (p - a))), 6) AS rmse FROM jnd GROUP BY 1, 2 -- pred frms")
@@ -207,9 +207,9 @@ def sample_frames(spark, sf):
     return windows.sample_frames(frames(spark, sf), 3, 5).select("episode_index", "frame_index")
 
 
-@query("SELECT episode_index, frame_index + h AS step, CAST(h AS INTEGER) AS h, round(p, 6) AS x FROM pred WHERE frame_index % 3 = 0 AND h < 3 AND d = 0 -- frms")
+@query("SELECT episode_index, frame_index + h AS step, CAST(h AS INTEGER) AS h, CAST(d AS INTEGER) AS pos, round(p, 6) AS x FROM pred WHERE frame_index % 3 = 0 AND h < 3 -- frms")
 def execute_prefix(spark, sf):
-    return windows.execute_prefix(predictions(spark, sf), 3).select("episode_index", "step", "h", F.round(F.col("x")[0], 6).alias("x"))
+    return elements(windows.execute_prefix(predictions(spark, sf), 3).withColumnRenamed("x", "v"), ["episode_index", "step", "h"], "v")
 
 
 @query("""--with c AS (SELECT episode_index, frame_index AS requested, frame_index + 1 + (episode_index + frame_index) % 2 AS ready, h, p FROM pred WHERE frame_index % 2 = 0 AND d = 0)
