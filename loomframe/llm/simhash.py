@@ -19,6 +19,8 @@ from . import common
 
 #: Rows of one block where fingerprints that share a variant are compared with each other.
 BLOCK = 256
+#: Fingerprints whose 64 variants each one task makes.
+VARIANT_ROWS = 50_000
 #: Texts of one block whose shingle sets are compared.
 COMPARE = 64
 #: Bands of min-hashes and the min-hashes of each: at Jaccard 0.8 a pair shares no band with probability (1 - 0.8 ** 6) ** 40, 5e-6.
@@ -76,7 +78,9 @@ def links(fps: DataFrame, bits: int, tables: common.Tables) -> DataFrame:
     A variant of two fingerprints is a pair. One of more goes to blocks, where all are compared and only the links that
     join two parts are kept: what is connected stays connected, and no group's pairs are written out.
     """
-    every = fps.select("fp", F.explode(variants(F.col("fp"), bits)).alias("key"))
+    # fingerprints are few bytes and would be read by few tasks; their variants are 64 times as many
+    tasks = max(fps.sparkSession.sparkContext.defaultParallelism, -(-fps.count() // VARIANT_ROWS))
+    every = fps.repartition(tasks, "fp").select("fp", F.explode(variants(F.col("fp"), bits)).alias("key"))
     shared = tables.write(every.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
     two = shared.where("n = 2").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits).select("a", "b")
     # never broadcast: keys of many grow with the table, and the same plan should hold at every size
