@@ -4,10 +4,16 @@ Each pass orders the vectors of a label lexicographically by their concatenated
 projections) and compares each with its next neighbours in that order; the verified pairs of all passes are united to
 components. Window and passes bound the search for what belongs together, not what is counted: inside a component all
 pairs are then compared in blocks, so that links are counted whole, however many a vector has.
+
+Two vectors at cosine c agree in a hash with probability a = 1 - acos(c) / pi. In a label of n vectors about n / 2 ** L share
+the first L hashes, so a pass brings a pair into a window of w with probability a ** log2(n / w). The number of passes
+follows the largest label, so that a pair at the least cosine meets in no pass with probability MISS at most.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,7 +21,17 @@ from pyspark.sql import functions as F
 
 from . import common
 
-PASSES, BITS, WINDOW, BLOCK = 20, 32, 32, 256
+BITS, WINDOW, BLOCK = 32, 32, 256
+#: Chance that a pair at the least cosine meets in no pass, as far as hashes split a label evenly; least number of passes.
+MISS, LEAST_PASSES = 1e-3, 8
+#: Windows of a range of sorted rows, at least: ends of ranges see only one neighbouring range.
+RANGE_WINDOWS = 64
+
+
+def passes_for(n: int, least: float, window: int = WINDOW, miss: float = MISS) -> int:
+    """Passes over a label of n vectors."""
+    meet = (1 - math.acos(min(1.0, least)) / math.pi) ** max(0.0, math.log2(max(1, n) / window))
+    return max(LEAST_PASSES, math.ceil(math.log(miss) / math.log1p(-meet)) if meet < 1 else 1)
 
 
 def matrix(col: pa.Array) -> np.ndarray:
@@ -101,8 +117,9 @@ def near_pairs(one: DataFrame, least: float, passes: int, bits: int, window: int
     names = ["pass", "hashes", "rep", "label", "dim", "vec"]
     order = ["pass", "label", "dim", "hashes", "rep"]
     schema = "pass int, hashes bigint, rep bigint, label int, dim int, vec array<float>"
-    rows = one.select("rep", "label", "dim", "vec").mapInArrow(hashed, schema.replace("pass int, hashes bigint, ", "pass int, hashes bigint, "))
-    got = tables.write(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(neighbours, f"a bigint, b bigint, border int, side int, {schema}"))
+    rows = one.select("rep", "label", "dim", "vec").mapInArrow(hashed, schema)
+    ranges = max(1, min(int(one.sparkSession.conf.get("spark.sql.shuffle.partitions")), passes * one.count() // (window * RANGE_WINDOWS)))
+    got = tables.write(rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(neighbours, f"a bigint, b bigint, border int, side int, {schema}"))
 
     def across(batches):
         for g in common.sorted_groups(batches, ["border"]):
@@ -136,19 +153,23 @@ def link_counts(members: DataFrame, least: float, block: int = BLOCK) -> DataFra
     return counted.groupBy("rep").agg(F.sum("links").alias("links"))
 
 
-def classes(df: DataFrame, least: float = 0.93, passes: int = PASSES, bits: int = BITS, window: int = WINDOW) -> DataFrame:
+def classes(df: DataFrame, least: float = 0.93, passes: int | None = None, bits: int = BITS, window: int = WINDOW) -> DataFrame:
     """Rows (vec_id, n_links, component_id, kept), one per input row (vec_id, embedding, label).
 
     Vectors are compared only under equal, non-null labels and equal lengths. A row whose vector is null, empty, zero or
     has a null or non-finite component, or whose label or vec_id is null, links with nothing and is its own component
     (kept is null where vec_id is). Equal vectors of a label are one vector with a multiplicity. Repeated rows count as
-    vectors of their own; an empty table gives an empty result; other columns are not read.
+    vectors of their own; an empty table gives an empty result; other columns are not read. passes: by default those that
+    the largest label needs.
     """
     spark = df.sparkSession
     tables = common.Tables(spark)
     rows = df.select("vec_id", F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<float>").alias("vec"))
     good = usable(rows, "vec").where("vec_id is not null and label is not null and exists(vec, x -> x <> 0)")
     one = tables.write(good.groupBy("label", "vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult")).withColumn("dim", F.size("vec")))
+    if passes is None:
+        largest = one.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first().n
+        passes = passes_for(largest or 1, least, window)
     part = tables.write(common.components(spark, near_pairs(one, least, passes, bits, window, tables), tables))
     sizes = part.groupBy("component").agg(F.count("*").alias("n"))
     members = part.join(sizes, "component").withColumnRenamed("node", "rep").join(one, "rep")
