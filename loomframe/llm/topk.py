@@ -4,21 +4,23 @@ A vector's score is the sum of m partial scores, one for each block of dimension
 rows of its highest partial scores, with their sums; the k-th highest sum of a query is a cutoff that no result is below.
 Phase 2 broadcasts it: a row can reach the cutoff only if one of its partial scores reaches a m-th of it, so just these
 are collected. Phase 3 resolves them: exact sums, those below the cutoff dropped, the k best of each task and then of all.
-Queries are broadcast in chunks of bounded size; each chunk reads the table twice.
+Queries are broadcast in chunks of bounded size; each chunk reads the table twice, and its result is a table before the next
+chunk's queries take its place.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..ship import ship
+from . import common
 from .near_vectors import usable
 
-#: Queries of one broadcast; dimension blocks; rows scored at once.
-CHUNK, PARTS, ROWS = 4096, 4, 2048
+#: Bytes of the queries of one broadcast; queries and rows scored at once; dimension blocks.
+CHUNK_BYTES, QUERIES, ROWS, PARTS = 16 << 20, 2048, 2048, 4
 
 
 def integers(col: pa.Array, scale: int) -> np.ndarray:
@@ -43,7 +45,12 @@ def best(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -score[at]))][:k]
 
 
-def search(df: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, parts: int = PARTS, chunk: int = CHUNK) -> DataFrame:
+def best_of(found: DataFrame, k: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def search(df: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, parts: int = PARTS, chunk: int | None = None) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): the k highest integer inner products of each query, all if there are fewer.
 
     queries and df: vec_id, embedding. Components count as floor(scale * x). A query is compared with every row of another
@@ -51,23 +58,25 @@ def search(df: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, pa
     without vec_id, take no part. Repeated rows are rows of their own; sums beyond 64 bits wrap. Empty tables give no rows.
     """
     spark = df.sparkSession
-    ship(spark)
+    tables = common.Tables(spark)
     rows, queries = (usable(x.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vec")).where("vec_id is not null"), "vec") for x in (df, queries))
-    chunks = -(-queries.count() // chunk)
+    n, longest = queries.agg(F.count("*"), F.max(F.size("vec"))).first()
+    chunks = -(-n // (chunk or max(1, CHUNK_BYTES // (8 * (longest or 1)))))
     out = None
     for c in range(chunks):
         mine = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(chunks)) == c)
         sets: dict[int, tuple] = {}
-        got = mine.toArrow()
-        for dim in set(map(len, got.column("vec").to_pylist())):
-            part = got.filter(pa.array([len(x) == dim for x in got.column("vec").to_pylist()])).combine_chunks()
+        got = mine.toArrow()  # at most about `chunk` vectors
+        lengths = pc.list_value_length(got.column("vec"))
+        for dim in pc.unique(lengths).to_pylist():
+            part = got.filter(pc.equal(lengths, dim)).combine_chunks()
             sets[dim] = (part.column("vec_id").to_numpy(), integers(part.column("vec").combine_chunks(), scale))
         shared = spark.sparkContext.broadcast(sets)
 
         def scored(batches, shared=shared):
             """(query ids, row ids, partial scores by block) of up to ROWS rows at once."""
             for b in batches:
-                lengths = np.array([len(x) for x in b.column(1)])
+                lengths = pc.list_value_length(b.column(1)).to_numpy()
                 for dim in np.unique(lengths):
                     if int(dim) not in shared.value:
                         continue
@@ -76,7 +85,8 @@ def search(df: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, pa
                     ids, v = part.column(0).to_numpy(), integers(part.column(1), scale)
                     cuts = np.linspace(0, dim, min(parts, dim) + 1).astype(int)
                     for at in range(0, len(ids), ROWS):
-                        yield q_ids, ids[at : at + ROWS], [product(q[:, a:z], v[at : at + ROWS, a:z]) for a, z in zip(cuts[:-1], cuts[1:])]
+                        for of in range(0, len(q_ids), QUERIES):
+                            yield q_ids[of : of + QUERIES], ids[at : at + ROWS], [product(q[of : of + QUERIES, a:z], v[at : at + ROWS, a:z]) for a, z in zip(cuts[:-1], cuts[1:])]
 
         def keep(found, q_id, score, ids):
             if q_id in found:
@@ -120,9 +130,11 @@ def search(df: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, pa
                         keep(found, int(q_ids[i]), total[ok], ids[at][ok])
             yield from emit(found)
 
-        part = rows.mapInArrow(resolve, schema)
+        part = best_of(rows.mapInArrow(resolve, schema), k) if chunks == 1 else tables.write(best_of(rows.mapInArrow(resolve, schema), k))
+        if chunks > 1:
+            shared.destroy()
+            cutoff.destroy()
         out = part if out is None else out.union(part)
     if out is None:
-        out = rows.where("false").select(F.col("vec_id").alias("query_id"), "vec_id", F.col("vec_id").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        out = best_of(rows.where("false").select(F.col("vec_id").alias("query_id"), "vec_id", F.col("vec_id").alias("score")), k)
+    return out
