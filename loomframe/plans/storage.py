@@ -110,7 +110,7 @@ def read_tasks(spark, sf):
     return io.read_tasks(spark, written(spark, sf))
 
 
-@query("SELECT CAST(count(DISTINCT episode_index) AS BIGINT) AS total_episodes, count(*) AS total_frames, 10.0 AS fps, 'v3.0' AS codebase_version FROM frms")
+@query("SELECT CAST(count(DISTINCT episode_index) AS BIGINT) AS total_episodes, count(*) AS total_frames, CAST(10 AS DOUBLE) AS fps, 'v3.0' AS codebase_version FROM frms")
 def read_info(spark, sf):
     return io.read_info(spark, written(spark, sf)).select("total_episodes", "total_frames", "fps", "codebase_version")
 
