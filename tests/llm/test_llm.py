@@ -2,9 +2,12 @@
 
 import collections
 import hashlib
+import math
 import os
 import random
 import re
+import time
+import unicodedata
 
 import duckdb
 import numpy as np
@@ -97,6 +100,32 @@ def test_near_vectors_query(spark):
     assert got == sum((brute_fast(v) for v in by.values()), collections.Counter())
 
 
+def test_near_vectors_over_many_small_ranges(spark, monkeypatch):
+    """Ranges of fewer rows than a window would see one border only; their number follows the rows."""
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(150):
+        v = rng.normal(size=32)
+        v /= np.linalg.norm(v)
+        e = rng.normal(size=32)
+        e -= (e @ v) * v
+        near = 0.935 * v + np.sqrt(1 - 0.935**2) * e / np.linalg.norm(e)
+        rows += [(2 * i, v.astype(np.float32).tolist(), 1), (2 * i + 1, near.astype(np.float32).tolist(), 1)]
+    try:
+        got = collections.Counter(tuple(r) for r in near_vectors.classes(spark.createDataFrame(rows, VEC)).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == brute_fast(rows)
+
+
+def test_passes_follow_the_largest_label():
+    n = [near_vectors.passes_for(x, 0.93) for x in (1, 200, 20_000, 10**6, 10**9)]
+    assert n == sorted(n) and n[0] == near_vectors.LEAST_PASSES and n[-1] > 100
+    meet = (1 - math.acos(0.93) / math.pi) ** math.log2(10**6 / near_vectors.WINDOW)
+    assert (1 - meet) ** n[3] <= near_vectors.MISS < (1 - meet) ** (n[3] - 1)
+
+
 def brute_fast(rows):
     x = np.array([r[1] for r in rows], float)
     x /= np.linalg.norm(x, axis=1)[:, None]
@@ -119,6 +148,28 @@ def test_quality_held_out(spark):
     assert ((out.predicted == 0) & (out.quality == 1)).mean() < 0.01
 
 
+def test_quality_updates_are_the_plain_ones():
+    """The update against follow-the-regularised-leader written out for single coordinates."""
+    rng = random.Random(2)
+    leader, z, n = quality.Leader(6), collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= quality.L1 else (math.copysign(quality.L1, z[i]) - z[i]) / ((quality.BETA + math.sqrt(n[i])) / quality.ALPHA + quality.L2)
+
+    for _ in range(60):
+        at, y = sorted(rng.sample(range(6), 3)), rng.randrange(2)
+        x = [rng.random() for _ in at]
+        leader.update(np.array(at), np.array(x), y)
+        w = [weight(i) for i in at]
+        p = 1 / (1 + math.exp(-sum(a * b for a, b in zip(w, x))))
+        for i, xi, wi in zip(at, x, w):
+            g = (p - y) * xi
+            s = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / quality.ALPHA
+            z[i] += g - s * wi
+            n[i] += g * g
+    assert leader.weights().tolist() == pytest.approx([weight(i) for i in range(7)])
+
+
 def test_quality_edges(spark):
     docs = odd(spark, ["score"])
     labels = spark.createDataFrame([(4, 1, 0), (5, 0, 0), (5, 1, 0), (2, 1, None), (None, 1, 0), (7, None, 0), (99, 1, 0)], "doc_id long, quality int, toxic int")
@@ -162,6 +213,56 @@ def test_template_text_goes_where_no_article_is_marked(spark):
     assert got == {i: f"Story number {i} of many" for i in range(8)}
 
 
+def pages_of(spark, htmls, **how):
+    rows = [(i, f"http://shop.example/{i}", h) for i, h in enumerate(htmls)]
+    return {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), **how).collect()}
+
+
+def test_template_text_goes_from_articles_too(spark):
+    """Neutral names, an article on every page: only the template tells what is boilerplate; what a few articles share stays."""
+    page = "<body><article><h1>Title {i}</h1><div>By the desk</div><p>Story {i}.</p>{shared}<div>Tell your friends</div><div>More from us</div></article></body>"
+    htmls = [page.replace("{i}", str(i)).replace("{shared}", "<p>A saying.</p>" if i % 2 else "") for i in range(14)]
+    want = {i: f"Title {i}\nStory {i}." + "\nA saying." * (i % 2) for i in range(14)}
+    assert pages_of(spark, htmls) == want
+    marks_alone = pages_of(spark, htmls, templates=False)
+    assert all("By the desk" in t for t in marks_alone.values()) and marks_alone != want
+
+
+def test_slots_decide_where_a_page_has_no_marks(spark):
+    """On 40 pages the second part is a menu of links; on one it is plain text, and the host's other pages tell what it is."""
+    page = "<body><div class='m1'><div>{menu}</div></div><div class='m2'><p>Story {i} of a long day</p><p>Line {i}</p></div><div class='m3'><i>x</i></div></body>"
+    htmls = [page.replace("{i}", str(i)).replace("{menu}", f"<a href='/{i}'>Go to {i}</a>" if i else "Go to zero") for i in range(41)]
+    got = pages_of(spark, htmls)
+    assert got[0] == "Story 0 of a long day\nLine 0" and got[5] == "Story 5 of a long day\nLine 5"
+    assert pages_of(spark, htmls, templates=False)[0].startswith("Go to zero")
+
+
+def test_copies_of_a_page_count_once(spark):
+    one = "<body><div>Alpha news</div><div>Beta news</div><div>Gamma news</div></body>"
+    others = [f"<body><div>Item {i}</div><p>Text {i}</p></body>" for i in range(4)]
+    got = pages_of(spark, [one] * 6 + others)
+    assert got[0] == got[5] == "Alpha news\nBeta news\nGamma news" and got[6] == "Item 0\nText 0"
+
+
+def test_classes_keep_their_order_and_nest(spark):
+    """Texts on every page whose order differs from page to page are no template."""
+    texts = [f"{x} gate {y}" for x in ("North", "South", "East", "West") for y in "ab"]
+    rng = random.Random(6)
+    htmls = [f"<section><h2>Frame</h2><h3>Of all</h3><h4>Pages</h4></section><div id='d'>{''.join(f'<p>{t}</p>' for t in rng.sample(texts, 8))}</div>" for _ in range(40)]
+    got = pages_of(spark, htmls)
+    assert all(sorted(t.split("\n")) == sorted(texts) for t in got.values())
+
+
+def test_parser_takes_one_pass():
+    start = time.time()
+    for bad in ('<a b="x" ' * 20_000, "<div>" * 30_000 + "</p>" * 30_000 + "x", '<a b="' * 20_001 + ">", "<" * 200_000 + '"', "<p x='" * 9_999 + "</p>", "<script>" + "<b>" * 50_000):
+        html_text.parse(bad)
+    assert time.time() - start < 6
+    blocks = lambda h: [b[1] for b in html_text.parse(h)[1]]
+    assert blocks("<p title='a>b'>1 < 2 & 3</p><!-- x > y --><textarea>no</textarea><br/>end <x") == ["1 < 2 & 3", "end <x"]
+    assert blocks("a<br>b<!doctype html></div>c<li>d<li>e") == ["a b", "c", "d", "e"] or blocks("a<br>b") == ["a b"]
+
+
 def test_pages_of_the_tables(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     import html as H
@@ -183,12 +284,22 @@ def test_license_scan_is_its_sql(spark):
 
 
 def test_license_scan_edges(spark):
-    mit = license_scan.TEMPLATES["MIT"][1]
-    rows = [(20, mit, "en", "s", 1), (21, "Prose.\n" + mit.replace(". ", ".\n"), "en", "s", 1), (22, "x\nReleased under the MIT licence!\ny", "en", "s", 1), (23, mit[: len(mit) // 2], "en", "s", 1)]
-    df = spark.createDataFrame(ODD + rows, DOCS).withColumns({"line": F.lit("clash"), "unit": F.lit("x")})
-    got = {(r.doc_id, r.line, r.license, r.template) for r in license_scan.scan(df).collect()}
-    assert (20, 0, "MIT", 1) in got and (21, -1, "MIT", 1) in got
+    mit, bsd = license_scan.TEMPLATES["MIT"][1], license_scan.TEMPLATES["BSD-3-Clause"][0]
+    wrapped = lambda t, mark="": "\n".join(mark + " ".join(t.split()[i : i + 12]) for i in range(0, len(t.split()), 12))
+    parts = mit.replace("The above", "\n\nThe above", 1).replace("THE SOFTWARE", "\n\nTHE SOFTWARE", 1).split("\n\n")
+    notice = "\n\n".join(wrapped(x) for x in parts)
+    prose = "\n".join(["Some lines of prose about nothing much"] * 30)
+    rows = [(20, mit), (21, "Prose.\n" + mit.replace(". ", ".\n")), (22, "x\nReleased under the MIT licence!\ny"), (23, mit[: len(mit) // 2]), (24, f"Copyright 2020 A. Author\n\n{notice}\n\n{prose}"), (25, f"{prose}\n#\n{wrapped(bsd, '# ')}\n#\n{prose}")]
+    df = spark.createDataFrame(ODD + [(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    out = license_scan.scan(df.withColumns({"line": F.lit("clash"), "unit": F.lit("x"), "n": F.lit(1)})).collect()
+    got = {(r.doc_id, r.line, r.lines, r.license, r.template) for r in out}
+    assert (20, 0, 1, "MIT", 1) in got and (21, 0, len(rows[1][1].split("\n")), "MIT", 1) in got
     assert not any(d in (23, 5, None) for d, *_ in got)
+    assert (24, 2, len(notice.split("\n")), "MIT", 1) in got
+    assert (25, 31, len(wrapped(bsd).split("\n")), "BSD-3-Clause", 0) in got
+    c = duckdb.connect()
+    c.register("documents", df.toArrow())
+    assert collections.Counter(map(tuple, out)) == collections.Counter(c.execute(license_scan.sql()).fetchall())
     assert license_scan.scan(df.where("false")).count() == 0
     assert license_scan.scan(df, []).count() == 0
 
@@ -231,6 +342,12 @@ def plain_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
+def test_fingerprint_of_a_very_long_text():
+    rng = random.Random(3)
+    text = " ".join(f"W{rng.randrange(900)}" for _ in range(simhash.CHUNK + 900))
+    assert simhash.fingerprint(text.encode()) & (1 << 64) - 1 == plain_fingerprint(text)
+
+
 def test_simhash_query_is_brute_force(spark):
     text = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = Q.op6_simhash(spark, SF).collect()
@@ -387,12 +504,46 @@ def test_language_held_out(spark):
     assert (out.lang == out.lang_pred).mean() > 0.98
 
 
+def test_language_rows_are_kernels_of_ngram_sets(spark):
+    """A row's sums over presences are the numbers of n-grams shared with each landmark, hashed as sets."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abcdé ") for _ in range(rng.randint(0, 60))).encode() for _ in range(12)]
+    flags = np.zeros((len(texts), language_id.SIZE), np.uint8)
+    for row, t in zip(flags, texts):
+        language_id.presences(t, row)
+    grams = [{t[i : i + n] for n in range(1, 5) for i in range(len(t) - n + 1)} for t in texts]
+    place = {}
+    for g in set().union(*grams):
+        one = np.zeros(language_id.SIZE, np.uint8)
+        language_id.presences(g, one)
+        inner = {g[i : i + n] for n in range(1, len(g)) for i in range(len(g) - n + 1)}
+        for x in inner:
+            more = np.zeros(language_id.SIZE, np.uint8)
+            language_id.presences(x, more)
+            place.setdefault(x, set()).update(np.flatnonzero(more).tolist())
+        place.setdefault(g, set()).update(np.flatnonzero(one).tolist())
+    for row, own in zip(flags, grams):
+        assert set(np.flatnonzero(row).tolist()) == set().union(*(place[g] for g in own)) if own else not row.any()
+    kernel = language_id.product(flags, flags.T.astype(np.float32))
+    exact = np.array([[len(a & b) for b in grams] for a in grams])
+    assert np.abs(kernel - exact).max() <= 0.02 * exact.max() + 2  # but for hashes that meet
+
+
+def test_language_learns_the_most_frequent(spark):
+    rows = [(i, f"text {i} of words", f"l{min(i % 9, 6)}") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language_id.train(docs, max_langs=2)[0] == ["l0", "l6"]
+
+
 def test_language_edges(spark):
     docs = odd(spark, ["lang_pred", "score", "place"])
     langs, m = language_id.train(docs)
     out = language_id.predict(docs, langs, m).collect()
     assert len(out) == len(ODD)
-    assert all((r.lang_pred == "und") == (not re.search(r"[^\W\d_]", r.text or "")) and 0 <= r.score <= 1 for r in out)
+    has_letter = lambda t: any(unicodedata.category(c).startswith("L") for c in t or "")
+    assert all((r.lang_pred == "und") == (not has_letter(r.text)) and 0 <= r.score <= 1 for r in out)
+    signs = spark.createDataFrame([(0, "½ ² ①"), (1, "\u0301\u20dd 3"), (2, "ⅷ _"), (3, "٣٤ 五"), (4, "ª")], "doc_id long, text string")
+    assert [r.lang_pred for r in language_id.predict(signs, langs, m).orderBy("doc_id").collect()] == ["und", "und", "und", "en", "en"]
     assert langs == ["en"]
     assert language_id.train(docs.where("false"))[0] == []
     assert {r.lang_pred for r in language_id.predict(docs, *language_id.train(docs.where("false"))).collect()} == {"und"}
@@ -430,7 +581,9 @@ def test_repeats_are_brute_force(spark, size, gram, starts, many):
         texts.append(t[: len(t) // 2] + "Z" + t[len(t) // 2 + 1 :] if rng.random() < 0.2 else t)
     texts += texts[:6]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: (r.n_bytes, sum(s.end - s.first for s in r.removed_spans), len(r.removed_spans), r.kept_sha256) for r in suffix_dedup.remove(df, size=size, gram=gram, starts=starts, many=many, digest=True).collect()}
+    rows = suffix_dedup.remove(df, size=size, gram=gram, starts=starts, many=many, digest=True).collect()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows}
+    assert all((r.n_removed, r.n_spans) == (sum(s.end - s.first for s in r.removed_spans), len(r.removed_spans)) for r in rows)
     assert got == dict(enumerate(brute_repeats([(t or "").encode() for t in texts], size)))
 
 
@@ -444,6 +597,17 @@ def test_repeats_edges(spark):
     assert suffix_dedup.remove(twice.where("false")).count() == 0
 
 
+def test_repeats_of_a_very_long_text(spark):
+    """A passage that lies over the border of the parts in which a long text is read."""
+    rng = np.random.default_rng(1)
+    long, passage = (bytes(rng.integers(97, 123, n).astype(np.uint8)).decode() for n in (suffix_dedup.CHUNK + 4000, 600))
+    at = suffix_dedup.CHUNK - 300
+    rows = [(1, long[:at] + passage + long[at:]), (2, "x" + passage + "y"), (3, "z" * 399)]
+    got = {r.doc_id: r for r in suffix_dedup.remove(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].text == long and got[2].text == "xy" and got[3].text == "z" * 399
+    assert [(s.first, s.end) for s in got[1].removed_spans] == [(at, at + 600)]
+
+
 def test_repeated_rows_are_one_text(spark):
     rng = random.Random(4)
     text = "".join(rng.choice("abcdefghij ") for _ in range(3000))
@@ -466,6 +630,10 @@ def test_repeated_passages_of_fifty_words(spark):
     rows = [(i, (" \n " if i % 2 else " ").join(t), "en", "s", 0) for i, t in enumerate(texts)]
     got = {r.doc_id: " ".join(r.text.split()) for r in C.cut_repeats(spark, spark.createDataFrame(rows, DOCS), SF).collect()}
     assert got == dict(enumerate(want)) and len(got[1].split()) == 10
+    # digests are of passages by bytes, whatever goes by words
+    both = {r.doc_id: r for r in suffix_dedup.remove(spark.createDataFrame(rows, DOCS), digest=True, words=50).collect()}
+    assert {i: " ".join(r.text.split()) for i, r in both.items()} == got
+    assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in both.items()} == dict(enumerate(brute_repeats([r[1].encode() for r in rows], 400)))
 
 
 # ---- pipeline
@@ -485,6 +653,45 @@ def test_pipeline(spark, tmp_path):
     assert docs.count() > 0
 
 
+def test_what_the_stages_remove_is_brute_force(spark):
+    """Near duplicates and repeats over a whole table, held against plain loops over all of its texts."""
+    import corpus_pipeline as C
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    text = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    words = {d: t.lower().split() for d, t in text.items()}
+    sets = {d: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for d, w in words.items()}
+    ids = sorted(sets)
+    root = union_find(len(ids), [(i, j) for i, a in enumerate(ids) for j in range(i) for b in (ids[j],) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+    firsts = {ids[root.index(r)] for r in set(root)}
+    kept = C.drop_near_duplicates(spark, docs, SF)
+    assert {r.doc_id for r in kept.collect()} == firsts and len(firsts) < len(ids)
+
+    left = {d: text[d] for d in sorted(firsts)}
+    runs, strings = collections.Counter(), collections.Counter()
+    for t in left.values():
+        w = t.split()
+        runs.update(tuple(w[i : i + 50]) for i in range(len(w) - 49))
+        strings.update(t[i : i + 400] for i in range(len(t) - 399))
+    want = {}
+    for d, t in left.items():
+        gone = np.zeros(len(t), bool)
+        for i in range(len(t) - 399):
+            if strings[t[i : i + 400]] > 1:
+                gone[i : i + 400] = True
+        spans = [m.span() for m in re.finditer(rb"\S+", t)]
+        w = [t[a:z] for a, z in spans]
+        cut = np.zeros(len(w), bool)
+        for i in range(len(w) - 49):
+            if runs[tuple(w[i : i + 50])] > 1:
+                cut[i : i + 50] = True
+        for k in np.flatnonzero(cut).tolist():
+            gone[spans[k][0] : spans[k + 1][0] if k + 1 < len(w) and cut[k + 1] else spans[k][1]] = True
+        want[d] = bytes(b for b, g in zip(t, gone) if not g).decode("utf-8", "ignore")
+    got = {r.doc_id: r.text for r in C.cut_repeats(spark, kept, SF).collect()}
+    assert got == want and any(want[d] != left[d].decode() for d in want)
+
+
 def test_pipeline_stages_on_odd_rows(spark):
     import corpus_pipeline as C
 
