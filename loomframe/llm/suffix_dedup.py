@@ -17,24 +17,26 @@ are one row after the first grouped count.
 from __future__ import annotations
 
 import hashlib
-import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_digest, xxh64_intdigest
+from xxhash import xxh32_digest, xxh64_intdigest
 
 from . import common
 from .suffix_array import suffix_array
 
 SIZE, GRAM, STARTS = 400, 128, 20
-#: Bytes of a word's hash where passages are counted in words.
-WORD = 8
+#: Bytes of a word's hash where passages are counted in words; a passage is many words, so chance never makes one.
+WORD = 4
 #: Passage starts of a text that are hashed at once.
 CHUNK = 1 << 20
 #: Symbols of one suffix array; blocks of one core from which single passages are counted instead.
 SYMBOLS, MANY = 60_000, 2_000
+#: Blocks that one task sorts, about.
+SORT_ROWS = 20_000
+DIGEST = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 BASE, MIX = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -198,7 +200,9 @@ def repeats(docs: DataFrame, text_col: str, key: str, tables: common.Tables, siz
             yield done()
 
     columns = [*sides, "least"]
-    by_array = some.select(*columns).repartition("gram", "core").sortWithinPartitions("gram", "core").mapInArrow(sort, "gram bigint, core bigint, before binary, after binary, bits bigint")
+    # sorting takes time, not bytes: enough tasks, which Spark would otherwise size by bytes
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-mixed.count() // SORT_ROWS))
+    by_array = some.select(*columns).repartition(tasks, "gram", "core").sortWithinPartitions("gram", "core").mapInArrow(sort, "gram bigint, core bigint, before binary, after binary, bits bigint")
     # cores with many surroundings: each passage is a row of its own, and rows are counted
     ends = mixed.where(F.col("m") > many).select(*columns, F.explode(F.sequence("least", "most")).alias("a"))
     passage = ends.withColumn("p", F.concat(F.substring("before", F.length("before") - F.col("a") + 1, F.col("a")), F.substring("after", F.lit(1), F.lit(starts - 1) - F.col("a"))))
@@ -209,26 +213,39 @@ def repeats(docs: DataFrame, text_col: str, key: str, tables: common.Tables, siz
     hit = pieces.where("not whole").select("gram", "ctx", "j", *sides[1:]).join(bits, sides).groupBy("gram", "ctx").agg(F.collect_list(F.struct("j", "bits")).alias("hits"))
     flags = contexts.select("gram", "ctx", (F.col("c") > 1).alias("whole")).join(hit, ["gram", "ctx"], "left").where(F.col("whole") | F.col("hits").isNotNull())
     flags = tables.write(flags.select("gram", "ctx", F.when(~F.col("whole"), F.col("hits")).alias("hits")))
-    return kept.join(flags, ["gram", "ctx"]).groupBy("key").agg(F.collect_list(F.struct("lo", "n", "rel", "hits")).alias("found"))
-
-
-def covered(length: int, found: list[dict], size: int, starts: int) -> list[tuple[int, int]]:
-    """Maximal runs of bytes that the passages found cover."""
-    depth = np.zeros(length + 1, np.int32)
-    for f in found:
-        lo, n = f["lo"], f["n"]
-        if f["hits"] is None:
-            depth[lo] += 1
-            depth[min(length, lo + n - 1 + size)] -= 1
-            continue
-        for h in f["hits"]:
-            for a in range(starts):
-                if h["bits"] >> a & 1:
-                    s = lo + f["rel"] - h["j"] * starts - a
-                    depth[s] += 1
-                    depth[s + size] -= 1
-    inside = np.diff(np.concatenate([[0], (np.cumsum(depth[:-1]) > 0).astype(np.int8), [0]]))
-    return list(zip(np.flatnonzero(inside == 1).tolist(), np.flatnonzero(inside == -1).tolist()))
+    for done in (again, contexts, differ, pieces, one, mixed):
+        tables.drop(done)
+    found = tables.write(kept.join(flags, ["gram", "ctx"]).groupBy("key").agg(F.collect_list(F.struct("lo", "n", "rel", "hits")).alias("found")))
+    tables.drop(kept)
+    tables.drop(flags)
+    return found
+
+
+def united(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Disjoint spans, in order, that cover the same places."""
+    if not len(first):
+        return first, end
+    order = np.argsort(first, kind="stable")
+    first, end = first[order], np.maximum.accumulate(end[order])
+    new = np.flatnonzero(np.concatenate([[True], first[1:] > end[:-1]]))
+    return first[new], end[np.append(new[1:] - 1, len(end) - 1)]
+
+
+def covered(found: pa.StructArray, size: int, starts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs (first places, ends) that the passages found cover."""
+    lo, n, rel = (found.field(c).to_numpy().astype(np.int64) for c in ("lo", "n", "rel"))
+    hits = found.field("hits")
+    whole = hits.is_null().to_numpy(zero_copy_only=False)
+    first, end = [lo[whole]], [lo[whole] + n[whole] - 1 + size]
+    if not whole.all():
+        flat = hits.flatten()
+        owner = np.repeat(np.arange(len(found)), np.where(whole, 0, hits.value_lengths().fill_null(0).to_numpy()))
+        j, bits = (flat.field(c).to_numpy().astype(np.int64) for c in ("j", "bits"))
+        row, back = np.nonzero(bits[:, None] >> np.arange(starts) & 1)
+        at = (lo + rel)[owner[row]] - j[row] * starts - back
+        first.append(at)
+        end.append(at + size)
+    return united(np.concatenate(first), np.concatenate(end))
 
 
 def hashed_words(rows: DataFrame, text_col: str, key: str) -> DataFrame:
@@ -236,27 +253,22 @@ def hashed_words(rows: DataFrame, text_col: str, key: str) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            yield pa.record_batch([common.column(b, "key"), pa.array([b"".join(map(xxh64_digest, bytes(t).split())) for t in common.texts(b, "text")], pa.binary())], ["key", "text"])
+            yield pa.record_batch([common.column(b, "key"), pa.array([b"".join(map(xxh32_digest, bytes(t).split())) for t in common.texts(b, "text")], pa.binary())], ["key", "text"])
 
     return rows.select(F.col(key).alias("key"), F.col(text_col).alias("text")).mapInArrow(run, "key bigint, text binary")
 
 
-def word_spans(text: bytes, found: list[dict], size: int, starts: int) -> list[tuple[int, int]]:
-    """Byte spans of the words that passages found among the hashes of a text's words cover whole."""
-    at = [m.span() for m in re.finditer(rb"\S+", text)]
-    cut = [(-(-a // WORD), z // WORD) for a, z in covered(WORD * len(at), found, size, starts)]
-    return [(at[a][0], at[z - 1][1]) for a, z in cut]
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Disjoint spans, in order, that cover the same bytes."""
-    out: list[tuple[int, int]] = []
-    for a, z in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(z, out[-1][1]))
-        else:
-            out.append((a, z))
-    return out
+def word_spans(text: bytes, found: pa.StructArray, size: int, starts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Byte spans of the words that passages found among the hashes of a text's words cover whole."""
+    inside = np.diff(np.concatenate([[False], ~SPACE[np.frombuffer(text, np.uint8)], [False]]).view(np.int8))
+    word, stop = np.flatnonzero(inside == 1), np.flatnonzero(inside == -1)
+    first, end = covered(found, size, starts)
+    first, end = -(-first // WORD), end // WORD
+    return word[first], stop[end - 1]
 
 
 def remove(docs: DataFrame, text_col: str = "text", size: int = SIZE, gram: int = GRAM, starts: int = STARTS, many: int = MANY, digest: bool = False, words: int | None = None) -> DataFrame:
@@ -266,48 +278,56 @@ def remove(docs: DataFrame, text_col: str = "text", size: int = SIZE, gram: int
     white space parts their words.
 
     Texts count as UTF-8 bytes; matches never cross rows, and are judged on the input. removed_spans: array of (first
-    byte, end). Null texts stay null; a character that loses some of its bytes goes whole. With digest=True the text stays
-    as it is, and n_bytes and kept_sha256 (of the exact remaining bytes; a null text has none) come too. Rows that are
-    equal in id and text repeat each other. Columns of these names are replaced. An empty table gives an empty result.
+    byte, end). Null texts stay null; a character that loses some of its bytes goes whole. With digest=True come n_bytes (of
+    the input), n_removed, n_spans and kept_sha256 (of the exact remaining bytes), all of passages of `size` bytes alone,
+    whatever `words` says; a null text counts as empty. Rows that are equal in id and text repeat each other. Columns of
+    these names are replaced. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     common.small_batches(spark)
     tables = common.Tables(spark)
-    docs = docs.drop("removed_spans", *(["n_bytes", "kept_sha256"] if digest else []))
+    docs = docs.drop("removed_spans", *(DIGEST if digest else []))
     names = docs.columns
     ids = [c for c in ("doc_id",) if c in names]
     keyed = docs.withColumn("__key", F.xxhash64(*ids, text_col))
     found = repeats(keyed, text_col, "__key", tables, size, gram, starts, many).select(F.col("key").alias("__key"), F.col("found").alias("__found"))
     if words:
-        by_words = repeats(hashed_words(keyed, text_col, "__key"), "text", "key", tables, words * WORD, min(GRAM, words * WORD // 2), STARTS, many)
+        hashed = tables.write(hashed_words(keyed, text_col, "__key"))
+        by_words = repeats(hashed, "text", "key", tables, words * WORD, min(GRAM, words * WORD // 3), STARTS, many)
+        tables.drop(hashed)
         found = found.join(by_words.select(F.col("key").alias("__key"), F.col("found").alias("__by_words")), "__key", "full")
 
+    def left(t, first, end):
+        return b"".join(t[a:z] for a, z in zip([0, *end.tolist()], [*first.tolist(), len(t)]))
+
     def run(batches):
         for b in batches:
-            spans, kept, n, sha = [], [], [], []
+            spans, offsets, kept, numbers = [np.empty((2, 0), np.int64)], [0], [], []
             null = common.column(b, text_col).is_null().to_pylist()
             word_found = common.column(b, "__by_words") if words else pa.nulls(b.num_rows)
             for t, f, w, none in zip(common.texts(b, text_col), common.column(b, "__found"), word_found, null):
-                s = covered(len(t), f.as_py(), size, starts) if f.is_valid else []
-                if w.is_valid:
-                    s = united(s + word_spans(bytes(t), w.as_py(), words * WORD, STARTS))
-                rest = b"".join(t[a:z] for a, z in zip([0, *[z for _, z in s]], [*[a for a, _ in s], len(t)]))
-                spans.append([{"first": a, "end": z} for a, z in s])
-                n.append(len(t))
+                first, end = covered(f.values, size, starts) if f.is_valid else (np.empty(0, np.int64),) * 2
+                rest = left(t, first, end)
                 if digest:
-                    sha.append(hashlib.sha256(rest).hexdigest())
-                kept.append(None if none else rest.decode("utf-8", "ignore") if s else bytes(t).decode())
+                    numbers.append((len(t), int((end - first).sum()), len(first), hashlib.sha256(rest).hexdigest()))
+                if w.is_valid:
+                    more_first, more_end = word_spans(t, w.values, words * WORD, STARTS)
+                    first, end = united(np.concatenate([first, more_first]), np.concatenate([end, more_end]))
+                    rest = left(t, first, end)
+                spans.append(np.stack([first, end]))
+                offsets.append(offsets[-1] + len(first))
+                kept.append(None if none else rest.decode("utf-8", "ignore") if len(first) else rest.decode())
             cols = {c: common.column(b, c) for c in names}
-            if not digest:
-                cols[text_col] = pa.array(kept, pa.string())
-            cols["removed_spans"] = pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])))
+            cols[text_col] = pa.array(kept, pa.string())
+            flat = np.concatenate(spans, axis=1)
+            cols["removed_spans"] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(flat[0], pa.int64()), pa.array(flat[1], pa.int64())], ["first", "end"]))
             if digest:
-                cols |= {"n_bytes": pa.array(n, pa.int64()), "kept_sha256": pa.array(sha, pa.string())}
+                cols |= {n: pa.array([x[i] for x in numbers], pa.string() if n == "kept_sha256" else pa.int64()) for i, n in enumerate(DIGEST)}
             yield pa.record_batch(list(cols.values()), list(cols))
 
     more = {"removed_spans": F.array(F.struct(F.lit(0).cast("long").alias("first"), F.lit(0).cast("long").alias("end")))}
     if digest:
-        more |= {"n_bytes": F.lit(0).cast("long"), "kept_sha256": F.lit("")}
+        more |= {n: F.lit("" if n == "kept_sha256" else 0).cast("string" if n == "kept_sha256" else "long") for n in DIGEST}
     schema = docs.select("*", *[v.alias(k) for k, v in more.items()]).schema
     out = keyed.join(found, "__key", "left").drop("__key").mapInArrow(run, schema)
     return out if digest else out.select(*[F.col(c) for c in [*names, "removed_spans"]])
