@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .places import places
 from .quantiles import quantiles
 
 E, FR = "episode_index", "frame_index"
@@ -18,17 +19,8 @@ def frame_order():
 
 
 def ordered(frames: DataFrame, *order: str) -> DataFrame:
-    """Frames sorted by episode and frame (or other columns), with their place in that order from 1.
-
-    The sort deals rows by range; a place is a row's number in its part and the sizes of the parts before, one row a part.
-    """
-    order = order or (E, FR)
-    parts = frames.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    within = parts.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
-    sizes = parts.groupBy("__part").agg(F.count("*").alias("__size"))
-    before = F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    out = within.join(F.broadcast(sizes.select("__part", before.alias("__before"))), "__part")
-    return out.withColumn("place", F.col("__before") + F.col("__n")).drop("__part", "__n", "__size", "__before").orderBy(*order)
+    """Frames with their place, from 1, in the order of episode and frame (or other columns)."""
+    return places(frames, [F.col(c) for c in order or (E, FR)])
 
 
 def relative_start(frames: DataFrame) -> DataFrame:

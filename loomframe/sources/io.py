@@ -33,8 +33,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder in the shared one."""
-    return f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    """A new folder in the shared one, deleted when the driver ends."""
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    until_exit(spark, path)
+    return path
+
+
+def until_exit(spark: SparkSession, path: str) -> None:
+    """Have a folder deleted when the driver's JVM ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -7,10 +7,11 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomframe.functions import vectors as V
-from loomframe.operators import align, audit, clocks, cycles, episodes, fold, lineage, sampling, stats, topics, windows
+from loomframe.operators import align, audit, clocks, cycles, episodes, fold, lineage, places, sampling, stats, topics, windows
 from loomframe.operators.quantiles import quantiles
 from loomframe.sources import io
 from loomframe.streaming import online
@@ -107,10 +108,29 @@ def test_quantiles_are_numpys(spark, accuracy):
 
 def test_places_run_over_all_parts(spark):
     f = spark.range(500).select((F.col("id") % 7).alias("episode_index"), F.col("id").alias("frame_index"))
-    r = episodes.ordered(f).collect()
+    r = sorted(episodes.ordered(f).collect(), key=lambda x: x.place)
     assert [x.place for x in r] == list(range(1, 501)) and r == sorted(r, key=lambda x: (x.episode_index, x.frame_index))
 
 
+@pytest.mark.parametrize("parts", [3, 16])
+def test_places_of_wide_rows_at_size(spark, parts):
+    rows = spark.range(3_000_000).select((F.col("id") % 997).alias("episode_index"), F.xxhash64("id").alias("frame_index"), F.array_repeat(F.col("id").cast("double"), 4).alias("v"))
+    got = places.places(rows, [F.col("episode_index"), F.col("frame_index")], parts=parts)
+    by_window = F.lag("frame_index").over(Window.partitionBy("episode_index").orderBy("place"))
+    first = got.agg(F.count("*"), F.countDistinct("place"), F.min("place"), F.max("place")).first()
+    assert tuple(first) == (3_000_000, 3_000_000, 1, 3_000_000)
+    assert got.withColumn("before", by_window).where("frame_index < before").count() == 0
+    ends = got.groupBy("episode_index").agg(F.min("place").alias("a"), F.max("place").alias("z"), F.count("*").alias("n")).collect()
+    assert all(r.z - r.a + 1 == r.n for r in ends) and [r.a for r in sorted(ends)] == sorted(r.a for r in ends)
+
+
+def test_places_of_ties_repeats_and_nothing(spark):
+    rows = spark.createDataFrame([(None, "x")] * 3 + [(1, "y")] * 40 + [(1, None)] * 2, "k int, v string").repartition(6)
+    got = sorted(places.places(rows, [F.col("k")], "n").collect(), key=lambda r: r.n)
+    assert [r.n for r in got] == list(range(1, 46)) and [r.k for r in got] == [None] * 3 + [1] * 42
+    assert places.places(rows.limit(0), [F.col("k")]).count() == 0
+
+
 def test_noise_is_gaussian_and_does_not_depend_on_partitions(spark):
     f = spark.range(4000).select("id", F.array(F.col("id").cast("double"), F.lit(0.0)).alias("v"))
     noisy = lambda df: {r.id: r.n for r in df.select("id", V.add_noise("v", 0.5, 3).alias("n")).collect()}
