@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..ship import ship
-from ..sources.io import remove, shared_dir
+from ..sources.io import remove, scratch
 
 #: Rows of a batch handed to Python at once; texts are long, so fewer than Spark's default.
 BATCH_ROWS = 1000
@@ -29,13 +27,14 @@ class Tables:
 
     def __init__(self, spark: SparkSession):
         ship(spark)
-        self.spark, self.root = spark, f"{shared_dir(spark)}/loomframe-{uuid.uuid4().hex}"
+        self.spark, self.root = spark, scratch(spark)
         self.count = 0
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, *folders: str) -> DataFrame:
+        """df as a table, in a folder for each value of the named columns."""
         self.count += 1
         path = f"{self.root}/t{self.count}"
-        df.write.parquet(path)
+        df.write.partitionBy(*folders).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._written_at = path
         return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_text, language_id, license_scan, near_vectors, packing, quality, simhash, suffix_dedup, topk
+from . import byte_bpe, html_text, language_id, license_scan, line_dedup, near_vectors, packing, quality, resampling, simhash, suffix_dedup, token_alignment, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,5 +68,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text")
 
 
-QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_quality, op3_html_text, op4_license_scan, op5_topk, op6_simhash, op7_packing, op8_byte_bpe, op9_language_id, op10_suffix_dedup)}
-SQL: dict[str, str] = {"op4_license_scan": license_scan.sql()}
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.drop_shared(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as P
+
+    return token_alignment.align(table(spark, sf_dir, "documents"), P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_quality, op3_html_text, op4_license_scan, op5_topk, op6_simhash, op7_packing, op8_byte_bpe, op9_language_id, op10_suffix_dedup, op11_line_dedup, op12_resampling, op13_token_alignment)}
+SQL: dict[str, str] = {"op4_license_scan": license_scan.sql(), "op11_line_dedup": line_dedup.sql()}
