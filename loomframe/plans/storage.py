@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import episodes as ep
 from ..operators import stats
 from ..sources import io
-from ..streaming import online
+from ..streaming import online, stateful
 from . import learning
 from .standins import ACTION, COMMAND, HAND, MASTER, STATE, elements, frames, messages, query, table
 
@@ -211,18 +211,33 @@ def project_features(spark, sf):
 # ---- streams
 
 
-def feed(spark, df, part, key, parts=3):
-    """A table as a stream of several micro-batches: its parts written one after the other, each key's rows of a part to one file."""
+def feed(spark, df, part, key, parts=3, close=None):
+    """A table as a stream of several micro-batches: its parts written one after the other, each key's rows of a part to one file.
+
+    close: columns of one more row in a last part, whose event time lets every watermark pass; the rest of it is null.
+    """
     path = io.scratch(spark)
     for i in range(parts):
         df.where(part == i).repartition(key).write.mode("append").parquet(path)
+    if close:
+        row = spark.range(1).select(*[close.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema])
+        for _ in range(2):  # the first moves the watermark, the second brings the batch that it works in
+            row.coalesce(1).write.mode("append").parquet(path)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def thirds(df, column):
-    """0 to 2 by a number's place in its range."""
+def parts_of(df, column, n):
+    """0 to n - 1 by a number's place in its range."""
     low, high = df.agg(F.min(column), F.max(column)).first()
-    return F.least(F.lit(2), F.floor((F.col(column) - low) / ((high - low + 1) / 3.0)))
+    return F.least(F.lit(n - 1), F.floor((F.col(column) - low) / ((high - low + 1) / n)))
+
+
+def thirds(df, column):
+    return parts_of(df, column, 3)
+
+
+#: An event time later than any row's by more than any idle time here.
+END = 4_102_444_800_000_000
 
 
 def frame_stream(spark, sf):
@@ -232,13 +247,18 @@ def frame_stream(spark, sf):
 
 
 def message_stream(spark, sf, order):
-    m = messages(spark, sf).select("episode_id", "topic", "seq", "header_us", F.col("values")[0].alias("x"))
-    return feed(spark, m, thirds(m, order), "episode_id")
+    m = messages(spark, sf).select("episode_id", "topic", "seq", "header_us", "values", F.col("values")[0].alias("x"))
+    close = {"episode_id": F.lit(-1), "topic": F.lit(STATE), "seq": F.lit(0), "header_us": F.lit(END), "values": F.array(F.lit(0.0))}
+    return feed(spark, m, thirds(m, order), "episode_id", close=close)
 
 
-def event_stream(spark, sf, key):
+def event_stream(spark, sf, key, late=False):
+    """Events in three parts, and a last row that closes windows. late: copies of some rows of the first sixth come again with the third, when the watermark has passed them."""
     e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("us", F.unix_micros("ts"))
-    return feed(spark, e, thirds(e, "us"), key)
+    e = e.withColumn("part", F.floor(parts_of(e, "us", 6) / 2))
+    if late:
+        e = e.union(e.where(parts_of(e, "us", 6) == 0).where("event_id % 5 = 0").withColumn("part", F.lit(2)))
+    return feed(spark, e, F.col("part"), key, close={"ts": F.timestamp_micros(F.lit(END)), "us": F.lit(END)})
 
 
 def _same_as(name):
@@ -274,7 +294,7 @@ def postprocess_stream(spark, sf):
 @_same_as("debounce")
 def debounce_stream(spark, sf):
     s = frame_stream(spark, sf).withColumn("v", F.col("action")[0])
-    return online.run_once(online.debounce_stream(s, "v", -0.04, 0.04, 2), spark)
+    return online.run_once(stateful.debounce_stream(s, "v", -0.04, 0.04, 2), spark)
 
 
 _LAST3 = ", ".join(f"list_filter(list(CASE WHEN topic = '{t}' THEN {{'t': header_us, 'x': v0}} END) OVER w, lambda s: s IS NOT NULL) AS {t}_s" for t in (MASTER, STATE, ACTION))
@@ -287,30 +307,87 @@ ad AS (SELECT * FROM (SELECT *, max(t_us) OVER (PARTITION BY episode_id ORDER BY
 nr AS (SELECT episode_id, t_us, {_NEAR} FROM ad), al AS (SELECT *, least({MASTER}_n.d, {STATE}_n.d, {ACTION}_n.d) > 200000000000 AS relaxed FROM nr)
 SELECT episode_id, t_us, {", ".join(f"CASE WHEN relaxed OR {t}_n.d <= 200000000000 THEN {t}_n.x END AS {t}" for t in (MASTER, STATE, ACTION))} FROM al -- msgs""")
 def aligned_snapshot(spark, sf):
-    s = online.aligned_snapshots(message_stream(spark, sf, "seq"), {MASTER: 3, STATE: 3, ACTION: 3}, 200_000_000_000, idle_ms=90 * 86_400_000, late="30 days")  # a log of few messages a day
+    s = stateful.aligned_snapshots(message_stream(spark, sf, "seq"), {MASTER: 3, STATE: 3, ACTION: 3}, 200_000_000_000, idle_ms=90 * DAY_MS, late="30 days")  # a log of few messages a day
     return online.run_once(s, spark).select("episode_id", "t_us", *[F.col("values")[t].alias(t) for t in (MASTER, STATE, ACTION)])
 
 
+DAY_MS = 86_400_000
+
+
+def aligned(spark, sf, how):
+    """Batches end between targets and their samples; a day's rows may come late."""
+    s = stateful.asof_stream(message_stream(spark, sf, "header_us"), MASTER, STATE, how, idle_ms=90 * DAY_MS, late="1 day")
+    return online.run_once(s, spark)
+
+
+_SIDES = "--with s AS (SELECT episode_id, header_us AS s_us, seq AS s_seq, v0, v1 FROM msgs WHERE topic = 'click'), t AS (SELECT episode_id, seq, header_us AS t_us FROM msgs WHERE topic = 'view'), b AS (SELECT t.*, p.s_us AS b_us, p.v0 AS b0, p.v1 AS b1 FROM t ASOF LEFT JOIN s p ON t.episode_id = p.episode_id AND t.t_us >= p.s_us), n AS (SELECT b.*, p.s_us AS a_us, p.v0 AS a0, p.v1 AS a1 FROM b ASOF LEFT JOIN s p ON b.episode_id = p.episode_id AND b.t_us < p.s_us)"
+
+
 @query("--with s AS (SELECT episode_id, header_us AS s_us, v0 FROM msgs WHERE topic = 'click'), t AS (SELECT episode_id, seq, header_us AS t_us FROM msgs WHERE topic = 'view') SELECT t.episode_id, t.t_us, t.seq, s.v0 AS v FROM t ASOF LEFT JOIN s ON t.episode_id = s.episode_id AND t.t_us >= s.s_us")
 def align_stream(spark, sf):
-    return online.hold_stream(message_stream(spark, sf, "header_us"), MASTER, STATE, spark)
+    return aligned(spark, sf, "hold").select("episode_id", "t_us", "seq", F.col("value")[0].alias("v"))
 
 
+@query(f"{_SIDES} SELECT episode_id, t_us, seq, CASE WHEN later THEN a_us ELSE b_us END AS s_us, CASE WHEN later THEN a0 ELSE b0 END AS v0, CASE WHEN later THEN a1 ELSE b1 END AS v1 FROM (SELECT *, a_us IS NOT NULL AND (b_us IS NULL OR a_us - t_us < t_us - b_us) AS later FROM n)")
+def align_stream_nearest(spark, sf):
+    return aligned(spark, sf, "nearest").select("episode_id", "t_us", "seq", "s_us", F.col("value")[0].alias("v0"), F.col("value")[1].alias("v1"))
+
+
+@query(f"{_SIDES} SELECT episode_id, t_us, seq, " + ", ".join(f"round(CASE WHEN a_us IS NULL OR b_us = t_us THEN b{i} ELSE b{i} + (a{i} - b{i}) * ((t_us - b_us) / (a_us - b_us)) END, 6) AS v{i}" for i in (0, 1)) + " FROM n")
+def align_stream_interp(spark, sf):
+    return aligned(spark, sf, "interpolate").select("episode_id", "t_us", "seq", F.round(F.col("value")[0], 6).alias("v0"), F.round(F.col("value")[1], 6).alias("v1"))
+
+
+#: Rows of the first sixth come again with the last, long after the watermark has passed their windows: in no result.
 @query("SELECT epoch_us(time_bucket(INTERVAL 1 DAY, ts)) AS start_us, event_type, count(*) AS n, round(avg(value), 6) AS mean FROM events GROUP BY 1, 2")
 def telemetry_window(spark, sf):
-    out = online.run_once(online.telemetry_window(event_stream(spark, sf, "event_type"), "ts", "event_type", "value", "1 day", "1 hour"), spark, "complete")
+    out = online.run_once(online.telemetry_window(event_stream(spark, sf, "event_type", late=True), "ts", "event_type", "value", "1 day", "1 hour"), spark)
     return out.withColumn("mean", F.round("mean", 6))
 
 
 @query("SELECT user_id, count(*) AS n, min(epoch_us(ts)) AS first_us, max(epoch_us(ts)) AS last_us, round(avg(value), 6) AS mean FROM events GROUP BY 1")
 def episode_manifest(spark, sf):
-    out = online.run_once(online.episode_manifest(event_stream(spark, sf, "user_id"), "ts", "user_id", "value"), spark, "complete")
+    out = online.run_once(online.episode_manifest(event_stream(spark, sf, "user_id"), "ts", "user_id", "value", "60 days", "1 hour"), spark)
     return out.withColumn("mean", F.round("mean", 6))
 
 
 @query("--with g AS (SELECT user_id, ts, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER w < 43200000000 THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT epoch_us(min(ts)) AS start_us, user_id, count(*) AS n FROM s GROUP BY user_id, k")
 def session_split(spark, sf):
-    return online.run_once(online.sessions(event_stream(spark, sf, "user_id"), "ts", "user_id", "12 hours", "1 hour"), spark, "complete")
+    return online.run_once(online.sessions(event_stream(spark, sf, "user_id", late=True), "ts", "user_id", "12 hours", "1 hour"), spark)
+
+
+def step_logs(spark, sf):
+    """Logs of actions, states and timings by (episode, step); each brings two steps again, too late, with the third part."""
+    at = F.timestamp_millis(1_700_000_000_000 + F.col("frame_index") * 1000)
+    f = frames(spark, sf).select(F.col("episode_index").alias("episode"), F.col("frame_index").alias("step"), "state", "action", at.alias("at"))
+    f = f.withColumn("part", thirds(f, "step"))
+    f = f.union(f.where("step in (1, 5)").withColumn("part", F.lit(2)))
+    one = lambda *columns: feed(spark, f.select("episode", "step", "at", "part", *columns), F.col("part"), "episode", close={"at": F.timestamp_micros(F.lit(END))}).drop("part")
+    return one("action"), {"state": one("state"), "timing": one(F.abs(F.col("action")[0]).alias("infer_s"))}
+
+
+@query("SELECT episode_index AS episode, frame_index AS step, CAST(i AS INTEGER) AS pos, round(list_concat(action, state)[i + 1], 6) AS x, round(abs(action[1]), 6) AS infer_s FROM frms, range(32) r(i)")
+def join_steps(spark, sf):
+    actions, logs = step_logs(spark, sf)
+    out = online.run_once(online.join_steps(actions, logs, "2 seconds", "3 seconds"), spark)
+    return elements(out.withColumns({"v": F.concat("action", "state"), "infer_s": F.round("infer_s", 6)}), ["episode", "step", "infer_s"], "v")
+
+
+def chunk_events(spark, sf):
+    """Ticks of a 50-frame episode, and after each the chunk of 4 steps that was predicted there."""
+    f = frames(spark, sf)
+    chunk = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda h: F.slice("chunk", h * 8 + 1, 8))
+    at = F.timestamp_millis(1_700_000_000_000 + F.col("frame_index") * 100)
+    both = f.select("episode_index", "frame_index", at.alias("at"), F.inline(F.array(F.struct(F.lit(0).alias("k"), F.lit(None).cast("array<array<double>>").alias("chunk")), F.struct(F.lit(1).alias("k"), chunk.alias("chunk")))))
+    both = both.select("episode_index", (F.col("frame_index") * 2 + F.col("k")).alias("seq"), "at", "chunk")
+    return feed(spark, both, thirds(both, "seq"), "episode_index")
+
+
+#: With four steps a chunk, a threshold of 2 and a chunk after every tick, a request goes out at every even step from 2 on and is answered one action later.
+@query("SELECT f.episode_index, f.frame_index AS step, CAST(i AS INTEGER) AS pos, round(g.chunk[8 * (CASE WHEN f.frame_index < 3 THEN f.frame_index WHEN f.frame_index % 2 = 1 THEN 1 ELSE 2 END) + i + 1], 6) AS x FROM frms f JOIN frms g ON f.episode_index = g.episode_index AND g.frame_index = (CASE WHEN f.frame_index < 3 THEN 0 WHEN f.frame_index % 2 = 1 THEN f.frame_index - 1 ELSE f.frame_index - 2 END), range(8) r(i)")
+def chunk_queue(spark, sf):
+    out = online.run_once(stateful.chunk_queue(chunk_events(spark, sf), 4, 2, 2), spark)
+    return elements(out.where("kind = 'action'"), ["episode_index", "step"], "values")
 
 
 online.register_computed("mean_value", STATE, lambda v: (v[0] + v[1]) / 2)

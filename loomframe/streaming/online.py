@@ -1,7 +1,8 @@
-"""The same rules on streams: keyed folds, ring buffers with aligned snapshots, held values over micro-batches, telemetry.
+"""The same rules on streams: keyed folds, windows, sessions and manifests of telemetry, logs joined by step.
 
-State is one row of typed columns for each key, in the state store. Rows carry their event time (column at); a key's state
-ends once the watermark has passed its last row by IDLE_MS, and windows and sessions end by watermarks too.
+State is kept for each key and ends by watermarks: a fold's once the watermark has passed its key's last row by IDLE_MS,
+windows, sessions and joined steps once no row of theirs can come. Results are appended, each row once; rows later than
+the watermark are dropped and counted. Operators with lists, timers and several states are in stateful.py.
 """
 
 from __future__ import annotations
@@ -10,26 +11,42 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import fold
-from ..sources.io import remove, scratch
+from ..sources.io import scratch
+from .stateful import IDLE_MS, LATE
 
 E, FR = "episode_index", "frame_index"
-#: How far behind the newest row others may come, and milliseconds after which an idle key's state goes.
-LATE, IDLE_MS = "1 minute", 3_600_000
+#: The state store of the queries that run_once() starts: state beside the heap, and what transformWithState needs.
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def run_once(df: DataFrame, spark: SparkSession, mode: str = "append") -> DataFrame:
-    """Run a stream over what its source has now, into a table in the shared folder, and read that."""
-    out = scratch(spark)
-    if mode == "append":
+def run_counted(df: DataFrame, spark: SparkSession, at: str | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """Run a stream over what its source has now, into a table in the shared folder: its rows, and counts of it.
+
+    at: a folder that holds the table and the checkpoint; a run that is given one that an earlier run had goes on from there.
+    Counts: late, rows that watermarks have dropped; held, rows of state in the end; most, rows of state at most.
+    """
+    out = at or scratch(spark)
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKS)
+    try:
         q = df.writeStream.format("parquet").option("path", f"{out}/data").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
-    else:
-        q = df.writeStream.outputMode(mode).foreachBatch(lambda b, _: b.write.mode("overwrite").parquet(f"{out}/data")).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
     q.awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{out}/data")
+    each = [p.stateOperators for p in q.recentProgress if p.stateOperators]
+    held = [sum(o.numRowsTotal for o in ops) for ops in each]
+    counts = {"late": sum(o.numRowsDroppedByWatermark for ops in each for o in ops), "held": held[-1] if held else 0, "most": max(held, default=0)}
+    return spark.read.schema(df.schema).parquet(f"{out}/data"), counts
+
+
+def run_once(df: DataFrame, spark: SparkSession, at: str | None = None) -> DataFrame:
+    """The rows of run_counted()."""
+    return run_counted(df, spark, at)[0]
 
 
 def keyed(stream: DataFrame, key: str, work: Callable, output: str, state: str, idle_ms: int = IDLE_MS, late: str = LATE) -> DataFrame:
@@ -60,118 +77,40 @@ def fold_stream(stream: DataFrame, v: str, rule: fold.Rule) -> DataFrame:
     return keyed(stream.select(E, FR, "at", v), E, work, f"{E} bigint, {FR} bigint, x array<double>", ", ".join(f"{n} array<double>" for n in fold.FIELDS))
 
 
-def debounce_step(state: tuple, x: float, low: float, high: float, n: int) -> tuple[tuple, str | None]:
-    """Online form of operators.cycles.debounce(): the kind of event that this value confirms. state: (run, its length, confirmed)."""
-    was, length, confirmed = state
-    obs = 1 if x >= high else 0 if x <= low else None
-    length = length + 1 if obs == was and obs is not None else 1
-    kind = None
-    if obs is not None and length == n:
-        if confirmed is not None and obs != confirmed:
-            kind = "close" if obs else "open"
-        confirmed = obs
-    return (obs, length, confirmed), kind
-
-
-def debounce_stream(stream: DataFrame, value: str, low: float, high: float, n: int) -> DataFrame:
-    """Events (episode, frame, kind) as runs are confirmed; the frame is the run's first. Frames follow each other without a hole."""
-
-    def work(key, pdf, held):
-        state, out = held or (None, 0, None), []
-        pdf = pdf.sort_values(FR)
-        for x, frame in zip(pdf[value], pdf[FR]):
-            state, kind = debounce_step(tuple(state), float(x), low, high, n)
-            if kind:
-                out.append((key, int(frame) - n + 1, kind))
-        return pd.DataFrame(out, columns=[E, FR, "kind"]), tuple(state)
-
-    return keyed(stream.select(E, FR, "at", value), E, work, f"{E} bigint, {FR} bigint, kind string", "run int, length int, confirmed int")
-
-
-def snapshot(buffers: dict[str, list[tuple[int, float]]], sizes: dict[str, int], max_dt: int | None, ratio: float = 1.0) -> tuple[int, dict[str, float | None]] | None:
-    """The least of the keys' latest stamps, and each key's nearest value to it; None until every buffer is full.
-
-    Only the newest `ratio` of a buffer counts; beyond max_dt a key's value is None, and where all are, max_dt is waived.
-    """
-    if any(len(buffers.get(k, ())) < n for k, n in sizes.items()):
-        return None
-    t = min(buffers[k][-1][0] for k in sizes)
-    near = {}
-    for k, n in sizes.items():
-        part = buffers[k][-max(1, int(n * ratio)) :]
-        near[k] = min(part, key=lambda s: abs(s[0] - t))
-    ok = {k: max_dt is None or abs(s[0] - t) <= max_dt for k, s in near.items()}
-    relaxed = not any(ok.values())
-    return t, {k: s[1] if ok[k] or relaxed else None for k, s in near.items()}
-
-
-def aligned_snapshots(stream: DataFrame, sizes: dict[str, int], max_dt: int | None, ratio: float = 1.0, idle_ms: int = IDLE_MS, late: str = LATE) -> DataFrame:
-    """Ring buffers of the last `size` samples of each topic, for each episode; a row for each advance of the reference stamp.
-
-    stream: episode_id, topic, seq, header_us, x. Rows: episode_id, t_us, values map.
-    """
-    topics = list(sizes)
-
-    def work(key, pdf, held):
-        last, times, values = held or (None, [[] for _ in topics], [[] for _ in topics])
-        buffers, out = {k: list(zip(t, x)) for k, t, x in zip(topics, times, values)}, []
-        pdf = pdf[pdf.topic.isin(topics)].sort_values("seq")
-        for topic, t_us, x in zip(pdf.topic, pdf.header_us, pdf.x):
-            buffers[topic] = [*buffers[topic], (int(t_us), float(x))][-sizes[topic] :]
-            got = snapshot(buffers, sizes, max_dt, ratio)
-            if got and (last is None or got[0] > last):
-                last = got[0]
-                out.append((key, last, {k: v for k, v in got[1].items() if v is not None}))
-        new = (last, [[s[0] for s in buffers[k]] for k in topics], [[s[1] for s in buffers[k]] for k in topics])
-        return pd.DataFrame(out, columns=["episode_id", "t_us", "values"]), new
-
-    rows = stream.select("episode_id", "topic", "seq", "header_us", "x", F.timestamp_micros("header_us").alias("at"))
-    return keyed(rows, "episode_id", work, "episode_id bigint, t_us bigint, values map<string,double>", "t bigint, times array<array<bigint>>, xs array<array<double>>", idle_ms, late)
-
-
-def hold_stream(stream: DataFrame, master: str, topic: str, spark: SparkSession) -> DataFrame:
-    """Causal hold by micro-batches: each batch is aligned with the last sample of its episodes from the batches before.
-
-    stream: episode_id, topic, seq, header_us, x, in time order between batches. The carried rows, one for each episode, are
-    a table that each batch replaces: it writes a new one and removes the one before the last, which no retry reads.
-    """
-    out = scratch(spark)
-
-    def align(batch: DataFrame, n: int) -> None:
-        own = batch.sparkSession
-        carried = own.read.parquet(f"{out}/carry{n - 1}") if n else batch.where("false").select("episode_id", "header_us", "seq", "x")
-        src = batch.where(F.col("topic") == topic).select("episode_id", "header_us", "seq", "x").union(carried)
-        rows = src.select("episode_id", "header_us", F.lit(0).alias("kind"), "seq", F.col("x").alias("s")).union(batch.where(F.col("topic") == master).select("episode_id", "header_us", F.lit(1), "seq", F.lit(None).cast("double")))
-        w = Window.partitionBy("episode_id").orderBy("header_us", "kind", "seq").rowsBetween(Window.unboundedPreceding, 0)
-        held = rows.withColumn("v", F.last("s", True).over(w)).where("kind = 1").select("episode_id", F.col("header_us").alias("t_us"), "seq", "v")
-        held.write.mode("overwrite").parquet(f"{out}/data/batch={n}")
-        last = src.groupBy("episode_id").agg(F.max_by(F.struct("header_us", "seq", "x"), F.struct("header_us", "seq")).alias("l")).select("episode_id", "l.*")
-        last.write.mode("overwrite").parquet(f"{out}/carry{n}")
-        if n > 1:
-            remove(own, f"{out}/carry{n - 2}")
-
-    stream.writeStream.foreachBatch(align).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{out}/data").drop("batch")
-
-
 def telemetry_window(stream: DataFrame, ts: str, key: str, value: str, width: str, late: str) -> DataFrame:
-    """Counts and means over tumbling windows; rows later than the watermark are dropped."""
+    """Counts and means over tumbling windows, each once the watermark has passed its end; rows later than that are dropped."""
     w = stream.withWatermark(ts, late).groupBy(F.window(ts, width).alias("w"), key)
     return w.agg(F.count("*").alias("n"), F.avg(value).alias("mean")).select(F.unix_micros("w.start").alias("start_us"), key, "n", "mean")
 
 
-def episode_manifest(stream: DataFrame, ts: str, key: str, value: str) -> DataFrame:
-    """One row for each episode of a telemetry log, as far as it has come: rows, first and last time, mean."""
+def episode_manifest(stream: DataFrame, ts: str, key: str, value: str, gap: str, late: str) -> DataFrame:
+    """One row for each episode of a telemetry log once no row has come for `gap`: rows, first and last time, mean."""
     us = F.unix_micros(ts)
-    return stream.groupBy(key).agg(F.count("*").alias("n"), F.min(us).alias("first_us"), F.max(us).alias("last_us"), F.avg(value).alias("mean"))
+    s = stream.withWatermark(ts, late).groupBy(F.session_window(ts, gap).alias("w"), key)
+    return s.agg(F.count("*").alias("n"), F.min(us).alias("first_us"), F.max(us).alias("last_us"), F.avg(value).alias("mean")).select(key, "n", "first_us", "last_us", "mean")
 
 
 def sessions(stream: DataFrame, ts: str, key: str, gap: str, late: str) -> DataFrame:
-    """Runs of a key's rows without a gap."""
+    """Runs of a key's rows without a gap, each once the watermark has passed its end."""
     s = stream.withWatermark(ts, late).groupBy(F.session_window(ts, gap).alias("w"), key)
     return s.agg(F.count("*").alias("n")).select(F.unix_micros("w.start").alias("start_us"), key, "n")
 
 
+def join_steps(actions: DataFrame, logs: dict[str, DataFrame], within: str, late: str) -> DataFrame:
+    """Logs of one run joined by (episode, step): a row for each action once every log has one for its step.
+
+    Each has episode, step and at, and columns of its own, which keep their names. A row joins those that are at most
+    `within` from the action's time; state is kept for that long, and rows later than a side's watermark are dropped.
+    """
+    out = actions.withWatermark("at", late).withColumnsRenamed({"episode": "a_episode", "step": "a_step", "at": "a_at"})
+    for name, log in logs.items():
+        e, s, t = f"{name}_episode", f"{name}_step", f"{name}_at"
+        log = log.withWatermark("at", late).withColumnsRenamed({"episode": e, "step": s, "at": t})
+        near = F.col(t).between(F.col("a_at") - F.expr(f"interval {within}"), F.col("a_at") + F.expr(f"interval {within}"))
+        out = out.join(log, (F.col("a_episode") == F.col(e)) & (F.col("a_step") == F.col(s)) & near).drop(e, s, t)
+    return out.withColumnsRenamed({"a_episode": "episode", "a_step": "step", "a_at": "at"})
+
+
 #: Values computed from a topic's payload, by name: (topic, function of its values column).
 COMPUTED: dict[str, tuple[str, Callable]] = {}
 

@@ -14,7 +14,7 @@ from loomframe.functions import vectors as V
 from loomframe.operators import align, audit, clocks, cycles, episodes, fold, lineage, places, sampling, stats, topics, windows
 from loomframe.operators.quantiles import quantiles
 from loomframe.sources import io
-from loomframe.streaming import online
+from loomframe.streaming import online, stateful
 
 
 def clock_tables(spark, seed, n=60):
@@ -260,7 +260,7 @@ def test_delta_windows_clamp_and_pad(spark):
 def sequential_debounce(x, low, high, n):
     state, out = (None, 0, None), []
     for i, v in enumerate(x):
-        state, kind = online.debounce_step(state, v, low, high, n)
+        state, kind = stateful.debounce_step(state, v, low, high, n)
         if kind:
             out.append((i - n + 1, kind))
     return out
@@ -306,6 +306,6 @@ def test_numbers_run_over_episodes(spark):
 
 def test_snapshot_waits_for_full_buffers():
     buffers = {"a": [(1, 1.0), (5, 2.0)], "b": [(2, 3.0)]}
-    assert online.snapshot(buffers, {"a": 2, "b": 2}, 10) is None
-    assert online.snapshot({**buffers, "b": [(2, 3.0), (4, 4.0)]}, {"a": 2, "b": 2}, 1) == (4, {"a": 2.0, "b": 4.0})
-    assert online.snapshot({"a": [(0, 1.0), (9, 2.0)], "b": [(4, 3.0), (30, 4.0)]}, {"a": 2, "b": 2}, 2)[1] == {"a": 2.0, "b": None}
+    assert stateful.snapshot(buffers, {"a": 2, "b": 2}, 10) is None
+    assert stateful.snapshot({**buffers, "b": [(2, 3.0), (4, 4.0)]}, {"a": 2, "b": 2}, 1) == (4, {"a": 2.0, "b": 4.0})
+    assert stateful.snapshot({"a": [(0, 1.0), (9, 2.0)], "b": [(4, 3.0), (30, 4.0)]}, {"a": 2, "b": 2}, 2)[1] == {"a": 2.0, "b": None}
