@@ -1,13 +1,15 @@
 """Near-duplicate embeddings by sorted projection passes.
 
 Each pass orders the vectors of a label lexicographically by their concatenated random hashes (signs of random
-projections) and compares each with its next neighbours in that order; the verified pairs of all passes are united to
-components. Window and passes bound the search for what belongs together, not what is counted: inside a component all
-pairs are then compared in blocks, so that links are counted whole, however many a vector has.
-
-Two vectors at cosine c agree in a hash with probability a = 1 - acos(c) / pi. In a label of n vectors about n / 2 ** L share
-the first L hashes, so a pass brings a pair into a window of w with probability a ** log2(n / w). The number of passes
-follows the largest label, so that a pair at the least cosine meets in no pass with probability MISS at most.
+projections of what is left of a unit vector once its label's mean is taken off, so that planes split a label evenly also
+where its vectors share a direction) and compares each with its next neighbours in that order; the verified pairs of all
+passes are united to components. Window and passes bound the search for what belongs together, not what is counted: inside
+a component all pairs are then compared in blocks, so that links are counted whole, however many a vector has.
+
+In a label whose mean has the squared length 1 - v, what is left of two vectors at cosine c has a cosine of about
+r = 1 - (1 - c) / v, and they agree in a hash with probability a = 1 - acos(r) / pi. Of n vectors about n / 2 ** L share the
+first L hashes, so a pass brings a pair into a window of w with probability a ** log2(n / w). Each label has as many passes
+as it needs, so that a pair at the least cosine meets in no pass with probability MISS at most.
 """
 
 from __future__ import annotations
@@ -16,22 +18,36 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
-BITS, WINDOW, BLOCK = 32, 32, 256
-#: Chance that a pair at the least cosine meets in no pass, as far as hashes split a label evenly; least number of passes.
+BITS, WINDOW, BLOCK = 32, 128, 256
+#: Chance that a pair at the least cosine meets in no pass; least number of passes of a label beyond a window.
 MISS, LEAST_PASSES = 1e-3, 8
+#: Least cosine r that passes are counted for. Where a pair has less, any two vectors of the label are nearly or fully linked.
+LEAST_LEFT = 0.3
 #: Windows of a range of sorted rows, at least: ends of ranges see only one neighbouring range.
-RANGE_WINDOWS = 64
+RANGE_WINDOWS = 16
+
+
+def passes_for(n: Column, spread: Column, least: float, window: int = WINDOW, miss: float = MISS) -> Column:
+    """Passes over a label of n vectors whose mean has the squared length 1 - spread."""
+    left = F.greatest(F.lit(LEAST_LEFT), 1 - (1 - least) / spread)
+    meet = F.pow(1 - F.acos(F.least(F.lit(1.0), left)) / math.pi, F.greatest(F.lit(0.0), F.log2(n / window)))
+    return F.when(n <= window, 1).otherwise(F.greatest(F.lit(LEAST_PASSES), F.ceil(math.log(miss) / F.log1p(-F.least(meet, F.lit(1 - 1e-9)))))).cast("int")
 
 
-def passes_for(n: int, least: float, window: int = WINDOW, miss: float = MISS) -> int:
-    """Passes over a label of n vectors."""
-    meet = (1 - math.acos(min(1.0, least)) / math.pi) ** max(0.0, math.log2(max(1, n) / window))
-    return max(LEAST_PASSES, math.ceil(math.log(miss) / math.log1p(-meet)) if meet < 1 else 1)
+def labels_of(one: DataFrame, least: float, window: int) -> DataFrame:
+    """(label, dim, centre, passes): the mean of each label's unit vectors, and how many passes it needs."""
+    top = F.array_max(F.transform("vec", lambda x: F.abs(x.cast("double"))))
+    x = F.transform("vec", lambda x: x / F.col("top"))
+    length = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, y: s + y * y))
+    unit = one.select("label", "dim", "vec", top.alias("top")).select("label", "dim", x.alias("x")).select("label", "dim", F.posexplode(F.transform("x", lambda y: y / length)).alias("pos", "y"))
+    mean = unit.groupBy("label", "dim", "pos").agg(F.avg("y").alias("y"), F.count("*").alias("n"))
+    out = mean.groupBy("label", "dim").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "y"))), lambda p: p["y"]).alias("centre"), F.max("n").alias("n"), F.sum(F.col("y") * F.col("y")).alias("shared"))
+    return out.select("label", "dim", "centre", "n", passes_for(F.col("n"), F.greatest(1 - F.col("shared"), F.lit(1e-9)), least, window).alias("passes"))
 
 
 def matrix(col: pa.Array) -> np.ndarray:
@@ -49,8 +65,8 @@ def usable(df: DataFrame, vec: str = "embedding") -> DataFrame:
     return df.where(F.col(vec).isNotNull() & (F.size(vec) > 0) & ~bad)
 
 
-def near_pairs(one: DataFrame, least: float, passes: int, bits: int, window: int, tables: common.Tables) -> DataFrame:
-    """Verified pairs (a, b) of neighbours in some pass. one: rep, label, dim, vec; vec not null.
+def near_pairs(one: DataFrame, labels: DataFrame, least: float, bits: int, window: int, tables: common.Tables) -> DataFrame:
+    """Verified pairs (a, b) of neighbours in some pass. one: rep, label, dim, vec; vec not null. labels: label, dim, centre, n, passes.
 
     Rows are dealt by range of (pass, label, dim, hashes). The rows at both ends of a range are compared across the border
     in a second, small step.
@@ -61,12 +77,15 @@ def near_pairs(one: DataFrame, least: float, passes: int, bits: int, window: int
             dims = common.column(b, "dim").to_numpy()
             for dim in np.unique(dims):
                 part = b.filter(pa.array(dims == dim))
-                x = matrix(common.column(part, "vec"))
-                for p in range(passes):
+                left = matrix(common.column(part, "vec")) - common.column(part, "centre").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+                passes = common.column(part, "passes").to_numpy()
+                sent = part.select(["rep", "label", "dim", "vec"])
+                for p in range(int(passes.max())):
+                    on = passes > p
                     planes = np.random.default_rng([p, int(dim)]).standard_normal((int(dim), bits))
-                    sign = (x @ planes > 0) @ (1 << np.arange(bits, dtype=np.int64)[::-1])
-                    cols = [pa.array(np.full(len(x), p, np.int32)), pa.array(sign, pa.int64()), *part.columns]
-                    yield pa.record_batch(cols, ["pass", "hashes", *part.schema.names])
+                    sign = (left[on] @ planes > 0) @ (1 << np.arange(bits, dtype=np.int64)[::-1])
+                    cols = [pa.array(np.full(len(sign), p, np.int32)), pa.array(sign, pa.int64()), *sent.filter(pa.array(on)).columns]
+                    yield pa.record_batch(cols, ["pass", "hashes", *sent.schema.names])
 
     def compare(ids, x, group, border=None):
         forest = common.Forest()
@@ -117,8 +136,10 @@ def near_pairs(one: DataFrame, least: float, passes: int, bits: int, window: int
     names = ["pass", "hashes", "rep", "label", "dim", "vec"]
     order = ["pass", "label", "dim", "hashes", "rep"]
     schema = "pass int, hashes bigint, rep bigint, label int, dim int, vec array<float>"
-    rows = one.select("rep", "label", "dim", "vec").mapInArrow(hashed, schema)
-    ranges = max(1, min(int(one.sparkSession.conf.get("spark.sql.shuffle.partitions")), passes * one.count() // (window * RANGE_WINDOWS)))
+    # a row a label, which Spark broadcasts if it is small, or else splits where one label has most vectors
+    rows = one.select("rep", "label", "dim", "vec").join(labels.drop("n"), ["label", "dim"]).select("rep", "label", "dim", "vec", "centre", "passes").mapInArrow(hashed, schema)
+    sorted_rows = labels.agg(F.sum(F.col("n") * F.col("passes"))).first()[0] or 0
+    ranges = max(1, min(int(one.sparkSession.conf.get("spark.sql.shuffle.partitions")), sorted_rows // (window * RANGE_WINDOWS)))
     got = tables.write(rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(neighbours, f"a bigint, b bigint, border int, side int, {schema}"))
 
     def across(batches):
@@ -159,18 +180,17 @@ def classes(df: DataFrame, least: float = 0.93, passes: int | None = None, bits:
     Vectors are compared only under equal, non-null labels and equal lengths. A row whose vector is null, empty, zero or
     has a null or non-finite component, or whose label or vec_id is null, links with nothing and is its own component
     (kept is null where vec_id is). Equal vectors of a label are one vector with a multiplicity. Repeated rows count as
-    vectors of their own; an empty table gives an empty result; other columns are not read. passes: by default those that
-    the largest label needs.
+    vectors of their own; an empty table gives an empty result; other columns are not read. passes: by default as many for
+    each label as its size and spread need.
     """
     spark = df.sparkSession
     tables = common.Tables(spark)
     rows = df.select("vec_id", F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<float>").alias("vec"))
     good = usable(rows, "vec").where("vec_id is not null and label is not null and exists(vec, x -> x <> 0)")
     one = tables.write(good.groupBy("label", "vec").agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult")).withColumn("dim", F.size("vec")))
-    if passes is None:
-        largest = one.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first().n
-        passes = passes_for(largest or 1, least, window)
-    part = tables.write(common.components(spark, near_pairs(one, least, passes, bits, window, tables), tables))
+    labels = labels_of(one, least, window)
+    labels = tables.write(labels if passes is None else labels.withColumn("passes", F.lit(passes)))
+    part = tables.write(common.components(spark, near_pairs(one, labels, least, bits, window, tables), tables))
     sizes = part.groupBy("component").agg(F.count("*").alias("n"))
     members = part.join(sizes, "component").withColumnRenamed("node", "rep").join(one, "rep")
     counts = link_counts(members, least)
