@@ -18,10 +18,8 @@ from . import common
 
 SIZE_BITS, LENGTHS = 16, 4
 SIZE = 1 << SIZE_BITS
-#: Most texts that training reads, and how many of them are landmarks, shared evenly by the languages.
+#: Most texts that training reads (but one of each language at least), and how many of them are landmarks, shared evenly by the languages.
 MAX_TRAIN, LANDMARKS = 2000, 256
-#: Most languages that are learned, the most frequent ones.
-MAX_LANGS = 128
 RIDGE, SHARPNESS = 1e-3, 6.0
 #: Texts of one matrix product; bytes whose n-grams are found at once.
 ROWS, BLOCK = 64, 1 << 20
@@ -53,25 +51,27 @@ def product(flags: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def lowered(text: bytes) -> bytes:
-    return bytes(text).decode().lower().encode()
+    return bytes(text).decode("utf-8", "replace").lower().encode()
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_TRAIN, landmarks: int = LANDMARKS, max_langs: int = MAX_LANGS) -> tuple[list[str], np.ndarray]:
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_TRAIN, landmarks: int = LANDMARKS) -> tuple[list[str], np.ndarray]:
     """Languages, and the matrix that presences are multiplied with, from rows with a non-null language.
 
-    A language's share of max_rows is a sample by hash of the id; rows without a letter or an id take no part. The max_langs
-    most frequent languages are learned. Without rows there are no languages.
+    Every language is learned. Its share of max_rows, one row at least, is a sample by hash of the id; rows without a letter
+    or an id take no part. Each language has a landmark at least, also where they are more than `landmarks`. The model has
+    SIZE numbers (256 KB) for each language. Without rows there are no languages.
     """
     spark = docs.sparkSession
     common.small_batches(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("id is not null and lang is not null and text is not null")
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()}
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
-        return [], np.zeros((SIZE, 0))
+        return [], np.zeros((SIZE, 0), np.float32)
     each = max(1, max_rows // len(counts))
     place = F.xxhash64("id", F.lit("sample"))
-    cut = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.5 * each / n + 20 / n))])
-    few = rows.where(F.pmod(place, F.lit(1_000_000)) < cut[F.col("lang")] * 1_000_000).where(F.col("text").rlike(r"\p{L}"))
+    # a row a language
+    cut = spark.createDataFrame([(lang, min(1.0, 1.5 * each / n + 20 / n)) for lang, n in counts.items()], "lang string, cut double")
+    few = rows.join(F.broadcast(cut), "lang").where(F.pmod(place, F.lit(1_000_000)) < F.col("cut") * 1_000_000).where(F.col("text").rlike(r"\p{L}"))
 
     def extract(batches):
         for b in batches:
@@ -86,7 +86,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     got = sorted(ranked.select("place", "lang", "text").mapInArrow(extract, "place bigint, lang string, row binary").collect(), key=lambda r: (r.lang, r.place, bytes(r.row)))  # at most max_rows rows of SIZE bits
     langs = sorted({r.lang for r in got})
     if not langs:
-        return [], np.zeros((SIZE, 0))
+        return [], np.zeros((SIZE, 0), np.float32)
     packed = np.stack([np.frombuffer(r.row, np.uint8) for r in got])
     lang = np.array([r.lang for r in got])
 
@@ -111,7 +111,7 @@ def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray, text_col: str
         for b in batches:
             raw = [bytes(t) for t in common.texts(b, text_col)]
             pred, conf = ["und"] * len(raw), [0.0] * len(raw)
-            with_letters = [i for i, t in enumerate(raw) if langs and HAS_LETTER(t.decode())]
+            with_letters = [i for i, t in enumerate(raw) if langs and HAS_LETTER(t.decode("utf-8", "replace"))]
             for at in range(0, len(with_letters), ROWS):
                 part = with_letters[at : at + ROWS]
                 flags = np.zeros((len(part), SIZE), np.uint8)
