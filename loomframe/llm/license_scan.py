@@ -1,6 +1,6 @@
 """License scans: normalised text against license templates by the Dice coefficient of their word bigrams.
 
-A text's units are its lines, its runs of up to PARAGRAPHS paragraphs, and the text as a whole: a notice that is wrapped over
+A text's units are its lines, its runs of paragraphs, and the text as a whole: a notice that is wrapped over
 several lines above or below other text is a run of paragraphs. Sizes count bigrams with repeats, what is shared counts
 once. Dice 2|A n B| / (|A| + |B|) cannot reach a bound t unless the smaller side has at least t / (2 - t) of the larger one's
 bigrams, so a template is compared only with units whose size lies within these bounds; a count of words shows that before
@@ -14,7 +14,7 @@ import math
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Public license texts and customary notices.
@@ -57,8 +57,6 @@ TEMPLATES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."],
 }
 LEAST = 0.85
-#: Paragraphs that a notice may have.
-PARAGRAPHS = 6
 #: Words that many texts hold; others tell a license sooner.
 COMMON = frozenset("a all an and any as at be by can for from in is it not of on or public that the this to under use version with without work you".split())
 
@@ -104,8 +102,8 @@ def needed_words(known: list[tuple[str, int, int, list[str]]], least: float) ->
 def scan(docs: DataFrame, known: list[tuple[str, int, int, list[str]]] | None = None, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, line, lines, license, template, dice): every unit and template with a coefficient of at least `least`.
 
-    A unit is `lines` lines from number `line` on, which counts from 0: one line, a run of up to PARAGRAPHS paragraphs (lines
-    without a letter or digit part them), or the whole text. Normalised text is lower-case a-z and 0-9, all else one space.
+    A unit is `lines` lines from number `line` on, which counts from 0: one line, a run of paragraphs (lines without a letter
+    or digit part them) of any number, as long as its words may reach a template's, or the whole text. Normalised text is lower-case a-z and 0-9, all else one space.
     Null and empty texts and units of fewer than two words match nothing; repeated rows give their matches again; an empty
     table gives none. Other columns are not read.
     """
@@ -115,20 +113,28 @@ def scan(docs: DataFrame, known: list[tuple[str, int, int, list[str]]] | None =
     # one lower-case copy for all words
     any_word = F.exists(F.array(F.lower("unit")), lambda x: reduce(lambda a, w: a | x.contains(w), needed_words(known, least), F.lit(False)))
     rows = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("unit")).where(any_word)
-    split = rows.select(id_col, F.split("unit", "\n").alias("l")).withColumn("n", F.size("l"))
+    split = rows.select(F.monotonically_increasing_id().alias("row"), id_col, F.split("unit", "\n").alias("l")).withColumn("n", F.size("l"))
     full = F.transform("l", lambda x: x.rlike("[A-Za-z0-9]"))
     places = F.sequence(F.lit(0), F.col("n") - 1)
     starts = F.filter(places, lambda i: F.get("full", i) & ~F.coalesce(F.get("full", i - 1), F.lit(False)))
     ends = F.filter(places, lambda i: F.get("full", i) & ~F.coalesce(F.get("full", i + 1), F.lit(False)))
     unit = lambda a, n: F.struct(a.alias("line"), n.alias("lines"), F.array_join(F.slice("l", a + 1, n), "\n").alias("unit"))
     ones = F.transform(places, lambda i: F.struct(i.alias("line"), F.lit(1).alias("lines"), F.get("l", i).alias("unit")))
-    run_ends = lambda a, p: F.slice("ends", p + 1, PARAGRAPHS)
-    runs = F.flatten(F.transform("starts", lambda a, p: F.transform(F.filter(run_ends(a, p), lambda e: (e > a) & (e - a + 1 < F.col("n"))), lambda e: unit(a, e - a + 1))))
     whole = F.when(F.col("n") > 1, F.array(unit(F.lit(0), F.col("n")))).otherwise(F.array().cast("array<struct<line:int,lines:int,unit:string>>"))
-    split = split.withColumn("full", full).withColumns({"starts": starts, "ends": ends})
-    units = split.select(id_col, F.inline(F.concat(ones, runs, whole))).where(any_word)
     # one list of sizes, so that a unit's words are counted once, not once for each template
     sizes = sorted({n for k in known for n in range(math.ceil(bound * k[2]), math.floor(k[2] / bound) + 1)})
+    most = max(sizes, default=0) + 1  # words of a unit that may match
+    split = split.withColumn("full", full).withColumns({"starts": starts, "ends": ends})
+    block = F.inline(F.zip_with("starts", "ends", lambda a, e: F.struct(a.alias("line"), e.alias("end"), F.array_join(F.slice("l", a + 1, e - a + 1), "\n").alias("text"))))
+    blocks = split.where(F.size("starts") > 0).select("row", id_col, F.col("n").alias("all"), block).withColumn("words", F.regexp_count("text", F.lit("[A-Za-z0-9]+")))
+    # paragraphs by the words up to their end: those that a run from one may reach are the next `most` words
+    by_row = Window.partitionBy("row")
+    blocks = blocks.withColumn("text", F.when(F.col("words") <= most, F.col("text"))).withColumn("upto", F.sum("words").over(by_row.orderBy("line")))
+    reach = F.collect_list(F.struct("end", "upto", "text")).over(by_row.orderBy("upto").rangeBetween(0, most))
+    run = lambda i: F.struct(F.col("line"), (F.col("reach")[i]["end"] - F.col("line") + 1).alias("lines"), F.array_join(F.transform(F.slice("reach", 1, i + 1), lambda x: x["text"]), "\n").alias("unit"))
+    ok = lambda i: (F.col("reach")[i]["upto"] - F.col("upto") + F.col("words") - 1).isin(sizes) & (F.col("reach")[i]["end"] > F.col("line")) & (F.col("reach")[i]["end"] - F.col("line") + 1 < F.col("all"))
+    runs = blocks.withColumn("reach", reach).where(F.col("words") <= most).select(id_col, F.inline(F.transform(F.filter(F.sequence(F.lit(0), F.size("reach") - 1), ok), run)))
+    units = split.select(id_col, F.inline(F.concat(ones, whole))).union(runs).where(any_word)
     units = units.withColumn("n", F.regexp_count("unit", F.lit("[A-Za-z0-9]+")) - 1).where(F.col("n").isin(sizes))
     words = F.filter(F.split(F.lower(F.regexp_replace("unit", "[^A-Za-z0-9]+", " ")), " "), lambda w: w != "")
     grams = F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.concat_ws(" ", F.element_at("w", i), F.element_at("w", i + 1)))
@@ -148,10 +154,14 @@ def sql(known: list[tuple[str, int, int, list[str]]] | None = None, least: float
     bound = f"{least / (2 - least)!r}e0"
     return f"""
         WITH known(license, template, size, tg) AS (VALUES {rows}),
-        lines AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
-        marks AS (SELECT doc_id, l, list_filter(range(len(l)), lambda i: regexp_matches(l[i + 1], '[A-Za-z0-9]')) AS f FROM lines),
-        ends AS (SELECT doc_id, l, list_filter(f, lambda i: NOT list_contains(f, i - 1)) AS s, list_filter(f, lambda i: NOT list_contains(f, i + 1)) AS e FROM marks),
-        runs AS (SELECT doc_id, l, s[p] AS line, e[p + k] - s[p] + 1 AS lines FROM (SELECT *, unnest(range(1, len(s) + 1)) AS p FROM ends), range({PARAGRAPHS}) r(k) WHERE p + k <= len(e)),
+        lines AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+        marks AS (SELECT r, doc_id, l, list_filter(range(len(l)), lambda i: regexp_matches(l[i + 1], '[A-Za-z0-9]')) AS f FROM lines),
+        ends AS (SELECT r, doc_id, l, list_filter(f, lambda i: NOT list_contains(f, i - 1)) AS s, list_filter(f, lambda i: NOT list_contains(f, i + 1)) AS e FROM marks),
+        paragraphs AS (SELECT r, doc_id, l, unnest(s) AS a, unnest(e) AS z FROM ends),
+        counted AS (SELECT *, len(regexp_extract_all(array_to_string(l[a + 1:z + 1], ' '), '[A-Za-z0-9]+')) AS w FROM paragraphs),
+        placed AS (SELECT *, sum(w) OVER (PARTITION BY r ORDER BY a) AS upto FROM counted),
+        runs AS (SELECT x.doc_id, x.l, x.a AS line, y.z - x.a + 1 AS lines FROM placed x JOIN placed y ON x.r = y.r AND y.a >= x.a
+                 WHERE y.upto - x.upto + x.w <= 1 + (SELECT max(size) FROM known) / {bound}),
         units AS (SELECT doc_id, unnest(range(len(l))) AS line, 1 AS lines, unnest(l) AS unit FROM lines
                   UNION ALL SELECT doc_id, line, lines, array_to_string(l[line + 1:line + lines], ' ') FROM runs WHERE lines > 1 AND lines < len(l)
                   UNION ALL SELECT doc_id, 0, len(l), array_to_string(l, ' ') FROM lines WHERE len(l) > 1),
