@@ -7,6 +7,7 @@ are joined and verified. Equal fingerprints are one row before that, so copies c
 
 from __future__ import annotations
 
+import math
 from functools import cache
 
 import numpy as np
@@ -21,8 +22,8 @@ from . import common
 BLOCK = 256
 #: Fingerprints whose 64 variants each one task makes.
 VARIANT_ROWS = 50_000
-#: Texts of one block whose shingle sets are compared.
-COMPARE = 64
+#: Texts of one block whose shingle sets are compared, and the min-hashes, a byte of each, that are looked at before.
+COMPARE, MARKS = 128, 128
 #: Bands of min-hashes and the min-hashes of each: at Jaccard 0.8 a pair shares no band with probability (1 - 0.8 ** 6) ** 40, 5e-6.
 BANDS, ROWS = 40, 6
 #: Shingles whose min-hashes are taken at once.
@@ -135,12 +136,18 @@ def odd_factors(n: int) -> np.ndarray:
     return np.random.default_rng(42).integers(1 << 63, size=n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def band_keys(hashes: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """A key for each band of `rows` min-hashes of a set of hashes: two sets of Jaccard similarity s share one with probability s ** rows."""
-    least = np.full(bands * rows, np.iinfo(np.uint64).max)
-    factors = odd_factors(bands * rows)
+def min_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
+    """The least of a set's hashes under each of n multiplications."""
+    least = np.full(n, np.iinfo(np.uint64).max)
+    factors = odd_factors(n)
     for at in range(0, len(hashes), MIN_CHUNK):
         np.minimum(least, (hashes[at : at + MIN_CHUNK, None] * factors).min(0), out=least)
+    return least
+
+
+def band_keys(hashes: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """A key for each band of `rows` min-hashes of a set of hashes: two sets of Jaccard similarity s share one with probability s ** rows."""
+    least = min_hashes(hashes, bands * rows)
     return np.array([xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(least.reshape(bands, rows))], np.uint64).view(np.int64)
 
 
@@ -160,7 +167,8 @@ def near_duplicates(df: DataFrame, words: int = 5, least: float = 0.8, bands: in
     vocabulary matters: a pair of similarity s is missed with probability (1 - s ** ROWS) ** bands. Of a key's texts each is
     linked with the smallest id, so that no pairs are made. What candidates connect is
     compared exactly: each text with the smallest id of its candidates first, and those that aren't similar to that one with
-    all others, in blocks. One text stands for all of equal word sequences. Texts without words are copies of each other.
+    all others, in blocks, as far as MARKS min-hashes of a byte let them be similar (a similar pair fails that with a
+    probability of 1e-6). One text stands for all of equal word sequences. Texts without words are copies of each other.
     An empty table gives no rows.
     """
     spark = df.sparkSession
@@ -183,28 +191,33 @@ def near_duplicates(df: DataFrame, words: int = 5, least: float = 0.8, bands: in
     shared = tables.write(keyed.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a"))
     edges = keyed.join(shared, "key").select("a", F.col("rep").alias("b")).where("a <> b")
     part = tables.write(common.components(spark, edges, tables))
-    members = part.withColumnRenamed("node", "id").join(rows, "id").dropDuplicates(["id"])
+    # of an id's texts the one with the least hash, so that a rerun takes the same
+    members = part.withColumnRenamed("node", "id").join(rows, "id").groupBy("component", "id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def shingled(batches):
         for b in batches:
-            sets = [shingles(bytes(t), words).view(np.int64) for t in common.texts(b, "text")]
-            yield pa.record_batch([common.column(b, "component"), common.column(b, "id"), pa.array(sets, pa.list_(pa.int64()))], ["component", "id", "set"])
+            sets = [shingles(bytes(t), words) for t in common.texts(b, "text")]
+            marks = [min_hashes(x, MARKS).astype(np.uint8).tobytes() for x in sets]
+            yield pa.record_batch([common.column(b, "component"), common.column(b, "id"), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())), pa.array(marks, pa.binary())], ["component", "id", "set", "marks"])
 
-    sets = tables.write(members.select("component", "id", "text").mapInArrow(shingled, "component bigint, id bigint, set array<bigint>"))
+    sets = tables.write(members.select("component", "id", "text").mapInArrow(shingled, "component bigint, id bigint, set array<bigint>, marks binary"))
 
     def by_leader(batches):
         for b in batches:
             ok = [similar(x.values.to_numpy(), y.values.to_numpy(), least) for x, y in zip(common.column(b, "set"), common.column(b, "leader"))]
-            yield pa.record_batch([common.column(b, "component"), common.column(b, "id"), common.column(b, "set"), pa.array(ok)], ["component", "id", "set", "led"])
+            yield pa.record_batch([*(common.column(b, c) for c in ("component", "id", "set", "marks")), pa.array(ok)], ["component", "id", "set", "marks", "led"])
 
     leaders = sets.where("id = component").select("component", F.col("set").alias("leader"))
-    led = tables.write(sets.join(leaders, "component").mapInArrow(by_leader, "component bigint, id bigint, set array<bigint>, led boolean"))
+    led = tables.write(sets.join(leaders, "component").mapInArrow(by_leader, "component bigint, id bigint, set array<bigint>, marks binary, led boolean"))
     sizes = tables.write(led.groupBy("component").agg(F.count("*").alias("n"), F.count_if(~F.col("led")).alias("rest")).where("rest > 0"))
     blocks = lambda n: F.ceil(F.col(n) / COMPARE).cast("int")
     every = led.join(sizes, "component").withColumns({"bi": F.pmod(F.xxhash64("id"), blocks("n")).cast("int"), "bj": F.pmod(F.xxhash64("id"), blocks("rest")).cast("int")})
     # the rest against all: a block of all and a block of the rest meet
-    all_side = every.select("component", "bi", F.explode(F.sequence(F.lit(0), blocks("rest") - 1)).alias("bj"), F.lit(False).alias("is_rest"), "led", "id", "set")
-    rest_side = every.where("not led").select("component", F.explode(F.sequence(F.lit(0), blocks("n") - 1)).alias("bi"), "bj", F.lit(True).alias("is_rest"), "led", "id", "set")
+    all_side = every.select("component", "bi", F.explode(F.sequence(F.lit(0), blocks("rest") - 1)).alias("bj"), F.lit(False).alias("is_rest"), "led", "id", "set", "marks")
+    rest_side = every.where("not led").select("component", F.explode(F.sequence(F.lit(0), blocks("n") - 1)).alias("bi"), "bj", F.lit(True).alias("is_rest"), "led", "id", "set", "marks")
+
+    # the share of equal marks is the similarity but for 5 standard deviations
+    enough = MARKS * (least - 5 * math.sqrt(least * (1 - least) / MARKS))
 
     def verify(batches):
         for g in common.sorted_groups(batches, ["component", "bi", "bj"]):
@@ -214,8 +227,10 @@ def near_duplicates(df: DataFrame, words: int = 5, least: float = 0.8, bands: in
                 if g["led"][j]:
                     forest.link(leader, int(g["id"][j]))
             known = len(forest.kept)
+            marks = np.frombuffer(b"".join(g["marks"]), np.uint8).reshape(len(g["id"]), MARKS)
             for i in rest:
-                for j in others:
+                alike = (marks[others] == marks[i]).sum(1) >= enough if others else []
+                for j in np.array(others)[alike].tolist() if others else []:
                     x, y = int(g["id"][i]), int(g["id"][j])
                     if x != y and forest.root(x) != forest.root(y) and similar(g["set"][i], g["set"][j], least):
                         forest.link(x, y)
