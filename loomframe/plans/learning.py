@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from ..operators import episodes as ep
-from ..operators import fold, sampling, stats, windows
+from ..operators import fold, presets, sampling, stats, windows
+from ..sources import io
 from .standins import TABLES, elements, frames, messages, query, table
 
 _QS = ", ".join(f"quantile_cont(x, {q}) AS {n}" for n, q in stats.QUANTILES.items())
@@ -54,10 +55,9 @@ def mixture_stats(spark, sf):
 @query(f"--with a AS (SELECT 'action' AS feature, CAST(i % 8 AS INTEGER) AS dim, chunk[i + 1] - state[i % 8 + 1] AS x FROM frms, range(32) r(i) UNION ALL SELECT 'state', CAST(i AS INTEGER), state[i + 1] FROM frms, range(16) r(i)), v AS (SELECT feature, dim, {_AGG} FROM a GROUP BY 1, 2) SELECT feature, dim, count, {_ROUND} FROM v")
 def norm_stats(spark, sf):
     chunk = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda h: F.slice("chunk", h * 8 + 1, 8))
-    f = frames(spark, sf).withColumn("chunk", chunk)
-    out = stats.vector_stats(f, "state").withColumn("feature", F.lit("state"))
-    rel = stats.norm_stats(f.withColumn("state", F.slice("state", 1, 8)), "state", "chunk", True).where("feature = 'action'")
-    return rounded(out.unionByName(rel), ["feature", "dim"])
+    # a step has 8 of the state's 16 dimensions: null beyond them, which no statistic counts
+    wide = F.transform(chunk, lambda step: F.concat(step, F.array_repeat(F.lit(None).cast("double"), 8)))
+    return rounded(stats.norm_stats(frames(spark, sf).withColumn("chunk", wide), "state", "chunk", True), ["feature", "dim"]).where("count > 0")
 
 
 @query("""--with d AS (SELECT episode_index, frame_index, i AS dim, action[i + 1] - lag(action[i + 1]) OVER w AS d1 FROM frms, range(16) r(i) WINDOW w AS (PARTITION BY episode_index, i ORDER BY frame_index)),
@@ -136,11 +136,45 @@ def unnormalize(spark, sf):
     return elements(f.withColumn("v", V.unnormalize("n", q, "quantiles")), ["episode_index", "frame_index"], "v")
 
 
-@query("SELECT 'arm' AS feature, round(avg(state[1]), 6) AS mean0, CAST(7 AS INTEGER) AS width FROM frms UNION ALL SELECT 'effector', round(avg(state[8]), 6), 1 FROM frms")
+@query("SELECT CASE WHEN i < 7 THEN 'arm' ELSE 'effector' END AS feature, CAST(i % 7 AS INTEGER) AS pos, round(avg(state[i + 1]), 6) AS mean, round(stddev_pop(state[i + 1]), 6) AS std FROM frms, range(8) r(i) GROUP BY i")
 def split_stats(spark, sf):
     s = stats.as_arrays(stats.vector_stats(frames(spark, sf), "state").withColumn("k", F.lit(1)), ["k"])
-    out = V.split_stats(s, ["mean", "std"], {"arm": (0, 7), "effector": (7, 8)})
-    return out.select("feature", F.round(F.col("mean")[0], 6).alias("mean0"), F.size("mean").alias("width"))
+    out = V.split_stats(s, ["mean", "std"], {"arm": (0, 7), "effector": (7, 8)}).select("feature", F.posexplode(F.arrays_zip("mean", "std")).alias("pos", "s"))
+    return out.select("feature", "pos", F.round("s.mean", 6).alias("mean"), F.round("s.std", 6).alias("std"))
+
+
+@query(f"{_VM}, x AS (SELECT CAST(i AS INTEGER) AS dim, CAST(CASE i WHEN 0 THEN n_chars ELSE (doc_id * 7919) % 1000 / 10.0 END AS DOUBLE) AS x FROM vm JOIN lc USING (source, local) JOIN documents USING (doc_id), range(2) r(i)) SELECT dim, {', '.join(f'round(quantile_cont(x, {q}), 6) AS {n}' for n, q in stats.QUANTILES.items())} FROM x GROUP BY 1")
+def mixture_quantiles(spark, sf):
+    """Exact quantiles of two numbers of the documents over a weighted mixture of their sources, whose rows are not made."""
+    from pyspark.sql import Window
+
+    place = (F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1).cast("long")
+    v = F.array(F.col("n_chars").cast("double"), (F.col("doc_id") * 7919 % 1000).cast("double") / 10.0)
+    rows = table(spark, sf, "documents").select("source", place.alias("local"), v.alias("v"))
+    out = stats.mixture_quantiles(rows, lengths(spark, sf), "v")
+    return out.select("dim", *[F.round(n, 6).alias(n) for n in stats.QUANTILES])
+
+
+#: Rank of an estimate among all values, against its share: within the sketches' error, and a row's own width.
+@query(f"--with x AS (SELECT CAST(i AS INTEGER) AS dim, state[i + 1] AS x FROM frms, range(16) r(i)), g AS (SELECT dim, count(*) AS count, round(min(x), 6) AS min, round(max(x), 6) AS max, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std FROM x GROUP BY 1) SELECT *, {', '.join(f'count > 0 AS {n}' for n in stats.QUANTILES)} FROM g -- frms")
+def merge_sketches(spark, sf):
+    """Two datasets of unequal size, merged from their episodes' sketches; quantiles are told by whether their ranks are right."""
+    roots = []
+    for part in ("episode_index % 3 = 0", "episode_index % 3 > 0"):
+        roots.append(io.scratch(spark))
+        io.write_dataset(ep.reindex(frames(spark, sf).where(part), 10.0), roots[-1], 10.0)
+    merged = io.merged_stats(spark, roots).where("feature = 'observation.state'").drop("feature", "sketch")
+    x = frames(spark, sf).select(F.posexplode("state").alias("dim", "x"))
+    ranks = x.join(F.broadcast(merged), "dim").groupBy("dim").agg(*[F.count_if(F.col("x") < F.col(n) - 1e-6).alias(f"{n}_low") for n in stats.QUANTILES], *[F.count_if(F.col("x") <= F.col(n) + 1e-6).alias(f"{n}_high") for n in stats.QUANTILES])
+    off = lambda n, q: (F.col(f"{n}_low") <= (q + stats.SKETCH_ERROR) * F.col("count") + 1) & (F.col(f"{n}_high") >= (q - stats.SKETCH_ERROR) * F.col("count") - 1)
+    return merged.join(ranks, "dim").select("dim", "count", *[F.round(c, 6).alias(c) for c in ("min", "max", "mean", "std")], *[off(n, q).alias(n) for n, q in stats.QUANTILES.items()])
+
+
+@query("--with t AS (SELECT *, CASE episode_index % 2 WHEN 0 THEN 'task1' ELSE 'task2' END AS task FROM frms), p(task, hand, place, expected, least) AS (VALUES ('task1', 'right_gripper', 7, 3, 6), ('task2', 'left_gripper', 7, 1, 4), ('task2', 'right_gripper', 15, 1, 4)), e AS (SELECT task, episode_index, hand, expected, least, action[place + 1] > 0 AS closed, lag(action[place + 1] > 0) OVER (PARTITION BY task, episode_index, hand ORDER BY frame_index) AS was FROM t JOIN p USING (task)), c AS (SELECT task, episode_index, hand, expected, least, count(*) FILTER (closed <> was) AS edges, count(*) FILTER (closed AND NOT was) AS cycles FROM e GROUP BY ALL) SELECT task, episode_index, hand, edges, cycles, edges >= least AS enough, cycles = expected AS as_expected FROM c -- frms")
+def preset_hands(spark, sf):
+    """Two tasks with different hands and settings in one plan."""
+    f = frames(spark, sf).withColumn("task", F.when(F.col("episode_index") % 2 == 0, "task1").otherwise("task2"))
+    return presets.hand_edges(f, presets.hands(spark), 0.0)
 
 
 # ---- windows and scores
@@ -212,12 +246,12 @@ def execute_prefix(spark, sf):
     return elements(windows.execute_prefix(predictions(spark, sf), 3).withColumnRenamed("x", "v"), ["episode_index", "step", "h"], "v")
 
 
-@query("""--with c AS (SELECT episode_index, frame_index AS requested, frame_index + 1 + (episode_index + frame_index) % 2 AS ready, h, p FROM pred WHERE frame_index % 2 = 0 AND d = 0)
-SELECT episode_index, requested + h AS step, round(arg_max(p, ready * 1000000 + requested), 6) AS x FROM c WHERE requested + h >= ready GROUP BY 1, 2 -- pred frms""")
+@query("""--with c AS (SELECT episode_index, d, frame_index AS requested, frame_index + 1 + (episode_index + frame_index) % 2 AS ready, h, p FROM pred WHERE frame_index % 2 = 0)
+SELECT episode_index, requested + h AS step, CAST(d AS INTEGER) AS pos, round(arg_max(p, ready * 1000000 + requested), 6) AS x FROM c WHERE requested + h >= ready GROUP BY 1, 2, 3 -- pred frms""")
 def merge_chunks(spark, sf):
     p = predictions(spark, sf).where("frame_index % 2 = 0")
-    p = p.select("episode_index", F.col("frame_index").alias("requested"), (F.col("frame_index") + 1 + (F.col("episode_index") + F.col("frame_index")) % 2).alias("ready"), F.transform("chunk", lambda c: c[0]).alias("chunk"))
-    return windows.merge_chunks(p).withColumn("x", F.round("x", 6))
+    p = p.select("episode_index", F.col("frame_index").alias("requested"), (F.col("frame_index") + 1 + (F.col("episode_index") + F.col("frame_index")) % 2).alias("ready"), "chunk")
+    return elements(windows.merge_chunks(p).withColumnRenamed("x", "v"), ["episode_index", "step"], "v")
 
 
 @query("SELECT event_id, CAST(ceil(value / 100.0 * 10) AS BIGINT) AS delay FROM events")
@@ -305,10 +339,12 @@ def distinct_ids(spark, sf):
     return table(spark, sf, "events").select(F.col("user_id").alias("id")).distinct()
 
 
-@query("SELECT episode_index, frame_index, round(d1, 6) AS d1, round(d1 - lag(d1) OVER (PARTITION BY episode_index ORDER BY frame_index), 6) AS d2 FROM (SELECT episode_index, frame_index, action[1] - lag(action[1]) OVER (PARTITION BY episode_index ORDER BY frame_index) AS d1 FROM frms)")
+@query("SELECT episode_index, frame_index, CAST(i AS INTEGER) AS pos, round(d1, 6) AS d1, round(d1 - lag(d1) OVER (PARTITION BY episode_index, i ORDER BY frame_index), 6) AS d2 FROM (SELECT episode_index, frame_index, i, action[i + 1] - lag(action[i + 1]) OVER (PARTITION BY episode_index, i ORDER BY frame_index) AS d1 FROM frms, range(16) r(i))")
 def diffs(spark, sf):
-    d = frames(spark, sf).withColumn("d1", F.col("action")[0] - F.lag(F.col("action")[0]).over(ep.frame_order()))
-    return d.select("episode_index", "frame_index", F.round("d1", 6).alias("d1"), F.round(F.col("d1") - F.lag("d1").over(ep.frame_order()), 6).alias("d2"))
+    before = lambda c: F.coalesce(F.lag(c).over(ep.frame_order()), F.array().cast("array<double>"))
+    d = frames(spark, sf).withColumn("d1", F.zip_with("action", before("action"), lambda a, b: a - b))
+    d = d.withColumn("d2", F.zip_with("d1", before("d1"), lambda a, b: a - b))
+    return d.select("episode_index", "frame_index", F.posexplode(F.arrays_zip("d1", "d2")).alias("pos", "d")).select("episode_index", "frame_index", "pos", F.round("d.d1", 6).alias("d1"), F.round("d.d2", 6).alias("d2"))
 
 
 @query("SELECT 'documents' AS src, doc_id AS id, lang AS tag FROM documents UNION ALL SELECT 'pages', page_id, NULL FROM pages")

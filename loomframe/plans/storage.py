@@ -2,21 +2,34 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import audit
 from ..operators import episodes as ep
 from ..operators import stats
-from ..sources import io
+from ..sources import io, recordings
 from ..streaming import online, stateful
 from . import learning
 from .standins import ACTION, COMMAND, HAND, MASTER, STATE, elements, frames, messages, query, table
 
 
-@query("SELECT DISTINCT id FROM (SELECT unnest(CASE WHEN p_partkey % 3 = 0 THEN [p_partkey] ELSE [p_partkey, p_partkey + 1, p_partkey + 2] END) AS id FROM part WHERE p_size < 20)")
+def id_lines(spark, sf):
+    """Numbers, ranges in either direction with and without blanks, full-width marks, comments."""
+    k = F.col("p_partkey")
+    text = F.when(k % 4 == 0, k.cast("string")).when(k % 4 == 1, F.concat(k + 2, F.lit("-"), k, F.lit(" # kept"))).when(k % 4 == 2, F.concat(k, F.lit("，"), k + 1, F.lit(", "), k + 2)).otherwise(F.concat(F.lit(" "), k + 2, F.lit(" - "), k, F.lit("；")))
+    return table(spark, sf, "part").select("p_partkey", text.alias("value"))
+
+
+@query("SELECT DISTINCT id FROM (SELECT unnest(CASE WHEN p_partkey % 4 = 0 THEN [p_partkey] ELSE [p_partkey, p_partkey + 1, p_partkey + 2] END) AS id FROM part)")
 def id_list(spark, sf):
+    return io.parse_id_list(id_lines(spark, sf))
+
+
+@query("SELECT 'x' || p_partkey AS part FROM part WHERE p_partkey % 4 = 0 UNION SELECT p_partkey || '-' FROM part WHERE p_partkey % 4 = 1")
+def id_list_violations(spark, sf):
     k = F.col("p_partkey")
-    text = F.when(k % 3 == 0, k.cast("string")).when(k % 3 == 1, F.concat(k + 2, F.lit("-"), k, F.lit(" # kept"))).otherwise(F.concat(k, F.lit("，"), k + 1, F.lit(", "), k + 2, F.lit(", x")))
-    return io.parse_id_list(table(spark, sf, "part").where("p_size < 20").select(text.alias("value")))
+    return io.id_list_violations(id_lines(spark, sf).withColumn("value", F.when(k % 4 == 0, F.concat(F.lit("x"), k, F.lit(", 3"))).when(k % 4 == 1, F.concat(k, F.lit(" -"))).otherwise(F.col("value"))))
 
 
 @query("SELECT DISTINCT CAST(CASE WHEN p_partkey % 3 = 0 AND p_size > 20 THEN -1 ELSE p_partkey END AS BIGINT) AS id FROM part WHERE NOT (p_partkey % 3 = 0 AND p_size > 20)")
@@ -39,20 +52,39 @@ def read_manifest(spark, sf):
     return io.parse_manifest(docs)
 
 
-@query("--with s AS (SELECT source, CAST(count(*) AS DOUBLE) AS w FROM documents GROUP BY 1) SELECT source, source AS repo_id, round(w / sum(w) OVER (), 6) AS weight FROM s")
+def mixture_documents(spark, sf, **changed):
+    """A specification for each language, of the sources that its documents come from, weighted by their number."""
+    s = table(spark, sf, "documents").where("lang is not null and source is not null").groupBy("lang", "source").agg(F.count("*").cast("double").alias("weight"))
+    fields = {"repo_id": F.col("source"), "weight": F.col("weight"), "name": F.when(F.length("source") % 2 == 0, F.col("source"))} | changed
+    entries = F.sort_array(F.collect_list(F.struct("source", F.struct(*[c.alias(n) for n, c in fields.items()]).alias("m"))))
+    return s.groupBy("lang").agg(F.to_json(F.transform(entries, lambda x: x["m"])).alias("value"))
+
+
+_SPEC = "--with s AS (SELECT lang, source, CAST(count(*) AS DOUBLE) AS w FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL GROUP BY 1, 2), o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY source) AS i FROM s)"
+
+
+@query(f"{_SPEC} SELECT CASE WHEN length(source) % 2 = 0 THEN source ELSE format('source_{{:02d}}', i) END AS source, source AS repo_id, round(w / sum(w) OVER (PARTITION BY lang), 6) AS weight FROM o")
 def read_mixture(spark, sf):
-    s = table(spark, sf, "documents").groupBy("source").agg(F.count("*").cast("double").alias("w"))
-    docs = s.select(F.to_json(F.array(F.struct(F.col("source").alias("repo_id"), F.col("w").alias("weight")))).alias("value"))
-    return io.parse_mixture(docs).withColumn("weight", F.round("weight", 6))
+    return io.parse_mixture(mixture_documents(spark, sf)).withColumn("weight", F.round("weight", 6))
 
 
-@query("SELECT tag, count(*) AS n, count(*) FILTER (bad) AS malformed, round(sum(CASE WHEN NOT bad THEN x END), 4) AS total FROM (SELECT CASE vec_id % 4 WHEN 0 THEN 'state' WHEN 1 THEN 'action' WHEN 2 THEN 'clip action' END AS tag, vec_id % 4 < 3 AND vec_id % 7 = 0 AS bad, CAST(embedding[1] AS DOUBLE) AS x FROM embeddings) GROUP BY 1")
+@query(f"{_SPEC} SELECT lang, array_to_string(list_filter([CASE WHEN min(CASE WHEN i % 2 = 0 THEN -w ELSE w END) <= 0 THEN 'weights must be positive' END, CASE WHEN count(*) > 1 THEN 'names must be unique' END], lambda x: x IS NOT NULL), '; ') AS violations FROM (SELECT lang, w, row_number() OVER (PARTITION BY lang ORDER BY source) AS i FROM s) GROUP BY 1")
+def mixture_violations(spark, sf):
+    """Every second weight is negative, and all names are one."""
+    docs = mixture_documents(spark, sf, name=F.lit("m"))
+    flipped = F.transform(F.from_json("value", "array<struct<repo_id:string,weight:double,name:string>>"), lambda m, i: F.struct(m["repo_id"].alias("repo_id"), F.when(i % 2 == 1, -m["weight"]).otherwise(m["weight"]).alias("weight"), m["name"].alias("name")))
+    docs = docs.withColumn("value", F.to_json(flipped))
+    return io.mixture_specs(docs).join(docs, "value").select("lang", F.concat_ws("; ", "violations").alias("violations"))
+
+
+@query("SELECT tag, CAST(pos AS INTEGER) AS pos, count(*) AS n, count(*) FILTER (bad) AS malformed, round(sum(CASE WHEN NOT bad THEN x END), 3) AS total FROM (SELECT CASE vec_id % 4 WHEN 0 THEN 'state' WHEN 1 THEN 'action' WHEN 2 THEN 'clip action' END AS tag, pos, vec_id % 7 = 0 AS bad, CAST(embedding[pos + 1] AS DOUBLE) AS x FROM embeddings, range(16) r(pos) WHERE vec_id % 4 < 3) GROUP BY 1, 2")
 def vector_log(spark, sf):
     k = F.col("vec_id")
     tag = F.when(k % 4 == 0, "STATE: ").when(k % 4 == 1, "action: ").when(k % 4 == 2, "clip action: ").otherwise("info ")
-    lines = table(spark, sf, "embeddings").select(F.concat(tag, F.lit("["), F.col("embedding")[0].cast("double").cast("string"), F.lit(", "), F.when(k % 7 == 0, "oops").otherwise("1.5"), F.lit("]")).alias("value"))
-    out = io.parse_vector_log(lines).groupBy("tag")
-    return out.agg(F.count("*").alias("n"), F.count_if("malformed").alias("malformed"), F.round(F.sum(F.when(~F.col("malformed"), F.col("values")[0])), 4).alias("total"))
+    numbers = F.transform(F.slice("embedding", 1, 16), lambda x, i: F.when((k % 7 == 0) & (i == 3), "oops").otherwise(x.cast("double").cast("string")))
+    lines = table(spark, sf, "embeddings").select(F.concat(tag, F.lit("["), F.array_join(numbers, ", "), F.lit("]")).alias("value"))
+    out = io.parse_vector_log(lines).where("tag is not null").select("tag", "malformed", F.posexplode("values").alias("pos", "x")).groupBy("tag", "pos")
+    return out.agg(F.count("*").alias("n"), F.count_if("malformed").alias("malformed"), F.round(F.sum(F.when(~F.col("malformed"), F.col("x"))), 3).alias("total"))
 
 
 @query("SELECT doc_id, lang, CAST(NULL AS BIGINT) AS reward FROM documents")
@@ -65,9 +97,15 @@ def full_segments(spark, sf):
     return io.full_segments(frames(spark, sf).groupBy("episode_index").agg(F.count("*").alias("length")))
 
 
+CAMERAS = {"observation.images.head": [3, 480, 640], "observation.images.wrist_depth": [1, 240, 320]}
+
+
 def written(spark, sf):
+    """A dataset of the frames, with a task for each source of documents."""
     root = io.scratch(spark)
-    io.write_dataset(ep.reindex(frames(spark, sf), 10.0), root, 10.0)
+    sources = table(spark, sf, "documents").where("source is not null").select(F.col("source").alias("task")).distinct()
+    tasks = sources.select((F.row_number().over(Window.orderBy("task")) - 1).cast("long").alias("task_index"), "task")  # a row a task
+    io.write_dataset(ep.reindex(frames(spark, sf), 10.0), root, 10.0, tasks, cameras=CAMERAS)
     return root
 
 
@@ -105,7 +143,7 @@ def feature_stats(spark, sf):
     return unzipped(e.select("episode_index", F.inline(F.array(*each))), ["feature", "episode_index"])
 
 
-@query("SELECT CAST(0 AS BIGINT) AS task_index, 'task' AS task FROM (SELECT count(*) AS n FROM frms) WHERE n > 0")
+@query("SELECT CAST(row_number() OVER (ORDER BY source) - 1 AS BIGINT) AS task_index, source AS task FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL)")
 def read_tasks(spark, sf):
     return io.read_tasks(spark, written(spark, sf))
 
@@ -115,15 +153,20 @@ def read_info(spark, sf):
     return io.read_info(spark, written(spark, sf)).select("total_episodes", "total_frames", "fps", "codebase_version")
 
 
-@query("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS holes, CAST(0 AS BIGINT) AS repeats, CAST(0 AS BIGINT) AS non_finite FROM frms")
+#: Rows with frame number 3 are missing, those with 5 are there twice, and those with 7 hold a NaN.
+@query(f"--with {_NUM}, dm AS (SELECT * FROM nmb WHERE frame_index <> 3 UNION ALL SELECT * FROM nmb WHERE frame_index = 5) SELECT count(*) AS rows, max(\"index\") + 1 - count(*) AS holes, count(*) - count(DISTINCT \"index\") AS repeats, count(*) FILTER (frame_index = 7) AS non_finite FROM dm -- frms")
 def check_dataset(spark, sf):
-    return io.check_dataset(io.read_frames(spark, written(spark, sf)))
+    f = io.read_frames(spark, written(spark, sf)).where("frame_index <> 3")
+    f = f.union(f.where("frame_index = 5")).withColumn("action", F.when(F.col("frame_index") == 7, F.concat("action", F.array(F.lit(float("nan")).cast("float")))).otherwise(F.col("action")))
+    return io.check_dataset(f)
 
 
-@query("SELECT 'fps' AS violation FROM (SELECT count(*) AS n FROM frms) WHERE n > 0")
+#: As many frames as there are events, one task and a camera without depth are expected; the dataset has other numbers.
+@query("""SELECT unnest(list_filter([CASE WHEN n <> ev THEN 'frames' END, CASE WHEN w <> 16 THEN 'width' END, 'cameras', 'depth', CASE WHEN t <> 1 THEN 'tasks' END], lambda x: x IS NOT NULL)) AS violation FROM (SELECT count(*) AS n, max(len(action)) AS w, (SELECT count(*) FROM events) AS ev, (SELECT count(DISTINCT source) FROM documents) AS t FROM frms)""")
 def accept_dataset(spark, sf):
     root = written(spark, sf)
-    return io.accept_dataset(io.read_info(spark, root), io.read_frames(spark, root), io.read_tasks(spark, root), {"codebase_version": "v3.0", "fps": 20.0, "width": 16})
+    expected = {"codebase_version": "v3.0", "fps": 10.0, "width": 16, "cameras": {"observation.images.head"}, "frames": table(spark, sf, "events").count()}
+    return io.accept_dataset(io.read_info(spark, root), io.read_frames(spark, root), io.read_tasks(spark, root), expected)
 
 
 @query("SELECT dense_rank() OVER (ORDER BY episode_index) - 1 AS episode_index, n AS length, CAST(sum(n) OVER (ORDER BY episode_index) - n AS BIGINT) AS dataset_from_index, CAST(sum(n) OVER (ORDER BY episode_index) AS BIGINT) AS dataset_to_index FROM eps")
@@ -139,11 +182,11 @@ def write_report(spark, sf):
     return spark.read.schema("o_orderkey bigint, o_orderpriority string, reasons string, nested string").csv(path, header=True)
 
 
-@query("SELECT event_id, event_type FROM events WHERE value > 50")
+@query("SELECT event_id, event_type, round(value, 6) AS value FROM events")
 def write_events(spark, sf):
     path = io.scratch(spark)
-    io.write_events(table(spark, sf, "events").where("value > 50").select("event_id", "event_type"), path)
-    return spark.read.schema("event_id bigint, event_type string").json(path)
+    io.write_events(table(spark, sf, "events").select("event_id", "event_type", "value"), path)
+    return spark.read.schema("event_id bigint, event_type string, value double").json(path).withColumn("value", F.round("value", 6))
 
 
 @query("SELECT CAST(doc_id AS VARCHAR) AS value, lang AS cls FROM documents")
@@ -165,10 +208,10 @@ def state_stats(spark, sf):
     return stats.as_arrays(s.unionByName(stats.vector_stats(frames(spark, sf), "action").withColumn("feature", F.lit("action"))), ["feature"]).select("feature", *io.STATS)
 
 
-@query("SELECT feature, violation FROM (VALUES ('state', 'width:mean'), ('state', 'missing:mode'), ('action', 'missing:mode'), ('state', 'count'), ('action', 'count')) v(feature, violation), (SELECT count(*) AS n FROM frms) WHERE n > 0")
+@query("--with w AS (SELECT max(len(state)) AS s, max(len(action)) AS a, count(*) AS n FROM frms) SELECT unnest(list_filter([CASE WHEN s <> 8 THEN {'f': 'state', 'v': 'width:mean'} END, CASE WHEN a <> 16 THEN {'f': 'action', 'v': 'width:mean'} END, {'f': 'state', 'v': 'missing:mode'}, {'f': 'action', 'v': 'missing:mode'}, CASE WHEN n <> n + 1 THEN {'f': 'state', 'v': 'count'} END, CASE WHEN n <> n + 1 THEN {'f': 'action', 'v': 'count'} END], lambda x: x IS NOT NULL), recursive := true) FROM w")
 def norm_violations(spark, sf):
     s = state_stats(spark, sf).withColumn("count", F.when(F.col("feature") == "action", F.transform("count", lambda n: n + 1)).otherwise(F.col("count")))
-    return io.norm_violations(s, {"state": 8, "action": 16}, ["mean", "mode"])
+    return io.norm_violations(s, {"state": 8, "action": 16}, ["mean", "mode"]).select(F.col("feature").alias("f"), F.col("violation").alias("v"))
 
 
 @query(f"--with ft AS (SELECT 'state' AS feature, CAST(i AS INTEGER) AS dim, state[i + 1] AS x FROM frms, range(16) r(i) UNION ALL SELECT 'action', CAST(i AS INTEGER), action[i + 1] FROM frms, range(16) r(i)) SELECT feature, dim, {_STATS} FROM ft GROUP BY 1, 2 -- frms")
@@ -194,6 +237,21 @@ def read_telemetry(spark, sf):
     return elements(t, ["episode", "step", "reward"], "v")
 
 
+@query("SELECT episode_index AS episode, frame_index AS step, CAST(i AS INTEGER) AS pos, round(action[i + 1], 6) AS x FROM frms, range(16) r(i)")
+def read_telemetry_stream(spark, sf):
+    path = io.scratch(spark)
+    io.write_events(frames(spark, sf).select(F.col("episode_index").alias("episode"), F.col("frame_index").alias("step"), "action"), path)
+    return elements(online.run_once(io.read_telemetry_stream(spark, path), spark), ["episode", "step"], "action")
+
+
+@query("SELECT o_orderkey % 50 AS step, o_orderpriority AS source, round(avg(o_totalprice), 2) AS loss, round(avg(o_totalprice) / 1000, 6) AS lr FROM orders GROUP BY 1, 2")
+def read_loss(spark, sf):
+    path = io.scratch(spark)
+    io.write_events(table(spark, sf, "orders").select((F.col("o_orderkey") % 50).alias("step"), F.col("o_orderpriority").alias("source"), F.col("o_totalprice").cast("double").alias("loss"), (F.col("o_totalprice").cast("double") / 1000).alias("lr")), path)
+    log = io.read_loss(spark, path)
+    return log.groupBy("step", "source").agg(F.round(F.avg("loss"), 2).alias("loss"), F.round(F.avg("lr"), 6).alias("lr"))
+
+
 @query("SELECT DISTINCT event_type AS name, CASE event_type WHEN 'view' THEN 'RGB' WHEN 'click' THEN 'STATE' WHEN 'purchase' THEN 'ACTION' WHEN 'error' THEN 'DEPTH' ELSE 'REWARD' END AS kind FROM events")
 def feature_kinds(spark, sf):
     e = table(spark, sf, "events").select(F.col("event_type").alias("t")).distinct()
@@ -398,3 +456,54 @@ def computed_obs(spark, sf):
     m = messages(spark, sf)
     s = online.computed(feed(spark, m, thirds(m, "seq"), "episode_id"), "mean_value")
     return online.run_once(s.select("episode_id", "seq", F.round("mean_value", 6).alias("mean_value")), spark)
+
+
+# ---- recordings as files
+
+
+def recorded(spark, sf, **faults):
+    """Twenty recordings of the events, as files."""
+    path = io.scratch(spark)
+    recordings.write_recordings(messages(spark, sf).withColumn("episode_id", F.col("episode_id") % 20), path, **faults)
+    return path
+
+
+_REC = "r AS (SELECT *, episode_id % 20 AS rec FROM msgs)"
+
+
+@query(f"--with {_REC}, bad AS (SELECT DISTINCT rec FROM r WHERE rec % 7 = 2 AND seq % 50 = 1) SELECT topic, count(*) AS n, round(sum(v0), 4) AS total FROM r WHERE seq % 40 <> 3 AND rec NOT IN (FROM bad) AND topic IN ('view', 'click') GROUP BY 1 -- msgs")
+def message_store(spark, sf):
+    """Recordings with broken lines, and some that end early, read into a store by topic, of which two topics are read."""
+    root = recorded(spark, sf, broken=F.col("seq") % 40 == 3, cut=(F.col("episode_id") % 7 == 2) & (F.col("seq") % 50 == 1))
+    at = io.scratch(spark)
+    recordings.quarantined(spark, root, at)
+    wanted = spark.range(1).select(F.explode(F.array(F.lit("view"), F.lit("click"))).alias("topic"))
+    return recordings.read_wanted(spark, f"{at}/messages", wanted).groupBy("topic").agg(F.count("*").alias("n"), F.round(F.sum(F.col("values")[0]), 4).alias("total"))
+
+
+@query(f"--with {_REC}, bad AS (SELECT DISTINCT rec FROM r WHERE rec % 7 = 2 AND seq % 50 = 1) SELECT rec AS episode_id, 'broken line' AS reason, count(*) AS n FROM r WHERE seq % 40 = 3 AND rec NOT IN (FROM bad) GROUP BY 1 UNION ALL SELECT rec, 'cut off', 1 FROM bad -- msgs")
+def quarantine(spark, sf):
+    root = recorded(spark, sf, broken=F.col("seq") % 40 == 3, cut=(F.col("episode_id") % 7 == 2) & (F.col("seq") % 50 == 1))
+    bad = recordings.quarantined(spark, root, io.scratch(spark))[1]
+    return bad.groupBy(F.regexp_extract("file", r"episode_id=(\d+)", 1).cast("long").alias("episode_id"), "reason").agg(F.count("*").alias("n"))
+
+
+@query(f"--with {_REC} SELECT rec AS episode_id, count(*) FILTER (rec % 3 <> 0 OR topic <> 'error') AS n, CASE WHEN rec % 3 = 0 THEN 2 ELSE 1 END AS run, (SELECT count(DISTINCT rec) FROM r WHERE rec % 3 = 0) AS again FROM r GROUP BY rec -- msgs")
+def refresh_recordings(spark, sf):
+    """Results of twenty recordings; a third of them is then written anew without a topic, and only that is worked on again."""
+    root, out = recorded(spark, sf), io.scratch(spark)
+    run = lambda i: recordings.refresh(spark, root, out, lambda m: m.groupBy("file", "episode_id").agg(F.count("*").alias("n"), F.lit(i).alias("run")), "1", {"window": 0.5})
+    run(1)
+    changed = messages(spark, sf).withColumn("episode_id", F.col("episode_id") % 20).where("episode_id % 3 = 0 and topic <> 'error'")
+    fresh = io.scratch(spark)
+    recordings.write_recordings(changed, fresh)
+    recordings.replace(spark, fresh, root)
+    again = run(2)
+    return spark.read.parquet(out).select(F.col("episode_id").cast("long").alias("episode_id"), "n", "run", F.lit(again).cast("long").alias("again"))
+
+
+@query(f"--with {_REC} SELECT rec AS episode_id, dense_rank() OVER (ORDER BY 'episode_id=' || rec || '/') - 1 AS ordinal FROM (SELECT DISTINCT rec FROM r) -- msgs")
+def recording_ordinals(spark, sf):
+    """Recordings numbered by the order of their files' paths."""
+    found = audit.index_recordings(recordings.files(spark, recorded(spark, sf)), "file")
+    return found.select(F.regexp_extract("file", r"episode_id=(\d+)", 1).cast("long").alias("episode_id"), "ordinal")

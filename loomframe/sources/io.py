@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -106,25 +107,53 @@ def parse_manifest(docs: DataFrame, column: str = "value") -> DataFrame:
     return out.select("output", F.col("s.source_episode").alias("source"), F.col("s.start").alias("start"), F.col("s.end").alias("end"))
 
 
+def mixture_specs(docs: DataFrame, column: str = "value") -> DataFrame:
+    """One row a specification [{repo_id, weight, name}]: its sources in order, and what is wrong with it (empty if nothing is).
+
+    A source without a name is source_01, source_02, ... by its place. Weights must be positive and names unique, and a
+    source must be there.
+    """
+    spec = F.from_json(column, "array<struct<repo_id:string,weight:double,name:string>>")
+    named = F.transform(spec, lambda m, i: F.struct(F.coalesce(F.nullif(m["name"], F.lit("")), F.format_string("source_%02d", i + 1)).alias("source"), m["repo_id"].alias("repo_id"), m["weight"].alias("weight")))
+    s = F.col("sources")
+    wrong = [F.when(s.isNull() | (F.size("sources") < 1), "no sources"), F.when(F.exists(s, lambda m: m["weight"].isNull() | ~(m["weight"] > 0) | F.isnan(m["weight"])), "weights must be positive"), F.when(F.size(F.array_distinct(F.transform(s, lambda m: m["source"]))) < F.size(s), "names must be unique"), F.when(F.exists(s, lambda m: m["repo_id"].isNull()), "a source without repo_id")]
+    return docs.select(column, named.alias("sources")).withColumn("violations", F.array_compact(F.array(*wrong)))
+
+
 def parse_mixture(docs: DataFrame, column: str = "value") -> DataFrame:
-    """(source, repo_id, weight) from [{repo_id, weight, name}]: positive weights, normalised; names unique, a missing one from its repo."""
-    out = docs.select(F.explode(F.from_json(column, "array<struct<repo_id:string,weight:double,name:string>>")).alias("m")).where("m.weight > 0")
-    name = F.coalesce("m.name", F.regexp_replace("m.repo_id", "[^A-Za-z0-9._-]+", "_"))
-    total = out.agg(F.sum("m.weight").alias("total"))
-    return out.join(F.broadcast(total)).select(name.alias("source"), F.col("m.repo_id").alias("repo_id"), (F.col("m.weight") / F.col("total")).alias("weight")).dropDuplicates(["source"])
+    """(source, repo_id, weight) of each specification, weights normalised in it; a specification with a violation is an error."""
+    out = mixture_specs(docs, column)
+    sources = F.when(F.size("violations") > 0, F.raise_error(F.concat(F.lit("mixture: "), F.concat_ws("; ", "violations")))).otherwise(F.col("sources"))
+    total = F.aggregate("sources", F.lit(0.0), lambda t, m: t + m["weight"])
+    return out.select(sources.alias("sources")).withColumn("total", total).select(F.explode("sources").alias("m"), "total").select("m.source", "m.repo_id", (F.col("m.weight") / F.col("total")).alias("weight"))
 
 
 # ---- lists
 
 
+def id_list_parts(lines: DataFrame, column: str = "value") -> DataFrame:
+    """The parts of lists such as "3, 17, 28 - 30", one row each: its ends a <= b, null where it is neither a number nor a range.
+
+    Ranges go in either direction; commas, semicolons and white space part them, full-width ones too; comments follow #.
+    """
+    text = F.regexp_replace(column, "#.*", "")
+    for mark, plain in FULL_WIDTH.items():
+        text = F.replace(text, F.lit(mark), F.lit(plain))
+    text = F.regexp_replace(text, r"\s*-\s*", "-")
+    part = lines.select(F.explode(F.split(text, r"[,\s]+")).alias("part")).where("part <> ''")
+    ends = F.transform(F.when(F.col("part").rlike(r"^\d+(-\d+)?$"), F.split("part", "-")), lambda x: x.try_cast("long"))
+    return part.select("part", F.array_min(ends).alias("a"), F.array_max(ends).alias("b"))
+
+
+def id_list_violations(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Parts of lists that are neither a number nor a range."""
+    return id_list_parts(lines, column).where("a is null").select("part").distinct()
+
+
 def parse_id_list(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Distinct ids of lists such as "3, 17, 28-30": ranges in either order, full-width marks, comments after #; other words are left out."""
-    text = F.regexp_replace(column, "#.*$", "")
-    for a, b in FULL_WIDTH.items():
-        text = F.replace(text, F.lit(a), F.lit(b))
-    part = lines.select(F.explode(F.split(text, r"[,\s]+(?!-)(?<!-)")).alias("p")).select(F.regexp_extract("p", r"^\s*(\d+)\s*(?:-\s*(\d+))?\s*$", 1).alias("a"), F.regexp_extract("p", r"^\s*(\d+)\s*(?:-\s*(\d+))?\s*$", 2).alias("b")).where("a <> ''")
-    a, b = F.col("a").cast("long"), F.when(F.col("b") != "", F.col("b").cast("long")).otherwise(F.col("a").cast("long"))
-    return part.select(F.explode(F.sequence(F.least(a, b), F.greatest(a, b))).alias("id")).distinct()
+    """Distinct ids of lists; a part that id_list_violations() names is an error."""
+    known = F.when(F.col("a").isNull(), F.raise_error(F.concat(F.lit("not an id or a range: "), "part"))).otherwise(F.sequence("a", "b"))
+    return id_list_parts(lines, column).select(F.explode(known).alias("id")).distinct()
 
 
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:
@@ -157,6 +186,11 @@ def read_telemetry(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(TELEMETRY).json(root)
 
 
+def read_loss(spark: SparkSession, root: str) -> DataFrame:
+    """A training run's log, a row for each step and source."""
+    return spark.read.schema("step bigint, epoch double, source string, loss double, grad_norm double, lr double, step_time double").json(root)
+
+
 def read_telemetry_stream(spark: SparkSession, root: str) -> DataFrame:
     return spark.readStream.schema(TELEMETRY).json(root)
 
@@ -168,10 +202,11 @@ def read_audit(spark: SparkSession, path: str, schema: str) -> DataFrame:
 # ---- sinks
 
 
-def write_dataset(frames: DataFrame, root: str, fps: float, tasks: DataFrame | None = None, episodes_per_file: int = 1000) -> None:
+def write_dataset(frames: DataFrame, root: str, fps: float, tasks: DataFrame | None = None, episodes_per_file: int = 1000, cameras: dict[str, list[int]] | None = None) -> None:
     """Frames by buckets of episodes, the episode table with each episode's statistics, tasks, statistics, info.
 
     frames: as ep.reindex() gives them, with new_episode and new_frame. tasks: task_index, task; one task by default.
+    cameras: the shape of each camera feature, whose videos are kept elsewhere.
     """
     data = frames.select(F.col("state").cast("array<float>").alias("observation.state"), F.col("action").cast("array<float>").alias("action"), "timestamp", F.col("new_frame").alias("frame_index"), F.col("new_episode").alias("episode_index"), "index", F.lit(0).cast("long").alias("task_index"))
     data = data.withColumn("chunk_index", F.floor(F.col("episode_index") / episodes_per_file))
@@ -182,20 +217,38 @@ def write_dataset(frames: DataFrame, root: str, fps: float, tasks: DataFrame | N
     features = ["observation.state", "action", *SCALARS]
 
     def statistics(by: list[str], small: bool) -> DataFrame:
-        return st.as_arrays(st.feature_stats(data, features, by, small=small), [*by, "feature"]).select(*by, "feature", *STATS)
+        return st.as_arrays(st.feature_stats(data, features, by, small=small, sketches=small), [*by, "feature"]).select(*by, "feature", *STATS, *(["sketch"] if small else []))
 
     own = statistics(["episode_index"], True)
-    wide = own.groupBy("episode_index").agg(*[F.first(F.when(F.col("feature") == f, F.col(n)), True).alias(f"stats/{f}/{n}") for f in features for n in STATS])
+    wide = own.groupBy("episode_index").agg(*[F.first(F.when(F.col("feature") == f, F.col(n)), True).alias(f"stats/{f}/{n}") for f in features for n in (*STATS, "sketch")])
     e = data.groupBy("episode_index").agg(F.count("*").alias("length"), F.min("index").alias("dataset_from_index"), (F.max("index") + 1).alias("dataset_to_index"))
     e.join(wide, "episode_index").write.parquet(f"{root}/meta/episodes")
     tasks = spark.range(1).select(F.col("id").alias("task_index"), F.lit("task").alias("task")) if tasks is None else tasks
     tasks.write.parquet(f"{root}/meta/tasks.parquet")
     norm_document(statistics([], False)).coalesce(1).write.text(f"{root}/meta/stats.json")  # one row
     info = spark.read.parquet(f"{root}/meta/episodes").agg(F.lit("v3.0").alias("codebase_version"), F.lit(fps).alias("fps"), F.count("*").alias("total_episodes"), F.sum("length").alias("total_frames"))
+    widths = data.agg(*[F.max(F.size(f"`{f}`")).alias(f) for f in ("observation.state", "action")])
+    feature = lambda name, dtype, shape: F.struct(F.lit(name).alias("key"), F.struct(F.lit(dtype).alias("dtype"), shape.cast("array<int>").alias("shape"), F.lit(None).cast("array<string>").alias("names")).alias("value"))
+    listed = [feature(f, "float32", F.array(F.col(f"`{f}`"))) for f in ("observation.state", "action")]
+    listed += [feature(c, "float32" if c == "timestamp" else "int64", F.array(F.lit(1))) for c in SCALARS]
+    listed += [feature(c, "video", F.array(*map(F.lit, shape))) for c, shape in (cameras or {}).items()]
+    info = info.join(F.broadcast(widths.select(F.map_from_entries(F.array(*listed)).alias("features"))))
     info = info.join(F.broadcast(tasks.agg(F.count("*").alias("total_tasks")))).withColumn("splits", F.struct(F.concat(F.lit("0:"), "total_episodes").alias("train")))
     info.coalesce(1).write.json(f"{root}/meta/info.json")
 
 
+def merged_stats(spark: SparkSession, roots: list[str]) -> DataFrame:
+    """Statistics (feature, dim, ...) of several datasets together, from their episodes' statistics and sketches; no frame is read."""
+    features = ["observation.state", "action", *SCALARS]
+    names = [*STATS, "sketch"]
+    parts = [F.struct(F.lit(f).alias("feature"), F.arrays_zip(*[F.col(f"`stats/{f}/{n}`").alias(n) for n in names]).alias("s")) for f in features]
+    rows = None
+    for root in roots:
+        one = read_episodes(spark, root).select(F.inline(F.array(*parts))).select("feature", F.posexplode("s").alias("dim", "s")).select("feature", "dim", "s.*")
+        rows = one if rows is None else rows.unionByName(one)
+    return st.merge_sketched(rows, ["feature", "dim"])
+
+
 def report_columns(df: DataFrame, joined: tuple[str, ...] = ()) -> DataFrame:
     """Nested columns as JSON cells, lists of reasons joined by ;."""
     cell = lambda f: F.concat_ws(";", f.name) if f.name in joined else F.to_json(f.name) if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else F.col(f.name)
@@ -271,12 +324,31 @@ def check_dataset(frames: DataFrame) -> DataFrame:
 
 
 def accept_dataset(info: DataFrame, frames: DataFrame, tasks: DataFrame, expected: dict) -> DataFrame:
-    """Reasons why a dataset isn't the expected one. expected: codebase_version, fps, width."""
-    n = frames.agg(F.count("*").alias("n"), F.count_distinct("episode_index").alias("e"), F.count_if(F.size("action") != expected["width"]).alias("w"))
+    """Reasons why a dataset isn't the expected one.
+
+    expected: codebase_version, fps, width (of actions, and of states unless state_width is named), and cameras, the exact set of its camera features; episodes and frames are
+    compared with info's totals, and with expected's where it names them. Depth features are never accepted, and there must
+    be one task.
+    """
+    widths = {"action": expected["width"], "observation.state": expected.get("state_width", expected["width"])}
+    n = frames.agg(F.count("*").alias("n"), F.count_distinct("episode_index").alias("e"), F.count_if(reduce(Column.__or__, [F.size(f"`{f}`") != w for f, w in widths.items()])).alias("w"))
     t = tasks.agg(F.count("*").alias("tasks"))
     all_ = info.join(n).join(t)  # one row each
-    c: list[Column] = [F.when(F.col("codebase_version") != expected["codebase_version"], "version"), F.when(F.col("fps") != expected["fps"], "fps"), F.when(F.col("total_frames") != F.col("n"), "frames"), F.when(F.col("total_episodes") != F.col("e"), "episodes"), F.when(F.col("w") > 0, "width"), F.when(F.col("tasks") != 1, "tasks")]
-    return all_.select(F.explode(F.array_compact(F.array(*c))).alias("violation"))
+    names = F.coalesce(F.map_keys("features"), F.array().cast("array<string>"))
+    shape = lambda f: F.col("features")[f]["shape"]
+    cameras = F.array_sort(F.filter(names, lambda k: k.startswith("observation.images.")))
+    wanted = F.array(*map(F.lit, sorted(expected.get("cameras", ())))).cast("array<string>")
+    checks = {
+        "version": ~F.col("codebase_version").eqNullSafe(F.lit(expected["codebase_version"])),
+        "fps": ~F.col("fps").eqNullSafe(F.lit(float(expected["fps"]))),
+        "frames": (F.col("total_frames") != F.col("n")) | (F.col("n") != expected.get("frames", F.col("n"))),
+        "episodes": (F.col("total_episodes") != F.col("e")) | (F.col("e") != expected.get("episodes", F.col("e"))),
+        "width": reduce(Column.__or__, [~shape(f).eqNullSafe(F.array(F.lit(w))) for f, w in widths.items()], F.col("w") > 0),
+        "cameras": cameras != wanted,
+        "depth": F.exists(names, lambda k: F.lower(k).contains("depth")),
+        "tasks": F.col("tasks") != 1,
+    }
+    return all_.select(F.explode(F.array_compact(F.array(*[F.when(c, k) for k, c in checks.items()]))).alias("violation"))
 
 
 def feature_kinds(features: DataFrame) -> DataFrame:

@@ -151,7 +151,7 @@ def test_dataset_reads_back_and_is_accepted(spark, tmp_path):
     f = spark.createDataFrame([(3, 0, [0.0, 1.0], [1.0]), (3, 1, [2.0, 1.0], [3.0]), (9, 5, [4.0, 4.0], [4.0])], "episode_index long, frame_index long, state array<double>, action array<double>")
     root = str(tmp_path / "set")
     io.write_dataset(episodes.reindex(f, 10.0), root, 10.0, spark.createDataFrame([(0, "pick")], "task_index long, task string"))
-    assert io.accept_dataset(io.read_info(spark, root), io.read_frames(spark, root), io.read_tasks(spark, root), {"codebase_version": "v3.0", "fps": 10.0, "width": 1}).count() == 0
+    assert io.accept_dataset(io.read_info(spark, root), io.read_frames(spark, root), io.read_tasks(spark, root), {"codebase_version": "v3.0", "fps": 10.0, "width": 1, "state_width": 2, "cameras": ()}).count() == 0
     assert io.read_tasks(spark, root).first().task == "pick"
     s = {r.feature: r for r in io.read_stats(spark, f"{root}/meta/stats.json").collect()}
     assert s["index"]["max"] == [2.0] and s["observation.state"]["mean"] == [2.0, 2.0] and s["action"]["count"] == [3]
@@ -293,11 +293,6 @@ def test_uniform_sample_is_the_greedy_one(spark, values, n):
     assert got == chosen
 
 
-def test_id_lists(spark):
-    lines = spark.createDataFrame([("3, 17, 28-30",), ("5－4，9 # last",), ("x, 2",), ("",)], "value string")
-    assert sorted(r.id for r in io.parse_id_list(lines).collect()) == [2, 3, 4, 5, 9, 17, 28, 29, 30]
-
-
 def test_numbers_run_over_episodes(spark):
     f = spark.createDataFrame([(5, 3, [0.0]), (5, 7, [0.0]), (2, 0, [0.0])], "episode_index long, frame_index long, action array<double>")
     r = episodes.reindex(f, 10.0).orderBy("index").collect()
