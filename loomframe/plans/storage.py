@@ -244,12 +244,12 @@ def read_telemetry_stream(spark, sf):
     return elements(online.run_once(io.read_telemetry_stream(spark, path), spark), ["episode", "step"], "action")
 
 
-@query("SELECT o_orderkey % 50 AS step, o_orderpriority AS source, round(avg(o_totalprice), 2) AS loss, round(avg(o_totalprice) / 1000, 6) AS lr FROM orders GROUP BY 1, 2")
+@query("SELECT o_orderkey % 50 AS step, o_orderpriority AS source, count(*) AS n, round(sum(CAST(o_totalprice AS DOUBLE)), 2) AS loss, round(max(CAST(o_totalprice AS DOUBLE) / 1000), 6) AS lr FROM orders GROUP BY 1, 2")
 def read_loss(spark, sf):
     path = io.scratch(spark)
     io.write_events(table(spark, sf, "orders").select((F.col("o_orderkey") % 50).alias("step"), F.col("o_orderpriority").alias("source"), F.col("o_totalprice").cast("double").alias("loss"), (F.col("o_totalprice").cast("double") / 1000).alias("lr")), path)
     log = io.read_loss(spark, path)
-    return log.groupBy("step", "source").agg(F.round(F.avg("loss"), 2).alias("loss"), F.round(F.avg("lr"), 6).alias("lr"))
+    return log.groupBy("step", "source").agg(F.count("*").alias("n"), F.round(F.sum("loss"), 2).alias("loss"), F.round(F.max("lr"), 6).alias("lr"))
 
 
 @query("SELECT DISTINCT event_type AS name, CASE event_type WHEN 'view' THEN 'RGB' WHEN 'click' THEN 'STATE' WHEN 'purchase' THEN 'ACTION' WHEN 'error' THEN 'DEPTH' ELSE 'REWARD' END AS kind FROM events")
@@ -468,6 +468,21 @@ def recorded(spark, sf, **faults):
     return path
 
 
+@query("SELECT 'frames' AS kind, episode_index AS key, count(*) AS n, round(sum(sqrt(list_sum(list_transform(action, lambda x: x * x)))), 4) AS total FROM frms GROUP BY 2 UNION ALL SELECT 'saved', CAST(least(2, frame_index // 17) AS BIGINT), count(*), NULL FROM frms GROUP BY 2")
+def frame_hooks(spark, sf):
+    """A hook on frames adds the action's length, one on saved batches keeps a log of them."""
+    log = io.scratch(spark)
+    f = frames(spark, sf).select("episode_index", "frame_index", "action")
+    third = F.least(F.lit(2), F.floor(F.col("frame_index") / 17))
+    # a batch may have several of a part's files; the log goes by part
+    stream = feed(spark, f.withColumn("part", third), F.col("part"), "episode_index")
+    length = lambda b: b.withColumn("l2", F.sqrt(F.aggregate("action", F.lit(0.0), lambda s, x: s + x * x)))
+    saved = online.run_hooked(stream, spark, length, lambda b, n: b.groupBy("part").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{log}/batch={n}"))
+    out = saved.groupBy("episode_index").agg(F.count("*").alias("n"), F.round(F.sum("l2"), 4).alias("total")).select(F.lit("frames").alias("kind"), F.col("episode_index").alias("key"), "n", "total")
+    told = spark.read.parquet(log).groupBy("part").agg(F.sum("n").alias("n"))
+    return out.union(told.select(F.lit("saved"), F.col("part").cast("long"), "n", F.lit(None).cast("double")))
+
+
 _REC = "r AS (SELECT *, episode_id % 20 AS rec FROM msgs)"
 
 

@@ -49,6 +49,26 @@ def run_once(df: DataFrame, spark: SparkSession, at: str | None = None) -> DataF
     return run_counted(df, spark, at)[0]
 
 
+def run_hooked(stream: DataFrame, spark: SparkSession, on_frames: Callable[[DataFrame], DataFrame], on_saved: Callable[[DataFrame, int], None] | None = None, at: str | None = None) -> DataFrame:
+    """Batches of a stream given to a hook, saved, and then given to another: the rows that were saved.
+
+    on_frames: a batch's rows -> the rows to save. on_saved: the saved rows and the batch's number, once they are all written;
+    it comes again with the same number if the driver dies before the batch is marked as done, so what it does should bear
+    that. A batch that is done again replaces what it has saved. at: as in run_counted().
+    """
+    out = at or scratch(spark)
+
+    def save(batch: DataFrame, n: int) -> None:
+        path = f"{out}/data/batch={n}"
+        rows = on_frames(batch)
+        rows.write.mode("overwrite").parquet(path)
+        if on_saved:
+            on_saved(batch.sparkSession.read.schema(rows.schema).parquet(path), n)
+
+    stream.writeStream.foreachBatch(save).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{out}/data").drop("batch")
+
+
 def keyed(stream: DataFrame, key: str, work: Callable, output: str, state: str, idle_ms: int = IDLE_MS, late: str = LATE) -> DataFrame:
     """work(key, rows of a batch, state row or None) -> (output, new state row) for each key; the state ends idle_ms after a key's last row."""
 

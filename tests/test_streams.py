@@ -156,3 +156,22 @@ def test_telemetry_is_read_as_a_stream(spark, tmp_path):
     io.write_events(spark.createDataFrame([(1, 0, [0.5], 0.1), (1, 1, [0.7], 0.3)], "episode long, step long, action array<double>, infer_time_sec double"), str(tmp_path / "log"))
     got = online.run_once(io.read_telemetry_stream(spark, str(tmp_path / "log")), spark).orderBy("step").collect()
     assert [(r.step, r.action, r.infer_time_sec, r.reward) for r in got] == [(0, [0.5], 0.1, None), (1, [0.7], 0.3, None)]
+
+
+def test_hooks_on_frames_and_saved_batches(spark, tmp_path):
+    """The hook on saved batches sees each batch once it is written; a run that fails in it does that batch again."""
+    rows = [[(1, "a", i, i, [float(i)]) for i in range(k, k + 3)] for k in (0, 3, 6)]
+    stream = parts(spark, str(tmp_path / "in"), rows, LOG)
+    seen, at = [], str(tmp_path / "run")
+
+    def saved(batch, n, fail=False):
+        if fail and n == 1:
+            raise RuntimeError("stop")
+        seen.append((n, sorted(r.x for r in batch.collect())))
+
+    double = lambda b: b.select((F.col("values")[0] * 2).alias("x"))
+    with pytest.raises(Exception, match="stop"):
+        online.run_hooked(stream, spark, double, lambda b, n: saved(b, n, True), at)
+    out = online.run_hooked(stream, spark, double, saved, at)
+    assert sorted(r.x for r in out.collect()) == [2.0 * i for i in range(9)]
+    assert seen == [(0, [0.0, 2.0, 4.0]), (1, [6.0, 8.0, 10.0]), (2, [12.0, 14.0, 16.0])]
