@@ -45,6 +45,7 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of copies and near copies the document with the smallest id stays, once; rows without an id stay.
 
+    SimHash links and, for similar texts beyond its reach, min-hash bands give the candidates; exact Jaccard decides.
     Of rows with one id and text the one whose columns hash least stays.
     """
     docs, own = aside(docs, "component_id", "__id")

@@ -32,6 +32,20 @@ MIN_CHUNK = 1 << 8
 CHUNK = 1 << 16
 
 
+def bit_sums(h: np.ndarray) -> np.ndarray:
+    """How many of the big-endian hashes set each bit, the highest first."""
+    return np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+
+
+def majority(ones: np.ndarray, n: int) -> int:
+    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big", signed=True)
+
+
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """Bit i is 1 if it is set in over half of a set's hashes."""
+    return majority(sum(bit_sums(hashes[at : at + CHUNK].astype(">u8")) for at in range(0, len(hashes), CHUNK)), len(hashes))
+
+
 def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
     """Bit i is 1 if it is set in over half of the hashes of the word shingles, repeats included; 0 without words."""
     w = text.lower().split()  # A-Z only, and ASCII white space
@@ -45,8 +59,8 @@ def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
     ones = np.zeros(64, np.int64)
     for at in range(0, n, CHUNK):
         h = np.array([xxh64_intdigest(line[a:b], seed) for a, b in zip(starts[at : at + CHUNK], ends[at : at + CHUNK])], ">u8")
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big", signed=True)
+        ones += bit_sums(h)
+    return majority(ones, n)
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
@@ -159,12 +173,14 @@ def similar(x: np.ndarray, y: np.ndarray, least: float) -> bool:
     return both >= least * (len(x) + len(y) - both)
 
 
-def near_duplicates(df: DataFrame, words: int = 5, least: float = 0.8, bands: int = BANDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(df: DataFrame, words: int = 5, least: float = 0.8, bits: int = 3, bands: int = BANDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, component_id) of the non-null ids in groups of copies and near copies; component_id is the smallest id.
 
-    Near copies have a Jaccard similarity of at least `least` over their sets of `words`-word shingles. Candidates are texts
-    that share one of `bands` keys, each of ROWS min-hashes of that very set, so that neither a text's length nor its
-    vocabulary matters: a pair of similarity s is missed with probability (1 - s ** ROWS) ** bands. Of a key's texts each is
+    Near copies have a Jaccard similarity of at least `least` over their sets of `words`-word shingles. Candidates are all
+    texts whose SimHash fingerprints of that very set differ in at most `bits` bits, found by deletion variants, which is
+    exact. Similar texts further apart than that come by bands beside it: texts that share one of `bands` keys, each of ROWS
+    min-hashes of the set, so that neither a text's length nor its vocabulary matters; a pair of similarity s that SimHash
+    doesn't reach is missed with probability (1 - s ** ROWS) ** bands. Of a fingerprint's and of a key's texts each is
     linked with the smallest id, so that no pairs are made. What candidates connect is
     compared exactly: each text with the smallest id of its candidates first, and those that aren't similar to that one with
     all others, in blocks, as far as MARKS min-hashes of a byte let them be similar (a similar pair fails that with a
@@ -178,18 +194,24 @@ def near_duplicates(df: DataFrame, words: int = 5, least: float = 0.8, bands: in
 
     def sketch(batches):
         for b in batches:
-            same, keys = [], []
+            same, fps, keys = [], [], []
             for t in common.texts(b, "text"):
                 t = bytes(t)
                 same.append(xxh64_intdigest(b" ".join(t.lower().split()), 3) - (1 << 63))
-                keys.append(band_keys(shingles(t, words), bands))
-            yield pa.record_batch([common.column(b, "id"), pa.array(same, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["id", "same", "keys"])
-
-    sketched = tables.write(rows.mapInArrow(sketch, "id bigint, same bigint, keys array<bigint>"))
-    one = sketched.groupBy("same").agg(F.min_by("keys", "id").alias("keys"), F.min("id").alias("rep"))
+                found = shingles(t, words)
+                fps.append(set_fingerprint(found))
+                keys.append(band_keys(found, bands))
+            yield pa.record_batch([common.column(b, "id"), pa.array(same, pa.int64()), pa.array(fps, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["id", "same", "fp", "keys"])
+
+    sketched = tables.write(rows.mapInArrow(sketch, "id bigint, same bigint, fp bigint, keys array<bigint>"))
+    one = tables.write(sketched.groupBy("same").agg(F.min_by("keys", "id").alias("keys"), F.min_by("fp", "id").alias("fp"), F.min("id").alias("rep")))
+    by_print = tables.write(one.groupBy("fp").agg(F.min("rep").alias("least")))
+    near = links(by_print.select("fp"), bits, tables)
+    near = near.join(by_print.select(F.col("fp").alias("a"), F.col("least").alias("x")), "a").join(by_print.select(F.col("fp").alias("b"), F.col("least").alias("y")), "b").select("x", "y")
+    near = near.union(one.join(by_print, "fp").select("least", "rep"))
     keyed = tables.write(one.select("rep", F.explode("keys").alias("key")))
     shared = tables.write(keyed.groupBy("key").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a"))
-    edges = keyed.join(shared, "key").select("a", F.col("rep").alias("b")).where("a <> b")
+    edges = near.toDF("a", "b").union(keyed.join(shared, "key").select("a", F.col("rep").alias("b"))).where("a <> b")
     part = tables.write(common.components(spark, edges, tables))
     # of an id's texts the one with the least hash, so that a rerun takes the same
     members = part.withColumnRenamed("node", "id").join(rows, "id").groupBy("component", "id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
