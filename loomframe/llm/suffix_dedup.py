@@ -30,8 +30,11 @@ from .suffix_array import suffix_array
 SIZE, GRAM, STARTS = 400, 128, 20
 #: Bytes of a word's hash where passages are counted in words; a passage is many words, so chance never makes one.
 WORD = 4
-#: Passage starts of a text that are hashed at once.
+#: Passage starts of a text that are hashed at once, and the low bits of a hash that give way to a place among them.
 CHUNK = 1 << 20
+PLACES = np.uint64((1 << 22) - 1)
+#: Anchors that go to Spark at once.
+ROWS = 200_000
 #: Symbols of one suffix array; blocks of one core from which single passages are counted instead.
 SYMBOLS, MANY = 60_000, 2_000
 #: Blocks that one task sorts, about.
@@ -60,33 +63,30 @@ def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
 
 
 def least_in_window(h: np.ndarray, w: int) -> np.ndarray:
-    """Place of the least value, the first of equals, in each window of w."""
-    v, p, length = h, np.arange(len(h), dtype=np.int32), 1
+    """Place of the least value in each window of w, the first of those that are equal but for the bits of PLACES."""
+    v, length = (h & ~PLACES) | np.arange(len(h), dtype=np.uint64), 1
     while length < w:
         step = min(length, w - length)
-        n = len(v) - step
-        later = v[step : step + n] < v[:n]
-        p = np.where(later, p[step : step + n], p[:n])
-        v = np.minimum(v[:n], v[step : step + n])
+        v = np.minimum(v[:-step], v[step:])
         length += step
-    return p
+    return (v & PLACES).astype(np.int64)
 
 
-def anchors(text: bytes, size: int, gram: int):
-    """(gram hash, context hash, first start, number of starts, anchor's distance from the first start) of each anchor."""
+def anchors(text: bytes, size: int, gram: int, unit: int = 1):
+    """(gram hash, context hash, first start, number of starts, anchor's distance from the first start) of each anchor, in symbols of `unit` bytes."""
     gram = min(gram, size)
-    for at in range(0, len(text) - size + 1, CHUNK):
-        part = text[at : at + CHUNK + size - 1]
-        h = gram_hashes(np.frombuffer(part, np.uint8), gram)
+    for at in range(0, len(text) // unit - size + 1, CHUNK):
+        part = text[at * unit : (at + CHUNK + size - 1) * unit]
+        h = gram_hashes(np.frombuffer(part, f"<u{unit}"), gram)
         p = least_in_window(h, size - gram + 1)
         cut = common.runs(p)
         lo, n = cut[:-1], np.diff(cut)
-        ctx = [xxh64_intdigest(part[a:z], 7) for a, z in zip(lo.tolist(), (cut[1:] - 1 + size).tolist())]
+        ctx = [xxh64_intdigest(part[a:z], 7) for a, z in zip((lo * unit).tolist(), ((cut[1:] - 1 + size) * unit).tolist())]
         yield h[p[lo]].view(np.int64), np.array(ctx, np.uint64).view(np.int64), lo + at, n, p[lo] - lo
 
 
-def blocks(text: bytes, lo: int, n: int, rel: int, size: int, starts: int):
-    """(block, core hash, bytes before the core, bytes after it, starts that lie before the core at least) of a context.
+def blocks(text: bytes, lo: int, n: int, rel: int, size: int, starts: int, unit: int = 1):
+    """(block, core hash, bytes before the core, bytes after it, starts that lie before the core at least) of a context, all places in symbols of `unit` bytes.
 
     Block j has the starts whose distance before the anchor is j * starts to j * starts + starts - 1; the core is what
     all these passages share.
@@ -96,19 +96,25 @@ def blocks(text: bytes, lo: int, n: int, rel: int, size: int, starts: int):
         most, least = min(rel, j * starts + starts - 1), max(rel - n + 1, j * starts)
         core = anchor - j * starts
         end = core + size - starts + 1
-        yield j, xxh64_intdigest(text[core:end], 11), text[core - most + j * starts : core], text[end : end + starts - 1 - (least - j * starts)], least - j * starts
+        before, after = core - most + j * starts, end + starts - 1 - (least - j * starts)
+        yield j, xxh64_intdigest(text[core * unit : end * unit], 11), text[before * unit : core * unit], text[end * unit : after * unit], least - j * starts
 
 
-def common_starts(rows: list[tuple[int, bytes, bytes, int]], starts: int) -> list[int]:
-    """For each (core number, before, after, least) the starts it shares with another row of its core, as bits: bit a is the start a bytes before the core."""
-    text, owner, back = [], [], []
+def common_starts(rows: list[tuple[int, bytes, bytes, int]], starts: int, unit: int = 1) -> list[int]:
+    """For each (core number, before, after, least) the starts it shares with another row of its core, as bits: bit a is the start a symbols before the core."""
+    text, owner, back, at = [], [], [], 0
+    sides = np.frombuffer(b"".join(side for r in rows for side in r[1:3]), f"<u{unit}")
+    sides = (sides.astype(np.int64) + 2).tolist()
     for r, (core, before, after, _) in enumerate(rows):
-        text += [b + 2 for b in before]
-        text.append(300 + core)
-        text += [b + 2 for b in after]
+        mid = at + len(before) // unit
+        end = mid + len(after) // unit
+        text += sides[at:mid]
+        text.append((1 << 8 * unit) + 2 + core)
+        text += sides[mid:end]
         text.append(1)
-        owner += [r] * (len(before) + len(after) + 2)
-        back += [*range(len(before), -1, -1), *[-1] * (len(after) + 1)]
+        owner += [r] * (end - at + 2)
+        back += [*range(mid - at, -1, -1), *[-1] * (end - mid + 1)]
+        at = end
     sa = np.array(suffix_array(text), np.int64)
     t, owner, back = np.array([*text, *[0] * starts]), np.array(owner), np.array(back)
     least = np.array([r[3] for r in rows])
@@ -123,30 +129,34 @@ def common_starts(rows: list[tuple[int, bytes, bytes, int]], starts: int) -> lis
     return found
 
 
-def repeats(docs: DataFrame, text_col: str, key: str, tables: common.Tables, size: int = SIZE, gram: int = GRAM, starts: int = STARTS, many: int = MANY) -> DataFrame:
-    """Rows (key, found): the contexts of a text's passages that start elsewhere too, once however many rows are equal to it."""
+def repeats(docs: DataFrame, text_col: str, key: str, tables: common.Tables, size: int = SIZE, gram: int = GRAM, starts: int = STARTS, many: int = MANY, unit: int = 1) -> DataFrame:
+    """Rows (key, found): the contexts of a text's passages that start elsewhere too, once however many rows are equal to it.
+
+    Texts are symbols of `unit` bytes, and sizes and places are counted in these.
+    """
     rows = docs.select(F.col(key).alias("key"), F.col(text_col).alias("text"))
 
+    def together(held):
+        g, c, lo, n, rel = (np.concatenate(x) for x in list(zip(*held))[:5])
+        k = np.repeat(np.array([x[5] for x in held], np.int64), [len(x[0]) for x in held])
+        return pa.record_batch([pa.array(g), pa.array(c), pa.array(k), pa.array(lo.astype(np.int64)), pa.array(n.astype(np.int32)), pa.array(rel.astype(np.int32))], ["gram", "ctx", "key", "lo", "n", "rel"])
+
     def find(batches):
+        held, n = [], 0
         for b in batches:
             for k, t in zip(common.column(b, "key").to_numpy().tolist(), common.texts(b, "text")):
-                if len(t) >= size:
-                    for g, c, lo, n, rel in anchors(t, size, gram):
-                        yield pa.record_batch([pa.array(g), pa.array(c), pa.array(np.full(len(g), k)), pa.array(lo.astype(np.int64)), pa.array(n.astype(np.int32)), pa.array(rel.astype(np.int32))], ["gram", "ctx", "key", "lo", "n", "rel"])
-
-    def joined(parts, rows_at_once=200_000):
-        held, n = [], 0
-        for x in parts:
-            held.append(x)
-            n += x.num_rows
-            if n >= rows_at_once:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, n = [], 0
+                if len(t) >= size * unit:
+                    for found in anchors(t, size, gram, unit):
+                        held.append((*found, k))
+                        n += len(found[0])
+                        if n >= ROWS:
+                            yield together(held)
+                            held, n = [], 0
         if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            yield together(held)
 
     # equal rows have equal anchors: one row each, with the number of them
-    every = rows.mapInArrow(lambda it: joined(find(it)), "gram bigint, ctx bigint, key bigint, lo bigint, n int, rel int")
+    every = rows.mapInArrow(find, "gram bigint, ctx bigint, key bigint, lo bigint, n int, rel int")
     every = tables.write(every.groupBy("gram", "ctx", "key", "lo", "n", "rel").agg(F.count("*").alias("c")))
     # counts are written before they are joined, so that a gram of very many anchors can be split
     again = tables.write(every.groupBy("gram").agg(F.sum("c").alias("c")).where("c > 1").select("gram"))
@@ -162,8 +172,8 @@ def repeats(docs: DataFrame, text_col: str, key: str, tables: common.Tables, siz
             out: list[list] = [[] for _ in range(9)]
             for t, many_ in zip(common.texts(b, "text"), common.column(b, "list")):
                 for c in many_.as_py():
-                    for j, core, before, after, least in blocks(t, c["lo"], c["n"], c["rel"], size, starts):
-                        for col, v in zip(out, (c["gram"], c["ctx"], c["c"] > 1, j, core, bytes(before), bytes(after), least, len(before))):
+                    for j, core, before, after, least in blocks(t, c["lo"], c["n"], c["rel"], size, starts, unit):
+                        for col, v in zip(out, (c["gram"], c["ctx"], c["c"] > 1, j, core, bytes(before), bytes(after), least, len(before) // unit)):
                             col.append(v)
             kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.uint64(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
             cols = [pa.array(v, k) for v, k in zip(out, kinds)]
@@ -185,14 +195,14 @@ def repeats(docs: DataFrame, text_col: str, key: str, tables: common.Tables, siz
 
         def done():
             rows = [(c, bytes(b), bytes(a), int(least)) for c, g in held for b, a, least in zip(g["before"], g["after"], g["least"])]
-            bits = common_starts(rows, starts)
+            bits = common_starts(rows, starts, unit)
             cat = lambda n: np.concatenate([g[n] for _, g in held])
             return pa.record_batch([pa.array(cat("gram")), pa.array(cat("core")), pa.array(cat("before"), pa.binary()), pa.array(cat("after"), pa.binary()), pa.array(bits, pa.int64())], [*sides, "bits"])
 
         for g in common.sorted_groups(batches, ["gram", "core"]):
             held.append((cores, g))
             cores += 1
-            symbols += sum(map(len, g["before"])) + sum(map(len, g["after"])) + 2 * len(g["core"])
+            symbols += (sum(map(len, g["before"])) + sum(map(len, g["after"]))) // unit + 2 * len(g["core"])
             if symbols >= SYMBOLS:
                 yield done()
                 held, symbols, cores = [], 0, 0
@@ -205,7 +215,7 @@ def repeats(docs: DataFrame, text_col: str, key: str, tables: common.Tables, siz
     by_array = some.select(*columns).repartition(tasks, "gram", "core").sortWithinPartitions("gram", "core").mapInArrow(sort, "gram bigint, core bigint, before binary, after binary, bits bigint")
     # cores with many surroundings: each passage is a row of its own, and rows are counted
     ends = mixed.where(F.col("m") > many).select(*columns, F.explode(F.sequence("least", "most")).alias("a"))
-    passage = ends.withColumn("p", F.concat(F.substring("before", F.length("before") - F.col("a") + 1, F.col("a")), F.substring("after", F.lit(1), F.lit(starts - 1) - F.col("a"))))
+    passage = ends.withColumn("p", F.concat(F.substring("before", F.length("before") - F.col("a") * unit + 1, F.col("a") * unit), F.substring("after", F.lit(1), (F.lit(starts - 1) - F.col("a")) * unit)))
     twice = passage.groupBy("gram", "core", "a", "p").agg(F.count("*").alias("c")).where("c > 1").drop("c")
     by_count = passage.join(twice, ["gram", "core", "a", "p"]).groupBy(*sides).agg(F.expr("bit_or(shiftleft(1L, a))").alias("bits"))
     every_bit = F.expr("shiftleft(1L, most + 1) - shiftleft(1L, least)")
@@ -267,7 +277,6 @@ def word_spans(text: bytes, found: pa.StructArray, size: int, starts: int) -> tu
     inside = np.diff(np.concatenate([[False], ~SPACE[np.frombuffer(text, np.uint8)], [False]]).view(np.int8))
     word, stop = np.flatnonzero(inside == 1), np.flatnonzero(inside == -1)
     first, end = covered(found, size, starts)
-    first, end = -(-first // WORD), end // WORD
     return word[first], stop[end - 1]
 
 
@@ -293,7 +302,7 @@ def remove(docs: DataFrame, text_col: str = "text", size: int = SIZE, gram: int
     found = repeats(keyed, text_col, "__key", tables, size, gram, starts, many).select(F.col("key").alias("__key"), F.col("found").alias("__found"))
     if words:
         hashed = tables.write(hashed_words(keyed, text_col, "__key"))
-        by_words = repeats(hashed, "text", "key", tables, words * WORD, min(GRAM, words * WORD // 3), STARTS, many)
+        by_words = repeats(hashed, "text", "key", tables, words, min(GRAM, words * WORD // 3) // WORD or 1, min(STARTS // WORD, words), many, WORD)
         tables.drop(hashed)
         found = found.join(by_words.select(F.col("key").alias("__key"), F.col("found").alias("__by_words")), "__key", "full")
 
@@ -311,7 +320,7 @@ def remove(docs: DataFrame, text_col: str = "text", size: int = SIZE, gram: int
                 if digest:
                     numbers.append((len(t), int((end - first).sum()), len(first), hashlib.sha256(rest).hexdigest()))
                 if w.is_valid:
-                    more_first, more_end = word_spans(t, w.values, words * WORD, STARTS)
+                    more_first, more_end = word_spans(t, w.values, words, min(STARTS // WORD, words))
                     first, end = united(np.concatenate([first, more_first]), np.concatenate([end, more_end]))
                     rest = left(t, first, end)
                 spans.append(np.stack([first, end]))

@@ -712,6 +712,41 @@ def test_repeated_passages_of_fifty_words(spark):
     assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in both.items()} == dict(enumerate(brute_repeats([r[1].encode() for r in rows], 400)))
 
 
+@pytest.mark.parametrize("words,many", [(12, 2000), (12, 3), (4, 2000)])
+def test_repeats_by_words_are_brute_force(spark, words, many):
+    rng = random.Random(words + many)
+    base = [[f"b{rng.randrange(40)}" for _ in range(60)] for _ in range(5)]
+    texts = []
+    for i in range(120):
+        t = [f"t{i}x{k}" for k in range(rng.randint(0, 15))]
+        for _ in range(rng.randint(0, 3)):
+            b, a = rng.choice(base), rng.randint(0, 40)
+            t += b[a : a + rng.randint(2, 30)] + rng.choice([[], ["q"]])
+        texts.append(t)
+    runs = collections.Counter(tuple(t[i : i + words]) for t in texts for i in range(len(t) - words + 1))
+    want = [" ".join(w for k, w in enumerate(t) if not any(runs[tuple(t[i : i + words])] > 1 for i in range(max(0, k - words + 1), k + 1) if i + words <= len(t))) for t in texts]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: " ".join(r.text.split()) for r in suffix_dedup.remove(spark.createDataFrame(rows, "doc_id long, text string"), words=words, many=many).collect()}
+    assert got == dict(enumerate(want)) and sum(not w for w in want) < 100
+
+
+def test_words_are_the_symbols_of_word_repeats():
+    """Every word is a start once, none of the bytes between is; an anchor is the same wherever its passage stands."""
+    rng = np.random.default_rng(3)
+    symbols = rng.integers(0, 1 << 32, 900).astype("<u4")
+    symbols[700:800] = symbols[100:200]
+    seen, grams = [], {}
+    for g, c, lo, n, rel in suffix_dedup.anchors(symbols.tobytes(), 50, 16, 4):
+        for gram, first, k, back in zip(g.tolist(), lo.tolist(), n.tolist(), rel.tolist()):
+            seen += range(first, first + k)
+            grams |= {s: (gram, first + back - s) for s in range(first, first + k)}
+    assert seen == list(range(851))
+    assert all(grams[600 + s] == grams[s] for s in range(100, 151))
+    rows = [(0, symbols[:9].tobytes(), symbols[9:19].tobytes(), 0), (0, symbols[4:9].tobytes(), symbols[9:23].tobytes(), 0), (1, symbols[:9].tobytes(), symbols[9:19].tobytes(), 0)]
+    assert [bin(b).count("1") for b in suffix_dedup.common_starts(rows, 20, 4)] == [0, 0, 0]
+    assert suffix_dedup.common_starts([(c, b, a + symbols[30:35].tobytes(), least) for c, b, a, least in rows], 10, 4)[:2] == [0b111111, 0b111111]
+
+
 # ---- pipeline
 
 
