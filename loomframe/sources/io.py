@@ -292,13 +292,18 @@ def norm_document(stats: DataFrame, feature: str = "feature") -> DataFrame:
 
 def write_norm_stats(stats: DataFrame, path: str, widths: dict[str, int], required: list[str]) -> None:
     """The document, once nothing is wrong with it; read back, it must give what was written."""
+    # computed once: the order in which parts' sums come in from other executors changes their last bits
+    spark, kept = stats.sparkSession, scratch(stats.sparkSession)
+    stats.write.parquet(kept)
+    stats = spark.read.schema(stats.schema).parquet(kept)
     wrong = [f"{r.feature} {r.violation}" for r in norm_violations(stats, widths, required).collect()]  # a few for each feature
     if wrong:
         raise ValueError("; ".join(sorted(wrong)))
     norm_document(stats).coalesce(1).write.text(path)
-    back = read_stats(stats.sparkSession, path).select(*stats.columns)
+    back = read_stats(spark, path).select(*stats.columns)
     if stats.exceptAll(back).count():
         raise ValueError(f"{path} doesn't give back what was written")
+    remove(spark, kept)
 
 
 def norm_violations(stats: DataFrame, widths: dict[str, int], required: list[str], feature: str = "feature") -> DataFrame:

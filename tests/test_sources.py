@@ -193,3 +193,12 @@ def test_presets_serve_several_tasks(spark):
     missing = presets.missing_topics(spark.createDataFrame([(1, "task1"), (2, "task3")], "episode_id long, task string"), messages, presets.topics(spark)).collect()
     assert {(r.episode_id, r.topic) for r in missing} == {(1, "/leju_claw_command")} | {(2, t) for t in presets.TASKS["task3"]["topics"]}
     assert presets.limits(spark).count() == 4
+
+
+def test_statistics_are_computed_once_for_the_document(spark, tmp_path):
+    """Sums of doubles may differ from one run to the next, here in all their digits; what is checked is what was written."""
+    each = F.udf(lambda n: np.random.default_rng().random(n).tolist(), "array<double>").asNondeterministic()
+    s = spark.range(2).select(F.concat(F.lit("f"), "id").alias("feature"), F.array(F.lit(7).cast("long"), F.lit(7).cast("long")).alias("count"), each(F.lit(2)).alias("mean"))
+    io.write_norm_stats(s, str(tmp_path / "norm"), {"f0": 2, "f1": 2}, ["mean"])
+    got = io.read_stats(spark, str(tmp_path / "norm")).orderBy("feature").collect()
+    assert [(r.feature, r["count"], len(r["mean"])) for r in got] == [("f0", [7, 7], 2), ("f1", [7, 7], 2)]
