@@ -53,11 +53,22 @@ def at_most(metric: str, limit: float) -> Column:
     return F.coalesce(F.col(metric), F.lit(float("inf"))) <= limit
 
 
+def tenths(x: Column) -> Column:
+    """A number as C's %.1f writes it: rounded by its exact binary value, ties to the even digit.
+
+    format_string() rounds the shortest decimal form half up instead, so that 174683257.35, which is less than that, gets 174683257.4.
+    """
+    x = x.cast("double")
+    word = F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf")
+    whole = F.when(F.abs(x).between(2.0**53, 2.0**62), F.concat(x.cast("long"), F.lit(".0")))  # format_number() has 17 digits at most
+    return F.coalesce(word, whole, F.call_function("format_number", x, F.lit("0.0")))
+
+
 def qualify(metrics: DataFrame, tiers: dict[str, dict[str, float]]) -> DataFrame:
     """For each tier its reasons against (metric_value) and whether there are none. Missing metrics fail."""
     out = metrics
     for tier, limits in tiers.items():
-        reasons = F.array_compact(F.array(*[F.when(~at_most(m, x), F.concat(F.lit(f"{m}_"), F.coalesce(F.format_string("%.1f", F.col(m)), F.lit("missing")))) for m, x in limits.items()]))
+        reasons = F.array_compact(F.array(*[F.when(~at_most(m, x), F.concat(F.lit(f"{m}_"), F.coalesce(tenths(F.col(m)), F.lit("missing")))) for m, x in limits.items()]))
         out = out.withColumn(f"{tier}_reasons", reasons).withColumn(tier, F.size(f"{tier}_reasons") == 0)
     return out
 

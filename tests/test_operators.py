@@ -304,3 +304,13 @@ def test_snapshot_waits_for_full_buffers():
     assert stateful.snapshot(buffers, {"a": 2, "b": 2}, 10) is None
     assert stateful.snapshot({**buffers, "b": [(2, 3.0), (4, 4.0)]}, {"a": 2, "b": 2}, 1) == (4, {"a": 2.0, "b": 4.0})
     assert stateful.snapshot({"a": [(0, 1.0), (9, 2.0)], "b": [(4, 3.0), (30, 4.0)]}, {"a": 2, "b": 2}, 2)[1] == {"a": 2.0, "b": None}
+
+
+def test_reasons_have_their_number_as_c_writes_it(spark):
+    """By the exact binary value, ties to even: 174683257.35 is a little less than that, 0.25 is a tie."""
+    rng = np.random.default_rng(8)
+    values = [174683257.35, 112659976.05, 0.25, 0.75, 0.05, 0.0, -0.25, 2.0**60, float("inf"), float("nan"), *(rng.integers(0, 10**12, 300) / 1000), *(rng.integers(0, 10**10, 300) / 20)]
+    df = spark.createDataFrame([(i, float(x)) for i, x in enumerate([*values])] + [(-1, None)], "i long, m double")
+    got = {r.i: r.t_reasons for r in audit.qualify(df, {"t": {"m": -1e9}}).collect()}
+    assert got.pop(-1) == ["m_missing"]
+    assert got == {i: ["m_%.1f" % x] for i, x in enumerate(values)}
