@@ -39,7 +39,7 @@ def test_same_as_sql(spark, duck, sf, name):
     assert got == want
 
 
-@pytest.mark.parametrize(("name", "files"), [("session_split", 3), ("telemetry_window", 8), ("join_steps", 3), ("align_stream", 3), ("align_stream_interp", 3)])
+@pytest.mark.parametrize(("name", "files"), [("session_split", 3), ("telemetry_window", 8), ("join_steps", 3), ("align_stream", 3), ("align_stream_interp", 3), ("align_stream_nearest", 3)])
 def test_a_part_of_a_stream_may_be_several_files(spark, duck, sf, name, files):
     """No row is late because another file of its part was read before."""
     settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(files)}
